@@ -27,9 +27,21 @@ def found(c: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(c, pattern, group), F.lit(""))
 
 
+def sql_text(value: object) -> str:
+    """SQL literal of a string or a number."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else str(value)
+
+
+def constant_map(table: dict[str, object]) -> Column:
+    """A literal map; constant folding turns it into one value."""
+    return F.expr("map(" + ", ".join(f"{sql_text(k)}, {sql_text(v)}" for k, v in table.items()) + ")")
+
+
 def strings(*values: str) -> Column:
     """An array<string> literal."""
-    return F.array(*[F.lit(v) for v in values]).cast(STRINGS)
+    return F.expr("array(" + ", ".join(map(sql_text, values)) + ")") if values else F.array().cast(STRINGS)
 
 
 def json_list(items: Column) -> Column:
@@ -70,21 +82,44 @@ def first_match(c: Column, rules: Sequence[tuple[str, object]], test) -> Column:
     return out
 
 
-def decode_entities(c: Column) -> Column:
-    """Decode named and numeric character references; texts without '&' are passed through."""
-    named = F.create_map(*[F.lit(x) for name, cp in sorted(name2codepoint.items()) for x in (name, chr(cp))])
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it several times inside ``body`` (lambdas have no common subexpressions)."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+# Characters with a meaning in markup, and private-use stand-ins for them while a page is being cut.
+MARKUP = "<>\"'&"
+STAND_INS = "\ue000\ue001\ue002\ue003\ue004"
+
+
+def decode_entities(c: Column, keep_markup: bool = False) -> Column:
+    """Decode named and numeric character references; texts without '&' are passed through.
+
+    With ``keep_markup`` decoded markup characters come out as stand-ins, so that tags stay recognizable until
+    ``restore_markup``.
+    """
+    shown = dict(zip(MARKUP, STAND_INS)) if keep_markup else {}
+    names = {name: chr(cp) for name, cp in sorted(name2codepoint.items())} | {"apos": "'"}
+    named = constant_map({name: shown.get(ch, ch) for name, ch in names.items()})
+
+    def char_of(ref: Column) -> Column:
+        code = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10)).when(
+            ref.startswith("#"), F.substring(ref, 2, 7)).cast("int")
+        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        if keep_markup:
+            char = F.translate(char, MARKUP, STAND_INS)
+        return F.when(ref == "", F.lit(None)).when(ref.startswith("#"), F.when(valid, char)).otherwise(
+            F.try_element_at(named, ref))
 
     def one(piece: Column) -> Column:
         ref = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});", 1)
-        code = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10).cast("int")).when(
-            ref.startswith("#"), F.substring(ref, 2, 7).cast("int"))
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        char = F.when(ref == "", F.lit(None)).when(
-            ref.startswith("#"),
-            F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
-        ).otherwise(F.try_element_at(named, ref))
-        return F.coalesce(F.concat(char, F.substring(piece, F.length(ref) + 2, F.length(piece))),
-                          F.concat(F.lit("&"), piece))
+        return let(ref, lambda r: F.coalesce(
+            F.concat(char_of(r), F.substring(piece, F.length(r) + 2, F.length(piece))), F.concat(F.lit("&"), piece)))
 
     pieces = F.transform(F.split(c, "&"), lambda p, i: F.when(i == 0, p).otherwise(one(p)))
     return F.when(F.contains(c, F.lit("&")), F.array_join(pieces, "")).otherwise(c)
+
+
+def restore_markup(c: Column) -> Column:
+    return F.translate(c, STAND_INS, MARKUP)

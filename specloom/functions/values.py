@@ -14,7 +14,7 @@ from pyspark.sql import Column, functions as F
 from specloom import registry as R
 from specloom.functions.text import (
     STRINGS, first_match, first_wins, float_text, found, is_blank, json_list, plain_number,
-    split_items, strip,
+    split_items, strings, strip,
 )
 
 # --- fixed values: value formats -------------------------------------------------------------------
@@ -38,7 +38,7 @@ def _null() -> Column:
 
 def _value(value: Column, unit: str | Column | None, *issues: str | Column) -> Column:
     unit_col = unit if isinstance(unit, Column) else F.lit(unit).cast("string")
-    texts = F.array(*[i if isinstance(i, Column) else F.lit(i) for i in issues]).cast(STRINGS)
+    texts = F.array(*issues) if any(isinstance(i, Column) for i in issues) else strings(*issues)
     return F.struct(value.alias("normalized_value"), unit_col.alias("unit"), texts.alias("issues"))
 
 

@@ -10,6 +10,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, functions as F
 
+from specloom.functions.text import constant_map
+
 
 class Field(NamedTuple):
     code: str
@@ -165,8 +167,7 @@ UNIT_BY_FIELD = {f.code: f.unit for f in FIELDS if f.unit}
 
 def lookup(key: Column, table: dict[str, object]) -> Column:
     """Value of a small constant table, NULL for an unknown key (a literal map, so no join)."""
-    pairs = [F.lit(x) for kv in table.items() for x in kv]
-    return F.try_element_at(F.create_map(*pairs), key)
+    return F.try_element_at(constant_map(table), key)
 
 
 def expected_unit(field: Column) -> Column:
