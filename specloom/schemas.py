@@ -1,10 +1,20 @@
 """Explicit table schemas. Nothing is inferred when a snapshot is read."""
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType, DoubleType, IntegerType, LongType, StringType, StructType, TimestampType,
+)
 
+_TYPES = {"string": StringType(), "timestamp": TimestampType(), "double": DoubleType(), "boolean": BooleanType(),
+          "int": IntegerType(), "bigint": LongType()}
 
-def _s(ddl: str) -> StructType:
-    return StructType.fromDDL(ddl)
+
+def _s(columns: str) -> StructType:
+    """Schema from 'name type, ...'; needs no running session."""
+    out = StructType()
+    for column in columns.split(", "):
+        name, kind = column.split(" ")
+        out.add(name, _TYPES[kind])
+    return out
 
 
 PRODUCT_KEY = ("brand", "series_l1", "series_l2", "product_model")
@@ -27,7 +37,7 @@ RUN_SUMMARY = _s("run_id string, schedule_type string, started_at timestamp, end
                  "catalog_count int, spec_field_count int, issue_count int, new_series_count int, "
                  "disappeared_series_count int, success_rate double, status string")
 FETCH_LOG = _s("item_key string, success boolean, url string, size bigint, error string")
-FEED = _s("products array<struct<productModel:string,series:string,subseries:string,detailPath:string,"
-          "title:string>>")
+FEED = ("products array<struct<productModel:string,series:string,subseries:string,detailPath:string,"
+        "title:string>>")
 
 TABLES = {"catalog": CATALOG, "specs": SPECS, "hierarchy": HIERARCHY, "issues": ISSUES}
