@@ -71,7 +71,6 @@ check("A11_fetch_statistics", """SELECT count(*) AS total_items, sum(success::IN
 check("A12_catalog_summary", """SELECT brand, count(*) AS total_items, count(DISTINCT brand) AS total_brands,
   count(DISTINCT series_l1) AS total_series_l1, count(DISTINCT series_l2) AS total_series_l2, count(DISTINCT product_model) AS total_models
   FROM catalog GROUP BY GROUPING SETS ((brand), ())""", "catalog")(
-    # inside the set () the brand column is NULL, so the brands are counted before
     lambda t: report.catalog_summary(t.catalog))
 check("A13_hierarchy_summary", """SELECT run_id, count(*) AS total_nodes, count(DISTINCT brand) AS total_brands,
   sum((series_l2 IS NULL)::INT) AS total_l1, count(series_l2) AS total_l2, min(discovered_at) AS discovery_time
@@ -116,9 +115,11 @@ check("J12_normalize_hierarchy", """SELECT item_id, product_model, node_brand AS
   array_to_string(list_filter([CASE WHEN brand IS DISTINCT FROM node_brand THEN 'brand' END,
     CASE WHEN series_l1 IS DISTINCT FROM node_l1 THEN 'series_l1' END, CASE WHEN series_l2 IS DISTINCT FROM node_l2 THEN 'series_l2' END],
     lambda x: x IS NOT NULL), ',') AS mismatch FROM listing""", "listing")(lambda t: report.normalize_hierarchy(t.listing))
-check("J9_new_entries", """SELECT DISTINCT brand, product_model FROM specs AS s WHERE NOT EXISTS (
-  SELECT 1 FROM catalog AS c WHERE c.locale = 'de' AND c.brand = s.brand AND c.product_model = s.product_model)""", "specs", "catalog")(
-    lambda t: diff.new_entries(t.specs.select("brand", "product_model"), t.catalog.where("locale = 'de'"), ["brand", "product_model"]))
+check("J9_new_entries", """SELECT DISTINCT run_id, brand, product_model FROM specs AS s WHERE NOT EXISTS (
+  SELECT 1 FROM catalog AS c WHERE c.locale = 'de' AND c.run_id = s.run_id AND c.brand = s.brand AND c.product_model = s.product_model)""",
+      "specs", "catalog")(
+    lambda t: diff.new_entries(t.specs.select("run_id", "brand", "product_model"), t.catalog.where("locale = 'de'"),
+                               ["run_id", "brand", "product_model"]))
 
 # --- runs against runs -----------------------------------------------------------------------------
 
