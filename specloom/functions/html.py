@@ -204,7 +204,7 @@ def cell_value(fragment: Column, is_list: Column | bool = False) -> Column:
         if is_list is False:
             return F.when(~F.lower(text).isin(*R.EMPTY_CELLS), text)
         items = let(cell_items(fragment), lambda x: F.when(F.size(x) > 0, json_list(x)))
-        return F.when(~F.lower(text).isin(*R.EMPTY_CELLS), F.when(is_list, items).otherwise(text))
+        return F.when(~F.lower(text).isin(*R.EMPTY_CELLS), F.when(is_list if isinstance(is_list, Column) else F.lit(is_list), items).otherwise(text))
     return let(cell_text(fragment), value)
 
 

@@ -224,6 +224,22 @@ SELECT p_partkey AS page_id, 'https://x.example/' || cast(p_partkey AS string) A
 FROM {{part}}
 """
 
+# Pages that list specifications as items, label and value in elements of their own.
+VIEWS["list_pages"] = """
+SELECT p_partkey AS page_id,
+  '<body><ul><li><span>Max Resolution</span><span>' || cast(640 + p_size AS string) || ' × 480</span></li>'
+  || '<li><b>IR Range</b> <i>Up to ' || cast(p_size AS string) || ' m</i></li>'
+  || '<li>Aperture<p>F1.' || cast(p_size AS string) || '</p></li>'
+  || CASE WHEN p_size % 2 = 0 THEN '<li>Third Stream<p>yes</p></li>' ELSE '<li>Sub-stream<p>yes</p></li>' END
+  || '<li>Main Stream<p>50Hz: 20 fps (' || cast(640 + p_size AS string) || ' × 480), 25 fps (320 × 240)</p></li>'
+  || '<li>Communication Interface<p>RJ45 ' || cast(p_size AS string) || '</p></li>'
+  || '<li>Video Output<p>' || CASE WHEN p_size % 3 = 0 THEN 'No' ELSE 'HDMI' END || '</p></li>'
+  || '<li>On-board Storage<p>RJ45 ' || cast(p_partkey % 50 + 1 AS string) || '</p></li>'
+  || '<li>Smart Event<p>Line crossing, face, other</p></li><li>Smart Event<p>second</p></li>'
+  || '<li>Weatherproof Protection<p>IP' || cast(60 + p_size % 8 AS string) || ' &amp; more</p></li><li>Home</li></ul></body>' AS html
+FROM {part}
+"""
+
 # Listing pages with product links, one per supplier nation entry.
 VIEWS["link_pages"] = """
 SELECT s_suppkey AS page_id,

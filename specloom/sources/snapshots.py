@@ -41,8 +41,9 @@ def write_runs(df: DataFrame, base: str, table: str, files_per_run: int = 1) ->
     Rows are clustered by run and a hash bucket before the write, so a run gives ``files_per_run`` files instead
     of one per task, and a very large run can be spread over as many files as it needs.
     """
-    laid = with_layout(df)
-    bucket = F.pmod(F.xxhash64(*[c for c in df.columns if c != "run_id"]), F.lit(files_per_run)).cast("int")
+    typed = typed_records(df, table)
+    laid = with_layout(typed)
+    bucket = F.pmod(F.xxhash64(*[c for c in typed.columns if c != "run_id"]), F.lit(files_per_run)).cast("int")
     n = max(files_per_run, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     (laid.repartition(n, F.col("run_id"), bucket).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(os.path.join(base, table)))
@@ -75,7 +76,7 @@ def _exists(spark: SparkSession, path) -> bool:
 def read_table(spark: SparkSession, base: str, table: str) -> DataFrame:
     """All runs of a table, with an explicit schema; an empty frame when nothing is stored."""
     schema = schemas.TABLES[table]
-    full = schemas.StructType(schema.fields).add("year", "int").add("month", "int")
+    full = schemas.StructType(list(schema.fields)).add("year", schemas.IntegerType()).add("month", schemas.IntegerType())
     if not _exists(spark, _path(spark, base, table)):
         return spark.createDataFrame([], full)
     return spark.read.schema(full).parquet(os.path.join(base, table))

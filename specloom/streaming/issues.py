@@ -34,7 +34,7 @@ def event_rate(events: DataFrame, time: str, key: str, kind: str, lateness: str
 
     State is bounded by the watermark: keys and windows older than it are forgotten.
     """
-    once = events.withWatermark(time, lateness).dropDuplicatesWithinWatermark([key])
+    once = events.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, lateness).dropDuplicatesWithinWatermark([key])
     return once.groupBy(F.window(time, window).alias("w"), kind).agg(F.count("*").alias("n")).select(
         F.col("w.start").alias("window_start"), kind, "n")
 
