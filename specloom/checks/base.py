@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from specloom.plans import views
+from specloom.session import configure
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,7 +17,7 @@ class Tables:
     """Base tables and domain views by attribute."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = configure(spark), sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
         return views.table(self.spark, self.sf_dir, name)

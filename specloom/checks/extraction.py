@@ -18,7 +18,7 @@ K = ["page_id"]
 
 
 def product_pages(t):
-    return spread(t.product_pages, t.spark.sparkContext.defaultParallelism)
+    return spread(t.product_pages, t.spark.sparkContext.defaultParallelism, "page_id")
 
 
 # decoded values of the page cells
@@ -150,7 +150,7 @@ check("X14_list_page_specs", f"""WITH lp AS ({LP}), v AS (SELECT *, list_filter(
   {{'f': 'interface_items', 'r': port, 'n': {as_json('ports')}, 'u': NULL}},
   {{'f': 'deep_learning_function_categories', 'r': 'Line crossing, face, other', 'n': '["Face Detection", "Line Crossing Detection"]', 'u': NULL}},
   {{'f': 'approval_protection', 'r': grade, 'n': grade, 'u': 'grade'}}]) AS x FROM v) AS q""")(
-    lambda t: extract.list_page_specs(t.list_pages, K))
+    lambda t: extract.list_page_specs(spread(t.list_pages, t.spark.sparkContext.defaultParallelism, "page_id"), K))
 check("N14_interfaces", f"""WITH lp AS ({LP}) SELECT page_id, list_filter([port, CASE WHEN video <> 'No' THEN video END, CASE WHEN storage <> port THEN storage END],
   lambda x: x IS NOT NULL) AS ports FROM lp""")(
     lambda t: t.list_pages.select("page_id", H.list_page_pairs(H.clean_html(F.col("html"))).alias("pairs")).select(

@@ -11,12 +11,16 @@ import string
 
 from pyspark.sql import DataFrame, SparkSession
 
+from specloom.sources.pages import spread
+
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
         "embeddings", "pages", "benchmark", "labels", "conversations")
 
 # half-year runs, for example 19950101_monthly_01
 _RUN = "cast(year({0}) AS string) || CASE WHEN month({0}) <= 6 THEN '0101' ELSE '0701' END || '_monthly_01'"
 
+SPREAD_BY = {"lineitem": "l_orderkey", "pages": "page_id"}
+
 VIEWS: dict[str, str] = {}
 
 # One specification record per line item: the line picks the field, the quantity picks the raw text.
@@ -262,7 +266,9 @@ def _names(sql: str) -> list[str]:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A base table (Parquet scan) or a view on it, as a DataFrame; nothing is run."""
     if name in BASE:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        # the large tables may come as one small file: use all cores then
+        return spread(scan, spark.sparkContext.defaultParallelism, SPREAD_BY[name]) if name in SPREAD_BY else scan
     sql = VIEWS[name]
     return spark.sql(sql, **{n: table(spark, sf_dir, n) for n in _names(sql)})
 

@@ -44,6 +44,9 @@ def triage(pages: DataFrame, as_of: Column | None = None, ttl_seconds: int = 864
                         (size < 2000).alias("too_short"))
 
 
-def spread(pages: DataFrame, partitions: int) -> DataFrame:
-    """Spread a page table stored in few files before heavy per-page work; a no-op for a wide scan."""
-    return pages if pages.rdd.getNumPartitions() >= partitions else pages.repartition(partitions)
+def spread(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
+    """Spread a table stored in few files before heavy per-row work; a no-op for a scan that is wide already.
+
+    With a key the rows are hashed (no sort), otherwise dealt out in turn.
+    """
+    return df if df.rdd.getNumPartitions() >= partitions else df.repartition(partitions, *keys)
