@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
                .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
+    from specloom.session import configure
+    configure(session)
     yield session
     session.stop()
 
@@ -27,3 +29,9 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
+
+
+def frame(spark, rows, schema):
+    """Small DataFrame from dicts; missing keys become NULL."""
+    names = [c.split()[0] for c in schema.split(", ")]
+    return spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], schema)
