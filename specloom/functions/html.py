@@ -123,6 +123,8 @@ def table_pairs(rows: Column) -> Column:
 def block_pairs(clean: Column, layout: tuple[str, str, str, str], inner_tag: str, method: str) -> Column:
     """One pair per vendor block (container, title and value found by class name)."""
     tag, container, title, value = layout
+    # most pages do not use the layout: a plain search tells that faster than a pattern
+    clean = F.when(F.contains(clean, F.lit(container)), clean)
     blocks = F.transform(pieces(clean, open_tag(tag, container), open_tag(tag, container)), lambda b: balanced(b, tag))
 
     def part(block: Column, css_class: str) -> Column:
@@ -130,7 +132,8 @@ def block_pairs(clean: Column, layout: tuple[str, str, str, str], inner_tag: str
 
     pairs = F.transform(blocks, lambda b, i: _pair(
         F.lower(part(b, title)), part(b, value), True, 1.0, method, i, F.lit(0)))
-    return F.filter(pairs, lambda p: p.label.isNotNull() & p.value.isNotNull()).cast(PAIR)
+    return F.coalesce(F.filter(pairs, lambda p: p.label.isNotNull() & p.value.isNotNull()).cast(PAIR),
+                      F.array().cast(PAIR))
 
 
 def vendor_pairs(clean: Column) -> Column:
@@ -260,7 +263,7 @@ def position_hit(field: R.Field, container_rows: Column) -> Column:
 def regex_hit(code: str, text: Column) -> Column | None:
     """First value-like text of the page."""
     if code == "max_resolution":
-        raw = F.concat(found(text, V.SIZE, 1), F.lit("x"), found(text, V.SIZE, 2))
+        raw = F.regexp_replace(found(text, V.SIZE, 0), V.SIZE_SIGN, "x")
     elif code == "supplement_light_range":
         raw = found(text, rf"(?iU){V.NUMBER}\s*(?:m|meters?|ft|feet)\b", 0)
     elif code == "aperture":
@@ -272,23 +275,26 @@ def regex_hit(code: str, text: Column) -> Column | None:
 
 # --- X10-X13: fields read from the page as a whole --------------------------------------------------
 
-def stream_count_hit(text: Column) -> Column:
-    """X11."""
-    said = lambda word: text.rlike(rf"(?iU){word}\s+stream")
+def stream_count_hit(low: Column) -> Column:
+    """X11, from the lower-case page text."""
+    said = lambda word: low.rlike(rf"(?U){word}\s+stream")
     count = F.when(said("third"), "3").when(said("sub"), "2").when(said("main"), "1")
-    return F.when(count.isNotNull(), _hit(count, 1.0, "page_inference"))
+    return F.when(F.contains(low, F.lit("stream")) & count.isNotNull(), _hit(count, 1.0, "page_inference"))
 
 
-def light_type_hit(text: Column) -> Column:
-    """X12, with the infrared and warm light pair of X13."""
-    low = F.lower(text)
+def light_type_hit(low: Column) -> Column:
+    """X12, with the infrared and warm light pair of X13, from the lower-case page text.
+
+    A plain search for a word stands before each pattern: most pages fail it, and it is much cheaper.
+    """
     has = lambda word: F.contains(low, F.lit(word))
     hit = lambda value, confidence: _hit(F.lit(value), confidence, "page_inference")
-    return (F.when(low.rlike(V.IR_RANGE) | low.rlike(V.IR_WAVELENGTH), hit("IR", 1.0))
+    warm = has("warm") & low.rlike(V.WARM_LIGHT)
+    return (F.when((has("range") & low.rlike(V.IR_RANGE)) | (has("wavelength") & low.rlike(V.IR_WAVELENGTH)), hit("IR", 1.0))
             .when(has("infrared"), hit("IR", 0.9))
-            .when(low.rlike(V.WHITE_LIGHT), hit("White Light", 1.0))
-            .when(low.rlike(V.WARM_LIGHT) & has("ir"), _hit(F.lit("IR + Warm Light"), 0.9, "light_pair"))
-            .when(low.rlike(V.WARM_LIGHT), hit("Warm Light", 1.0))
+            .when(has("white") & low.rlike(V.WHITE_LIGHT), hit("White Light", 1.0))
+            .when(warm & has("ir"), _hit(F.lit("IR + Warm Light"), 0.9, "light_pair"))
+            .when(warm, hit("Warm Light", 1.0))
             .when(has("laser"), hit("Laser", 1.0)))
 
 

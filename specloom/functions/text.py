@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import wraps
 from html.entities import name2codepoint
 
+from pyspark import SparkContext
 from pyspark.sql import Column, functions as F
 
 # Characters counted as white space, beyond the plain blank that SQL ``trim`` knows.
@@ -13,6 +15,26 @@ WHITESPACE = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0 "
 STRINGS = "array<string>"
 
 
+def built_once(make):
+    """Keep the result of a function that builds large column expressions, per running Spark context.
+
+    Building an expression costs a call to the JVM per node; an unresolved column can be used in any number of
+    plans.
+    """
+    kept = {}
+
+    def get(*args):
+        context = SparkContext._active_spark_context
+        key = (id(context), context.applicationId if context else None, *args)
+        if key not in kept:
+            for old in [k for k in kept if k[:2] != key[:2]]:  # of a context that was stopped
+                del kept[old]
+            kept[key] = make(*args)
+        return kept[key]
+
+    return wraps(make)(get)
+
+
 def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(WHITESPACE))
 
@@ -122,4 +144,5 @@ def decode_entities(c: Column, keep_markup: bool = False) -> Column:
 
 
 def restore_markup(c: Column) -> Column:
-    return F.translate(c, STAND_INS, MARKUP)
+    # most texts have no stand-ins, and searching is cheaper than rebuilding
+    return F.when(c.rlike(f"[{STAND_INS}]"), F.translate(c, STAND_INS, MARKUP)).otherwise(c)

@@ -7,11 +7,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from specloom import registry as R
 from specloom.functions import html as H
 from specloom.functions import values as V
-from specloom.functions.text import found, strip
+from specloom.functions.text import built_once, found, strip
+
+
+@built_once
+def _clean_column() -> Column:
+    return H.clean_html(F.col("html"))
 
 
 def _clean(pages: DataFrame, keys: list[str]) -> DataFrame:
-    return pages.select(*keys, H.clean_html(F.col("html")).alias("clean"))
+    return pages.select(*keys, _clean_column().alias("clean"))
 
 
 def page_texts(pages: DataFrame, keys: list[str]) -> DataFrame:
@@ -43,52 +48,59 @@ def field_labels(labels: DataFrame, label: str) -> DataFrame:
     return labels.select("*", F.inline(F.filter(found_fields, lambda x: x.alias_rank.isNotNull())))
 
 
-def extract_raw(pages: DataFrame, keys: list[str]) -> DataFrame:
-    """At most one raw value per page and field, by label, then position, then pattern.
-
-    Pages without a specification container give no rows. All work stays inside the row, so the number and
-    size of the partitions is that of the scan.
-    """
-    parts = _clean(pages, keys).select(
-        *keys, "clean", H.page_text(F.col("clean")).alias("text"), H.table_rows(F.col("clean")).alias("rows"),
-        H.list_items(F.col("clean")).alias("items"))
-    parts = parts.select(
-        *keys, "text", "rows", H.vendor_pairs(F.col("clean")).alias("blocks"),
-        H.vendor_list_pairs(F.col("clean")).alias("block_list"), H.table_pairs(F.col("rows")).alias("cells"),
-        H.list_pairs(F.col("items")).alias("listed"), H.definition_pairs(F.col("clean")).alias("defined"),
-        H.spec_container(F.col("clean")).alias("container"))
-    structures = [F.col(c) for c in ("blocks", "block_list", "cells", "listed", "defined")]
-    parts = parts.select(*keys, "text", "rows", "blocks", "container",
-                         H.table_rows(F.col("container")).alias("container_rows"),
-                         H.label_hits(structures).alias("labelled"))
-    by_label = {f.code: F.get(F.col("labelled"), F.lit(i)) for i, f in enumerate(H.LABEL_FIELDS)}
+@built_once
+def _raw_stages() -> list[list[Column]]:
+    """The columns of the extraction stages, from ``clean`` to the array of hits."""
+    c = F.col
+    cut = [H.page_text(c("clean")).alias("text"), H.table_rows(c("clean")).alias("rows"),
+           H.list_items(c("clean")).alias("items"), c("clean")]
+    paired = [c("text"), F.lower("text").alias("low"), c("rows"), H.vendor_pairs(c("clean")).alias("blocks"),
+              H.vendor_list_pairs(c("clean")).alias("block_list"), H.table_pairs(c("rows")).alias("cells"),
+              H.list_pairs(c("items")).alias("listed"), H.definition_pairs(c("clean")).alias("defined"),
+              H.spec_container(c("clean")).alias("container")]
+    structures = [c(n) for n in ("blocks", "block_list", "cells", "listed", "defined")]
+    labelled = [c("text"), c("low"), c("rows"), c("blocks"), c("container"), H.table_rows(c("container")).alias("container_rows"),
+                H.label_hits(structures).alias("labelled")]
+    by_label = {f.code: F.get(c("labelled"), F.lit(i)) for i, f in enumerate(H.LABEL_FIELDS)}
 
     def hit(field: R.Field) -> Column:
         if field.code == "stream_count":
-            return H.stream_count_hit(F.col("text"))
+            return H.stream_count_hit(c("low"))
         if field.code == "supplement_light_type":
-            return H.light_type_hit(F.col("text"))
+            return H.light_type_hit(c("low"))
         if field.code == "deep_learning_function_categories":
-            return H.smart_functions_hit(F.col("blocks"), F.col("rows"))
+            return H.smart_functions_hit(c("blocks"), c("rows"))
         tries = [by_label[field.code]]
         if field.code in H.ROW_OF_FIELD:
-            tries.append(H.position_hit(field, F.col("container_rows")))
-        pattern = H.regex_hit(field.code, F.col("text"))
+            tries.append(H.position_hit(field, c("container_rows")))
+        pattern = H.regex_hit(field.code, c("text"))
         if pattern is not None:
             tries.append(pattern)
         if field.code == "approval_anti_corrosion_protection":
-            tries.append(H.protection_hit(F.col("rows")))
+            tries.append(H.protection_hit(c("rows")))
         return F.coalesce(*[t.cast(H.HIT) for t in tries])
 
     hits = F.array(*[F.struct(F.lit(f.code).alias("field_code"), hit(f).cast(H.HIT).alias("hit")) for f in R.FIELDS])
     # a condition inside the generator, not a filter: a filter would be pushed down and find the container twice
-    rows = parts.select(*keys, F.inline(F.when(F.col("container").isNotNull(),
-                                               F.filter(hits, lambda h: h.hit.isNotNull()))))
+    found_hits = F.inline(F.when(c("container").isNotNull(), F.filter(hits, lambda h: h.hit.isNotNull())))
     # a distance that cannot be converted is kept at half the confidence
-    bad_distance = ((F.col("field_code") == "supplement_light_range") & F.col("hit.method").startswith("label_")
-                    & V.parse_distance(F.col("hit.raw_value")).error.isNotNull())
-    confidence = F.when(bad_distance, F.col("hit.confidence") * 0.5).otherwise(F.col("hit.confidence"))
-    return rows.select(*keys, "field_code", "hit.raw_value", confidence.alias("confidence"), "hit.method")
+    bad_distance = ((c("field_code") == "supplement_light_range") & c("hit.method").startswith("label_")
+                    & V.parse_distance(c("hit.raw_value")).error.isNotNull())
+    confidence = F.when(bad_distance, c("hit.confidence") * 0.5).otherwise(c("hit.confidence"))
+    flat = [c("field_code"), c("hit.raw_value"), confidence.alias("confidence"), c("hit.method")]
+    return [cut, paired, labelled, [found_hits], flat]
+
+
+def extract_raw(pages: DataFrame, keys: list[str]) -> DataFrame:
+    """At most one raw value per page and field, by label, then position, then pattern.
+
+    Pages without a specification container give no rows. All work stays inside the row, so the number and
+    size of the partitions is that of the scan.
+    """
+    out = _clean(pages, keys)
+    for columns in _raw_stages():
+        out = out.select(*keys, *columns)
+    return out
 
 
 def pages_without_container(pages: DataFrame, keys: list[str]) -> DataFrame:
@@ -119,18 +131,23 @@ def pattern_values(pages: DataFrame, keys: list[str]) -> DataFrame:
 def page_inference(pages: DataFrame, keys: list[str]) -> DataFrame:
     """The fields read from the page as a whole, NULL where the page says nothing."""
     parts = _clean(pages, keys).select(
-        *keys, H.page_text(F.col("clean")).alias("text"), H.vendor_pairs(F.col("clean")).alias("blocks"),
+        *keys, F.lower(H.page_text(F.col("clean"))).alias("low"), H.vendor_pairs(F.col("clean")).alias("blocks"),
         H.table_rows(F.col("clean")).alias("rows"))
     return parts.select(
-        *keys, H.stream_count_hit(F.col("text")).raw_value.alias("stream_count"),
-        H.light_type_hit(F.col("text")).raw_value.alias("light_type"),
+        *keys, H.stream_count_hit(F.col("low")).raw_value.alias("stream_count"),
+        H.light_type_hit(F.col("low")).raw_value.alias("light_type"),
         H.smart_functions_hit(F.col("blocks"), F.col("rows")).raw_value.alias("smart_functions"),
         H.protection_hit(F.col("rows")).raw_value.alias("ip_rating"))
 
 
+@built_once
+def _normal_value(strict_units: bool) -> Column:
+    return V.field_value(F.col("field_code"), F.col("raw_value"), strict_units)
+
+
 def normalize_specs(specs: DataFrame, strict_units: bool = False) -> DataFrame:
     """N1 over a long table: replaces normalized_value and unit, adds the issue texts."""
-    n = specs.withColumn("_n", V.field_value(F.col("field_code"), F.col("raw_value"), strict_units))
+    n = specs.withColumn("_n", _normal_value(strict_units))
     kept = [c for c in specs.columns if c not in ("normalized_value", "unit", "issues")]
     return n.select(*kept, "_n.normalized_value", "_n.unit", "_n.issues")
 
