@@ -36,7 +36,7 @@ ROW7 = """[{'l': 'max. resolution', 'v': res}, {'l': 'image sensor', 'v': sensor
 
 
 def rows_sql(kind: int, rows: str, confidence: float) -> str:
-    return f"""SELECT page_id, i - 1 AS row_pos, 0 AS cell_pos, x.l AS label, x.v AS value, {confidence}::DOUBLE AS confidence
+    return f"""SELECT page_id, cast(i - 1 AS INT) AS row_pos, 0 AS cell_pos, x.l AS label, x.v AS value, {confidence}::DOUBLE AS confidence
       FROM (SELECT page_id, unnest({rows}) AS x, generate_subscripts({rows}, 1) AS i FROM pp WHERE kind = {kind}) AS q"""
 
 
@@ -108,7 +108,7 @@ check("J1_extract_specs", SPECS_OF + " SELECT * FROM e", "catalog")(
         "run_id", "brand", "series_l1", "series_l2", "product_model", "field_code", "raw_value", "extract_confidence"))
 check("A15_extraction_counts", SPECS_OF + """ SELECT run_id, p AS products_processed, coalesce(n, 0) AS specs_extracted,
     CASE WHEN p > 0 THEN round(coalesce(n, 0) / cast(p AS DOUBLE), 2) ELSE 0 END AS avg_specs_per_product, f AS extraction_failures
-  FROM (SELECT run_id, sum((coalesce(product_url, '') LIKE 'https%')::INT) AS p, sum((coalesce(product_url, '') NOT LIKE 'https%')::INT) AS f FROM catalog GROUP BY run_id) AS c
+  FROM (SELECT run_id, cast(sum((coalesce(product_url, '') LIKE 'https%')::INT) AS BIGINT) AS p, cast(sum((coalesce(product_url, '') NOT LIKE 'https%')::INT) AS BIGINT) AS f FROM catalog GROUP BY run_id) AS c
   LEFT JOIN (SELECT run_id, count(*) AS n FROM e GROUP BY run_id) AS k USING (run_id)""", "catalog")(
     lambda t: extract.extraction_counts(t.catalog, t.product_pages, extract.extract_specs(t.catalog, product_pages(t))))
 TERMS = ", ".join(f"('{f.code}', {i}, '{term}')" for f in R.FIELDS for i, term in enumerate(f.terms))
@@ -151,15 +151,15 @@ check("X14_list_page_specs", f"""WITH lp AS ({LP}), v AS (SELECT *, list_filter(
   {{'f': 'deep_learning_function_categories', 'r': 'Line crossing, face, other', 'n': '["Face Detection", "Line Crossing Detection"]', 'u': NULL}},
   {{'f': 'approval_protection', 'r': grade, 'n': grade, 'u': 'grade'}}]) AS x FROM v) AS q""")(
     lambda t: extract.list_page_specs(spread(t.list_pages, t.spark.sparkContext.defaultParallelism, "page_id"), K))
-check("N14_interfaces", f"""WITH lp AS ({LP}) SELECT page_id, list_filter([port, CASE WHEN video <> 'No' THEN video END, CASE WHEN storage <> port THEN storage END],
-  lambda x: x IS NOT NULL) AS ports FROM lp""")(
+check("N14_interfaces", f"""WITH lp AS ({LP}) SELECT page_id, array_to_string(list_filter([port, CASE WHEN video <> 'No' THEN video END, CASE WHEN storage <> port THEN storage END],
+  lambda x: x IS NOT NULL), '|') AS ports FROM lp""")(
     lambda t: t.list_pages.select("page_id", H.list_page_pairs(H.clean_html(F.col("html"))).alias("pairs")).select(
-        "page_id", H.interfaces(F.col("pairs"), H.list_page_value(F.col("pairs"), R.LIST_PAGE_LABELS["interface_items"])).alias("ports")))
+        "page_id", F.array_join(H.interfaces(F.col("pairs"), H.list_page_value(F.col("pairs"), R.LIST_PAGE_LABELS["interface_items"])), "|").alias("ports")))
 
 # --- links -----------------------------------------------------------------------------------------
 
 SITE = "https://z.example"
-check("X15_page_links", r"""SELECT page_id, pos - 1 AS pos, regexp_extract(tag, 'href="([^"]*)"', 1) AS href FROM (
+check("X15_page_links", r"""SELECT page_id, cast(pos - 1 AS INT) AS pos, regexp_extract(tag, 'href="([^"]*)"', 1) AS href FROM (
   SELECT page_id, unnest(regexp_extract_all(html, '<a [^>]*>')) AS tag, generate_subscripts(regexp_extract_all(html, '<a [^>]*>'), 1) AS pos FROM pages) AS a""")(
     lambda t: extract.page_links(t.pages, K).select("page_id", "pos", "href"))
 check("X15_tabbed_site", f"""WITH l AS (SELECT s_suppkey AS page_id, s_suppkey AS k, s_nationkey AS n FROM supplier)

@@ -40,8 +40,8 @@ check("J3_merge_manual", MERGED + " SELECT * FROM merged", "specs", "manual")(
 check("J3_merge_counts", MERGED + f""", g AS (SELECT product_model, field_code, {USABLE} AS ok, count(*) AS n FROM manual GROUP BY 1, 2, 3),
   e AS (SELECT g.*, EXISTS (SELECT 1 FROM s WHERE s.product_model = g.product_model AND s.field_code = g.field_code) AS inside FROM g),
   a AS (SELECT *, CASE WHEN ok AND NOT inside THEN CASE WHEN product_model IS NULL THEN n ELSE 1 END ELSE 0 END AS added FROM e)
-  SELECT sum(n) AS manual_inputs_count, sum(CASE WHEN ok THEN n - added ELSE 0 END) AS overrides_applied, sum(added) AS new_products_added,
-         sum(CASE WHEN ok THEN 0 ELSE n END) AS import_errors FROM a""", "specs", "manual")(
+  SELECT cast(sum(n) AS BIGINT) AS manual_inputs_count, cast(sum(CASE WHEN ok THEN n - added ELSE 0 END) AS BIGINT) AS overrides_applied, cast(sum(added) AS BIGINT) AS new_products_added,
+         cast(sum(CASE WHEN ok THEN 0 ELSE n END) AS BIGINT) AS import_errors FROM a""", "specs", "manual")(
     lambda t: merge.merge_counts(t.specs, t.manual, RUN))
 check("J4_override_status", f"""SELECT input_id, brand, product_model, field_code,
   CASE WHEN hit THEN 'applied' ELSE 'skipped' END AS status, CASE WHEN NOT hit THEN 'No matching spec record found' END AS reason

@@ -24,14 +24,14 @@ check("A2_distinct_models", """SELECT brand, series_l1, series_l2, count(DISTINC
 check("A3_coverage", """, c AS (SELECT brand, count(DISTINCT product_model) AS catalog_models FROM catalog GROUP BY brand),
   s AS (SELECT brand, count(DISTINCT product_model) AS spec_models FROM (SELECT * FROM specs WHERE is_manual_override) AS o GROUP BY brand),
   j AS (SELECT c.brand, catalog_models, coalesce(spec_models, 0) AS spec_models FROM c LEFT JOIN s ON c.brand = s.brand)
-  SELECT brand, sum(catalog_models) AS catalog_models, sum(spec_models) AS spec_models,
-         sum(spec_models) * 100 / cast(sum(catalog_models) AS DOUBLE) AS coverage_pct
+  SELECT brand, cast(sum(catalog_models) AS BIGINT) AS catalog_models, cast(sum(spec_models) AS BIGINT) AS spec_models,
+         cast(sum(spec_models) AS BIGINT) * 100 / cast(cast(sum(catalog_models) AS BIGINT) AS DOUBLE) AS coverage_pct
   FROM j GROUP BY GROUPING SETS ((brand), ())""", "catalog", "specs")(
     lambda t: report.coverage(t.catalog, select.overridden(t.specs)))
-check("A4_field_coverage", "SELECT f.field_code, " + ", ".join(f"coalesce(sum((brand = '{b}')::INT), 0) AS \"{b}\"" for b in BRANDS)
+check("A4_field_coverage", "SELECT f.field_code, " + ", ".join(f"coalesce(cast(sum((brand = '{b}')::INT) AS BIGINT), 0) AS \"{b}\"" for b in BRANDS)
       + f", count(s.brand) AS total FROM (SELECT unnest([{FIELD_LIST}]) AS field_code) AS f LEFT JOIN specs AS s USING (field_code) GROUP BY 1",
       "specs")(lambda t: report.field_coverage(t.specs, BRANDS))
-check("A5_average_fields", """SELECT brand, count(*) AS products, sum(n) AS records, avg(fields) AS avg_fields FROM (
+check("A5_average_fields", """SELECT brand, count(*) AS products, cast(sum(n) AS BIGINT) AS records, avg(fields) AS avg_fields FROM (
   SELECT brand, product_model, count(DISTINCT field_code) AS fields, count(*) AS n FROM specs GROUP BY brand, product_model) AS p
   GROUP BY brand""", "specs")(lambda t: report.average_fields(t.specs))
 check("A8_field_statistics", """SELECT f.run_id, f.field_code, n, products - with_field AS missing FROM (
@@ -43,11 +43,11 @@ SUMMARY = f""", {PATHS}, i AS ({RECORD_ISSUES}),
   c AS (SELECT run_id, count(*) AS catalog_count, count(DISTINCT brand || '/' || product_model) AS models FROM catalog GROUP BY run_id),
   s AS (SELECT run_id, count(*) AS spec_field_count, count(DISTINCT brand || '/' || product_model) AS with_specs FROM specs GROUP BY run_id),
   q AS (SELECT run_id, count(*) AS issue_count, count(DISTINCT product_model) AS failed FROM i GROUP BY run_id),
-  h AS (SELECT run_id, sum((change = 'added')::INT) AS added, sum((change = 'removed')::INT) AS removed FROM ch GROUP BY run_id),
+  h AS (SELECT run_id, cast(sum((change = 'added')::INT) AS BIGINT) AS added, cast(sum((change = 'removed')::INT) AS BIGINT) AS removed FROM ch GROUP BY run_id),
   summary AS (SELECT coalesce(r.run_id, c.run_id) AS run_id, schedule_type, started_at, ended_at,
-    date_diff('second', started_at, ended_at) AS duration_seconds, coalesce(catalog_count, 0) AS catalog_count,
-    coalesce(spec_field_count, 0) AS spec_field_count, coalesce(issue_count, 0) AS issue_count,
-    coalesce(added, 0) AS new_series_count, coalesce(removed, 0) AS disappeared_series_count,
+    date_diff('second', started_at, ended_at) AS duration_seconds, cast(coalesce(catalog_count, 0) AS INT) AS catalog_count,
+    cast(coalesce(spec_field_count, 0) AS INT) AS spec_field_count, cast(coalesce(issue_count, 0) AS INT) AS issue_count,
+    cast(coalesce(added, 0) AS INT) AS new_series_count, cast(coalesce(removed, 0) AS INT) AS disappeared_series_count,
     CASE WHEN catalog_count > 0 THEN (catalog_count - coalesce(issue_count, 0)) / cast(catalog_count AS DOUBLE) ELSE 0 END AS success_rate,
     CASE WHEN catalog_count > 0 THEN round((catalog_count - coalesce(failed, 0)) / cast(catalog_count AS DOUBLE), 4) ELSE 0 END AS product_success_rate,
     CASE WHEN models > 0 THEN coalesce(with_specs, 0) / cast(models AS DOUBLE) ELSE 0 END AS spec_success_rate, status
@@ -64,23 +64,23 @@ check("A9_run_summary", SUMMARY + " SELECT * EXCLUDE (product_success_rate, spec
 check("A10_success_rates", SUMMARY + " SELECT run_id, success_rate, product_success_rate, spec_success_rate FROM summary",
       "runs", "catalog", "specs", "hierarchy")(
     lambda t: summary_of(t).select("run_id", "success_rate", "product_success_rate", "spec_success_rate"))
-check("A11_fetch_statistics", """SELECT count(*) AS total_items, sum(success::INT) AS successful, sum((NOT success)::INT) AS failed,
-  sum(success::INT) * 100.0::DOUBLE / count(*) AS success_rate, sum(CASE WHEN success THEN size ELSE 0 END) AS total_bytes,
-  sum(CASE WHEN success THEN size ELSE 0 END)::DOUBLE / sum(success::INT) AS avg_bytes_per_item FROM fetch_log""", "fetch_log")(
+check("A11_fetch_statistics", """SELECT count(*) AS total_items, cast(sum(success::INT) AS BIGINT) AS successful, cast(sum((NOT success)::INT) AS BIGINT) AS failed,
+  cast(sum(success::INT) AS BIGINT) * 100.0::DOUBLE / count(*) AS success_rate, cast(sum(CASE WHEN success THEN size ELSE 0 END) AS BIGINT) AS total_bytes,
+  cast(sum(CASE WHEN success THEN size ELSE 0 END) AS BIGINT)::DOUBLE / cast(sum(success::INT) AS BIGINT) AS avg_bytes_per_item FROM fetch_log""", "fetch_log")(
     lambda t: report.fetch_statistics(t.fetch_log))
 check("A12_catalog_summary", """SELECT brand, count(*) AS total_items, count(DISTINCT brand) AS total_brands,
   count(DISTINCT series_l1) AS total_series_l1, count(DISTINCT series_l2) AS total_series_l2, count(DISTINCT product_model) AS total_models
   FROM catalog GROUP BY GROUPING SETS ((brand), ())""", "catalog")(
     lambda t: report.catalog_summary(t.catalog))
 check("A13_hierarchy_summary", """SELECT run_id, count(*) AS total_nodes, count(DISTINCT brand) AS total_brands,
-  sum((series_l2 IS NULL)::INT) AS total_l1, count(series_l2) AS total_l2, min(discovered_at) AS discovery_time
+  cast(sum((series_l2 IS NULL)::INT) AS BIGINT) AS total_l1, count(series_l2) AS total_l2, min(discovered_at) AS discovery_time
   FROM hierarchy GROUP BY run_id""", "hierarchy")(lambda t: report.hierarchy_summary(t.hierarchy))
 check("A14_duplicate_groups", """SELECT brand, series_l1, series_l2, product_model, product_url, product_name, group_size FROM (
   SELECT *, count(*) OVER (PARTITION BY brand, series_l1, series_l2, product_model) AS group_size FROM catalog) AS c
   WHERE group_size > 1""", "catalog")(lambda t: report.duplicate_groups(t.catalog))
 check("A16_run_report", SUMMARY + """, k AS (SELECT run_id, brand FROM catalog UNION SELECT run_id, brand FROM specs),
   cb AS (SELECT run_id, brand, count(*) AS catalog_entries FROM catalog GROUP BY ALL), sb AS (SELECT run_id, brand, count(*) AS spec_records FROM specs GROUP BY ALL),
-  ib AS (SELECT run_id, brand, count(*) AS issues, sum((severity = 'P1')::INT) AS p1, sum((severity = 'P2')::INT) AS p2, sum((severity = 'P3')::INT) AS p3 FROM i GROUP BY run_id, brand)
+  ib AS (SELECT run_id, brand, count(*) AS issues, cast(sum((severity = 'P1')::INT) AS BIGINT) AS p1, cast(sum((severity = 'P2')::INT) AS BIGINT) AS p2, cast(sum((severity = 'P3')::INT) AS BIGINT) AS p3 FROM i GROUP BY run_id, brand)
   SELECT k.run_id, k.brand, coalesce(catalog_entries, 0) AS catalog_entries, coalesce(spec_records, 0) AS spec_records, coalesce(issues, 0) AS issues,
     coalesce(p1, 0) AS p1, coalesce(p2, 0) AS p2, coalesce(p3, 0) AS p3, status, success_rate
   FROM k LEFT JOIN cb USING (run_id, brand) LEFT JOIN sb USING (run_id, brand) LEFT JOIN ib USING (run_id, brand) LEFT JOIN summary USING (run_id)""",
@@ -126,8 +126,8 @@ check("J9_new_entries", """SELECT DISTINCT run_id, brand, product_model FROM spe
 check("U1_hierarchy_changes", f", {PATHS} SELECT * FROM ch", "hierarchy")(lambda t: diff.hierarchy_changes(t.hierarchy))
 check("U1_two_runs", f""", {PATHS} SELECT brand, series_l1, series_l2, change FROM ch WHERE run_id = '19960701_monthly_01'""", "hierarchy")(
     lambda t: diff.compare_hierarchies(t.hierarchy.where("run_id = '19960701_monthly_01'"), t.hierarchy.where("run_id = '19960101_monthly_01'")))
-check("U1_change_counts", f""", {PATHS} SELECT run_id, brand, sum((change = 'added')::INT) AS new_series_count,
-  sum((change = 'removed')::INT) AS disappeared_series_count FROM ch GROUP BY run_id, brand""", "hierarchy")(
+check("U1_change_counts", f""", {PATHS} SELECT run_id, brand, cast(sum((change = 'added')::INT) AS BIGINT) AS new_series_count,
+  cast(sum((change = 'removed')::INT) AS BIGINT) AS disappeared_series_count FROM ch GROUP BY run_id, brand""", "hierarchy")(
     lambda t: diff.series_change_counts(t.hierarchy))
 check("U2_series_overlap", """SELECT product_model FROM specs WHERE field_code = 'aperture' INTERSECT
   SELECT product_model FROM specs WHERE field_code = 'lens_type'""", "specs")(
@@ -162,7 +162,7 @@ check("W7_spec_changes", """, r AS (SELECT run_id, row_number() OVER (ORDER BY r
 check("T1_recent_runs", "SELECT * FROM runs WHERE status = 'completed' ORDER BY started_at DESC, run_id DESC LIMIT 5", "runs")(
     lambda t: report.recent_runs(t.runs, 5, status="completed"))
 check("T2_top_missing_fields", J7 + """ SELECT * FROM (SELECT brand, field_code, missing_products,
-  row_number() OVER (PARTITION BY brand ORDER BY missing_products DESC, field_code) AS rank
+  cast(row_number() OVER (PARTITION BY brand ORDER BY missing_products DESC, field_code) AS INT) AS rank
   FROM (SELECT brand, field_code, count(*) AS missing_products FROM m GROUP BY brand, field_code) AS c) AS k WHERE rank <= 5""", "catalog", "specs")(
     lambda t: report.top_missing_fields(t.catalog, select.overridden(t.specs)))
 check("T3_first_uncovered", """SELECT DISTINCT brand, series_l1, series_l2, product_model FROM catalog AS c WHERE NOT EXISTS (

@@ -79,7 +79,7 @@ def _(t):
         *NODE.split(", "), "product_model", "product_name", "product_url", "locale", "catalog_status")
 
 
-check("S11_page_triage", """SELECT page_id, length(html) AS size, FALSE AS stale, length(html) < 1000 OR NOT regexp_matches(html, '(?i)<body') AS needs_render,
+check("S11_page_triage", """SELECT page_id, cast(length(html) AS INT) AS size, FALSE AS stale, length(html) < 1000 OR NOT regexp_matches(html, '(?i)<body') AS needs_render,
   length(html) < 2000 AS too_short FROM pages""")(lambda t: pages.triage(t.pages).drop("url"))
 check("E2_site_products", """SELECT name, count(*) AS pages FROM (SELECT 'DS-2CD' || s_suppkey || ' G2' AS name FROM supplier UNION ALL SELECT 'model ' || s_suppkey FROM supplier) AS n
   GROUP BY name""")(lambda t: _site_products(t))
