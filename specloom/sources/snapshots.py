@@ -35,18 +35,15 @@ def with_layout(df: DataFrame) -> DataFrame:
     return df.withColumns({"year": F.year(day), "month": F.month(day)})
 
 
-def write_runs(df: DataFrame, base: str, table: str, files_per_run: int = 1) -> None:
+def write_runs(df: DataFrame, base: str, table: str) -> None:
     """S3: write all runs of ``df``; a run that is written again replaces itself, other runs stay.
 
-    Rows are clustered by run and a hash bucket before the write, so a run gives ``files_per_run`` files instead
-    of one per task, and a very large run can be spread over as many files as it needs.
+    Rows are rebalanced by run: small runs end in one file instead of one per task, and a run that holds most of
+    the rows is split by size over many tasks (AQE), so no task writes a whole large run.
     """
-    typed = typed_records(df, table)
-    laid = with_layout(typed)
-    bucket = F.pmod(F.xxhash64(*[c for c in typed.columns if c != "run_id"]), F.lit(files_per_run)).cast("int")
-    n = max(files_per_run, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    (laid.repartition(n, F.col("run_id"), bucket).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(os.path.join(base, table)))
+    laid = with_layout(typed_records(df, table)).hint("rebalance", F.col("run_id"))
+    (laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT)
+     .parquet(os.path.join(base, table)))
 
 
 def append_records(df: DataFrame, base: str, table: str, **defaults: Column) -> None:
