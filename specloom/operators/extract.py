@@ -152,12 +152,24 @@ def normalize_specs(specs: DataFrame, strict_units: bool = False) -> DataFrame:
     return n.select(*kept, "_n.normalized_value", "_n.unit", "_n.issues")
 
 
-def extract_specs(catalog: DataFrame, pages: DataFrame, strict_units: bool = False) -> DataFrame:
+def newest_raw(pages: DataFrame, version: str) -> DataFrame:
+    """Raw values of the newest stored copy of each url, by a column that orders the copies.
+
+    The newest copies are found from the slim columns and compared with the extracted values, so HTML is not
+    shuffled even when one url has very many copies.
+    """
+    newest = pages.groupBy("url").agg(F.max(version).alias(version))
+    return extract_raw(pages, ["url", version]).join(newest, ["url", version], "left_semi").drop(version)
+
+
+def extract_specs(catalog: DataFrame, pages: DataFrame, strict_units: bool = False,
+                  version: str | None = None) -> DataFrame:
     """Catalog entries with their stored pages to normalized spec rows.
 
-    Pages are reduced to raw values before the join, so the join moves values and never HTML.
+    Pages are reduced to raw values before the join, so the join moves values and never HTML. A url has one
+    stored page; where it may have several copies, ``version`` names the column that orders them.
     """
-    raw = extract_raw(pages, ["url"])
+    raw = newest_raw(pages, version) if version else extract_raw(pages, ["url"])
     c = catalog.select("run_id", "brand", F.coalesce("series_l1", F.lit("")).alias("series_l1"),
                        F.coalesce("series_l2", F.lit("")).alias("series_l2"), "product_model", "product_url")
     rows = c.join(raw, c.product_url == raw.url)

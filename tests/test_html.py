@@ -105,3 +105,12 @@ def test_pipeline_normalizes(spark):
     assert (rows["supplement_light_range"].normalized_value, rows["supplement_light_range"].unit) == ("50", "m")
     assert rows["image_sensor"].normalized_value == '1/2.8" CMOS'
     assert rows["image_sensor"].series_l2 == ""
+
+
+def test_newest_copy_of_a_page(spark):
+    catalog = spark.createDataFrame([("r", "A", "S", "T", "m", "u")], "run_id string, brand string, series_l1 string, series_l2 string, product_model string, product_url string")
+    page = lambda label, value: f"<table><tr><td>{label}</td><td>{value}</td></tr></table>"
+    pages = spark.createDataFrame([("u", 1, page("Lens Type", "old")), ("u", 2, page("Aperture", "F2")), ("v", 9, page("Aperture", "F9"))], "url string, v int, html string")
+    rows = extract.extract_specs(catalog, pages, version="v").collect()
+    # the first row also stands for the resolution, by position
+    assert sorted((r.field_code, r.raw_value) for r in rows) == [("aperture", "F2"), ("max_resolution", "F2")]
