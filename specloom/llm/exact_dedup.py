@@ -7,7 +7,6 @@ full filter is rebuilt at twice the size from its stored keys. Digests can be de
 
 from __future__ import annotations
 
-import hashlib
 import random
 from collections.abc import Iterator
 
@@ -198,9 +197,6 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The documents whose text no row with a larger ``doc_id`` repeats, with all their columns."""
-    groups = exact_groups(docs).where("kept").select("doc_id").distinct()
-    return docs.join(groups.withColumnRenamed("doc_id", "_kept_id"), F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
-
-
-def sha256_hex(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
+    groups = exact_groups(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    return rows.join(groups, F.col("row.doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi").select("row.*")

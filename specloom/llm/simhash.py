@@ -205,5 +205,7 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
 
 def keep_one(docs: DataFrame, shingle: int = 5, distance: int = DISTANCE) -> DataFrame:
     """One document (the smallest ``doc_id``) of each group of near copies, with all columns; rows without an id stay."""
-    groups = near_groups(docs, shingle, distance).where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(groups, F.col("doc_id") == F.col("_kept_id"), "left_semi").unionByName(docs.where("doc_id is null"))
+    groups = near_groups(docs, shingle, distance).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    kept = rows.join(groups, F.col("row.doc_id").cast("long") == F.col("kept_id"), "left_semi")
+    return kept.unionByName(rows.where("row.doc_id is null")).select("row.*")

@@ -191,7 +191,8 @@ def scored(docs: DataFrame, scorer: Scorer, locate: bool = True) -> DataFrame:
             values = [scorer.score(t) for t in texts]
             spans = [scorer.locate(t) if locate and v >= 0.5 else ([] if locate else None) for t, v in zip(texts, values)]
             yield pd.DataFrame({"toxicity": values, "toxic_spans": spans})
-    return docs.select(*kept, score(text_or_empty()).alias("_score")).select(*kept, "_score.toxicity", "_score.toxic_spans")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), score(text_or_empty()).alias("score"))
+    return rows.select(*[F.col("row").getField(c).alias(c) for c in kept], "score.toxicity", "score.toxic_spans")
 
 
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -203,4 +204,5 @@ def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """The documents that score below ``threshold``, with their columns."""
-    return scored(docs, train(docs, labels), locate=False).where(F.col("toxicity") < threshold).select(*docs.columns)
+    rows = scored(docs.select(F.struct(*docs.columns).alias("row"), F.col("text")), train(docs, labels), locate=False)
+    return rows.where(F.col("toxicity") < threshold).select("row.*")
