@@ -11,6 +11,7 @@ import random
 from collections.abc import Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from specloom.llm.common import materialize, text_or_empty
@@ -39,8 +40,8 @@ class CuckooIndex:
         return len(self.keys) - len(self.free)
 
     def _places(self, digest: str) -> tuple[int, int, int]:
-        mark = int(digest[:4], 16) or 1
-        first = int(digest[4:16], 16) & self.mask
+        mixed = xxhash.xxh3_64_intdigest(digest)
+        mark, first = (mixed & 0xFFFF) or 1, (mixed >> 16) & self.mask
         return mark, first, first ^ self._shift(mark)
 
     def _shift(self, mark: int) -> int:

@@ -26,7 +26,7 @@ def _round(edges: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
-    """``node, component`` for each node that has a link to another node; component is the smallest id reachable.
+    """``node, component`` for each node from which a smaller id can be reached; component is the smallest such id.
 
     Links are undirected; links with a null end, of a node to itself and repeated ones change nothing. A table
     without links gives no rows. The number of rounds grows with the logarithm of the longest path.
