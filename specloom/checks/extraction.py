@@ -12,13 +12,19 @@ from specloom.checks.values import as_json, items
 from specloom.functions import html as H
 from specloom.functions.values import light_type
 from specloom.operators import extract
-from specloom.sources.pages import spread
+from specloom.plans import views
 
 K = ["page_id"]
 
 
 def product_pages(t):
-    return spread(t.product_pages, t.spark.sparkContext.defaultParallelism, "page_id")
+    return spread_view(t, "product_pages")
+
+
+def spread_view(t, name):
+    """A view of pages over ``part`` dealt out by its key: the narrow rows move, not the HTML made from them."""
+    parts = t.part.repartition(t.spark.sparkContext.defaultParallelism, "p_partkey")
+    return t.spark.sql(views.VIEWS[name], part=parts)
 
 
 # decoded values of the page cells
@@ -90,11 +96,12 @@ check("X8_best_value", f"WITH {PP}, {RAW} SELECT * FROM raw")(
     lambda t: extract.extract_raw(product_pages(t), K).select("page_id", "field_code", "raw_value", "confidence"))
 check("W4_one_value_per_field", f"WITH {PP}, {RAW} SELECT field_code, count(*) AS n, count(DISTINCT page_id) AS pages FROM raw GROUP BY field_code")(
     lambda t: extract.extract_raw(product_pages(t), K).groupBy("field_code").agg(F.count("*").alias("n"), F.count_distinct("page_id").alias("pages")))
+QUOTED = f"""list_transform({items}, lambda x: replace(x, '"', chr(92) || '"'))"""
 CELL = "run_id, product_model, field_code, raw_value"
 check("X9_cell_values", f"""SELECT {CELL}, CASE WHEN lower(trim(raw_value)) NOT IN ('', '-', 'n/a', 'none') THEN trim(raw_value) END AS text_value,
-  CASE WHEN lower(trim(r)) NOT IN ('', '-', 'n/a', 'none') AND len({items}) > 0 THEN {as_json(items)} END AS list_value FROM (SELECT *, raw_value AS r FROM specs
-  WHERE field_code = 'interface_items' AND coalesce(raw_value, '') NOT LIKE '[%') AS s""", "specs")(
-    lambda t: t.specs.where("field_code = 'interface_items' AND coalesce(raw_value, '') NOT LIKE '[%'").select(
+  CASE WHEN lower(trim(r)) NOT IN ('', '-', 'n/a', 'none') AND len({items}) > 0 THEN {as_json(QUOTED)} END AS list_value FROM (SELECT *, raw_value AS r FROM specs
+  WHERE field_code = 'interface_items') AS s""", "specs")(
+    lambda t: t.specs.where("field_code = 'interface_items'").select(
         *CELL.split(", "), H.cell_value(F.col("raw_value")).alias("text_value"), H.cell_value(F.col("raw_value"), True).alias("list_value")))
 
 # --- catalog and pages -----------------------------------------------------------------------------
@@ -150,7 +157,7 @@ check("X14_list_page_specs", f"""WITH lp AS ({LP}), v AS (SELECT *, list_filter(
   {{'f': 'interface_items', 'r': port, 'n': {as_json('ports')}, 'u': NULL}},
   {{'f': 'deep_learning_function_categories', 'r': 'Line crossing, face, other', 'n': '["Face Detection", "Line Crossing Detection"]', 'u': NULL}},
   {{'f': 'approval_protection', 'r': grade, 'n': grade, 'u': 'grade'}}]) AS x FROM v) AS q""")(
-    lambda t: extract.list_page_specs(spread(t.list_pages, t.spark.sparkContext.defaultParallelism, "page_id"), K))
+    lambda t: extract.list_page_specs(spread_view(t, "list_pages"), K))
 check("N14_interfaces", f"""WITH lp AS ({LP}) SELECT page_id, array_to_string(list_filter([port, CASE WHEN video <> 'No' THEN video END, CASE WHEN storage <> port THEN storage END],
   lambda x: x IS NOT NULL), '|') AS ports FROM lp""")(
     lambda t: t.list_pages.select("page_id", H.list_page_pairs(H.clean_html(F.col("html"))).alias("pairs")).select(
@@ -159,9 +166,13 @@ check("N14_interfaces", f"""WITH lp AS ({LP}) SELECT page_id, array_to_string(li
 # --- links -----------------------------------------------------------------------------------------
 
 SITE = "https://z.example"
-check("X15_page_links", r"""SELECT page_id, cast(pos - 1 AS INT) AS pos, regexp_extract(tag, 'href="([^"]*)"', 1) AS href FROM (
-  SELECT page_id, unnest(regexp_extract_all(html, '<a [^>]*>')) AS tag, generate_subscripts(regexp_extract_all(html, '<a [^>]*>'), 1) AS pos FROM pages) AS a""")(
-    lambda t: extract.page_links(t.pages, K).select("page_id", "pos", "href"))
+LONG_NAME = "one two three four five six seven eight nine ten eleven twelve"
+check("X15_page_links", r"""SELECT page_id, cast(pos - 1 AS INT) AS pos, regexp_extract(tag, 'href="([^"]*)"', 1) AS href,
+    trim(regexp_replace(regexp_extract(tag, '>(.*)</a>', 1), '\s+', ' ', 'g')) AS text FROM (
+  SELECT page_id, unnest(regexp_extract_all(html, '(?s)<a [^>]*>.*?</a>')) AS tag, generate_subscripts(regexp_extract_all(html, '(?s)<a [^>]*>.*?</a>'), 1) AS pos FROM pages) AS a""")(
+    lambda t: extract.page_links(t.pages, K).select("page_id", "pos", "href", "text"))
+check("X15_long_link_text", f"SELECT page_id, '{LONG_NAME}' AS text FROM pages")(
+    lambda t: extract.page_links(t.pages.select("page_id", F.lit(f"<a href='/x'>{LONG_NAME}</a>").alias("html")), K).select("page_id", "text"))
 check("X15_tabbed_site", f"""WITH l AS (SELECT s_suppkey AS page_id, s_suppkey AS k, s_nationkey AS n FROM supplier)
   SELECT page_id, 'series' AS kind, 'wizsense-' || n AS name, '{SITE}/products/network-products/network-cameras/wizsense-' || n AS url FROM l
   UNION ALL SELECT page_id, 'subseries', '2 Line', '{SITE}/network-cameras/pro/2-line/IPC-' || k || '-a' FROM l

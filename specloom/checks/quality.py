@@ -59,11 +59,6 @@ CHANGED = """
            || brand || '|' || series_l1 || '|' || series_l2 AS issue_detail, 'P3' AS severity FROM ch"""
 
 
-def thin_catalog(catalog):
-    """Catalog of one locale only, so that some hierarchy nodes have no entry."""
-    return catalog.where("locale = 'fr'")
-
-
 # --- rules -----------------------------------------------------------------------------------------
 
 for _name, _type in (("Q1_missing_field", "missing_field"), ("Q2_parse_failed", "parse_failed"), ("Q3_unit_abnormal", "unit_abnormal")):
@@ -76,9 +71,9 @@ check("Q4_duplicate_model", f"SELECT {KEYS}, field_code, issue_type, issue_detai
 
 @check("Q5_subseries_empty", f"""SELECT run_id, brand, series_l1, series_l2, '' AS product_model, CAST(NULL AS VARCHAR) AS field_code,
   'subseries_empty' AS issue_type, 'Subseries ''' || series_l2 || ''' has no products' AS issue_detail, 'P2' AS severity
-  FROM ({EMPTY.format(h='hierarchy', c="(SELECT * FROM catalog WHERE locale = 'fr')")}) AS e""", "hierarchy", "catalog")
+  FROM ({EMPTY.format(h='hierarchy', c="catalog")}) AS e""", "hierarchy", "catalog")
 def _(t):
-    return quality.empty_subseries(t.hierarchy, thin_catalog(t.catalog))
+    return quality.empty_subseries(t.hierarchy, t.catalog)
 
 
 check("Q6_hierarchy_changed", f", {PATHS} {CHANGED}", "hierarchy")(
@@ -96,17 +91,32 @@ def _(t):
 
 
 @check("Q9_issue_workflow", """SELECT run_id, brand, series_l1, series_l2, product_model, issue_type, field_code, issue_detail, severity,
-  CASE WHEN severity = 'P1' THEN 'resolved' ELSE status END AS status,
-  CASE WHEN severity = 'P1' AND product_model IS NOT NULL THEN 'owner of ' || product_model ELSE owner END AS owner, created_at
+  CASE WHEN severity = 'P1' THEN 'ignored' ELSE status END AS status,
+  CASE WHEN severity = 'P1' AND product_model IS NOT NULL THEN 'clerk of ' || product_model ELSE owner END AS owner, created_at
   FROM issues""", "issues")
 def _(t):
-    # every critical issue is taken over by the owner of its model
-    updates = t.issues.where("severity = 'P1'").select(
-        quality.issue_key().alias("issue_key"), F.lit("resolved").alias("status"),
-        F.concat(F.lit("owner of "), "product_model").alias("owner"))
+    # every critical issue is resolved by the owner of its model and ignored by a clerk a day later: the last one counts
+    critical = t.issues.where("severity = 'P1'").select(quality.issue_key().alias("issue_key"), "product_model")
+    update = lambda status, who, day: critical.select(
+        "issue_key", F.lit(status).alias("status"), F.concat(F.lit(who), "product_model").alias("owner"),
+        F.lit(day).cast("timestamp").alias("updated_at"))
+    updates = update("resolved", "owner of ", "2002-01-01").unionByName(update("ignored", "clerk of ", "2002-01-02"))
     return quality.update_issues(t.issues, updates)
 
 
+@check("Q9_null_keys", """SELECT product_model, series_l2, CASE WHEN series_l2 IS NULL THEN 'resolved' ELSE 'open' END AS status FROM (
+  SELECT CAST(NULL AS VARCHAR) AS series_l2, 'M' || p_partkey AS product_model FROM part UNION ALL SELECT 'M' || p_partkey, CAST(NULL AS VARCHAR) FROM part) AS i""")
+def _(t):
+    # two issues whose keys differ only in which column is NULL
+    name, none = F.concat(F.lit("M"), F.col("p_partkey").cast("string")), F.lit(None).cast("string")
+    rows = t.part.select(none.alias("series_l2"), name.alias("product_model")).unionByName(t.part.select(name.alias("series_l2"), none.alias("product_model")))
+    issues = rows.select(*[F.lit("x").alias(c) for c in ("run_id", "brand", "series_l1")], "series_l2", "product_model",
+                         *[F.lit("y").alias(c) for c in ("issue_type", "field_code", "issue_detail")], F.lit("open").alias("status"), none.alias("owner"))
+    updates = issues.where("series_l2 IS NULL").select(quality.issue_key().alias("issue_key"), F.lit("resolved").alias("status"), none.alias("owner"),
+                                                        F.current_timestamp().alias("updated_at"))
+    return quality.update_issues(issues, updates).select("product_model", "series_l2", "status")
+
+
 @check("Q9_batch_status", f"""SELECT status, issue_type, run_id, count(*) AS n FROM (SELECT run_id, issue_type,
   CASE WHEN run_id = '{RUN}' AND issue_type = 'unit_abnormal' THEN 'ignored' ELSE status END AS status FROM issues) AS i
   GROUP BY status, issue_type, run_id""", "issues")
@@ -118,11 +128,11 @@ def _(t):
 @check("Q10_all_rules", f""", {PATHS}, a AS (
   SELECT run_id, issue_type, severity FROM ({RECORD_ISSUES}) AS i
   UNION ALL SELECT run_id, issue_type, severity FROM ({DUPLICATES}) AS d WHERE n > 1
-  UNION ALL SELECT run_id, 'subseries_empty', 'P2' FROM ({EMPTY.format(h='hierarchy', c="(SELECT * FROM catalog WHERE locale = 'fr')")}) AS e
+  UNION ALL SELECT run_id, 'subseries_empty', 'P2' FROM ({EMPTY.format(h='hierarchy', c="catalog")}) AS e
   UNION ALL SELECT run_id, issue_type, severity FROM ({CHANGED}) AS c)
   SELECT run_id, issue_type, severity, count(*) AS n FROM a GROUP BY run_id, issue_type, severity""", "specs", "hierarchy", "catalog")
 def _(t):
-    return quality.all_issues(t.specs, t.hierarchy, thin_catalog(t.catalog)).groupBy("run_id", "issue_type", "severity").agg(
+    return quality.all_issues(t.specs, t.hierarchy, t.catalog).groupBy("run_id", "issue_type", "severity").agg(
         F.count("*").alias("n"))
 
 

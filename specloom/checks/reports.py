@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from specloom import registry as R
 from specloom.checks.base import check
-from specloom.checks.quality import CHANGED, EMPTY, PATHS, RECORD_ISSUES, thin_catalog
+from specloom.checks.quality import CHANGED, EMPTY, PATHS, RECORD_ISSUES
 from specloom.operators import diff, quality, report, select
 
 BRANDS = tuple(f"Brand#{i}" for i in range(1, 26))
@@ -22,21 +22,22 @@ check("A2_distinct_models", """SELECT brand, series_l1, series_l2, count(DISTINC
   CASE grouping(brand, series_l1, series_l2) WHEN 0 THEN 3 WHEN 1 THEN 2 WHEN 3 THEN 1 ELSE 0 END AS level
   FROM catalog GROUP BY ROLLUP (brand, series_l1, series_l2)""", "catalog")(lambda t: report.distinct_models(t.catalog))
 check("A3_coverage", """, c AS (SELECT brand, count(DISTINCT product_model) AS catalog_models FROM catalog GROUP BY brand),
-  s AS (SELECT brand, count(DISTINCT product_model) AS spec_models FROM (SELECT * FROM specs WHERE is_manual_override) AS o GROUP BY brand),
+  s AS (SELECT brand, count(DISTINCT product_model) AS spec_models FROM specs AS o GROUP BY brand),
   j AS (SELECT c.brand, catalog_models, coalesce(spec_models, 0) AS spec_models FROM c LEFT JOIN s ON c.brand = s.brand)
   SELECT brand, cast(sum(catalog_models) AS BIGINT) AS catalog_models, cast(sum(spec_models) AS BIGINT) AS spec_models,
          cast(sum(spec_models) AS BIGINT) * 100 / cast(cast(sum(catalog_models) AS BIGINT) AS DOUBLE) AS coverage_pct
   FROM j GROUP BY GROUPING SETS ((brand), ())""", "catalog", "specs")(
-    lambda t: report.coverage(t.catalog, select.overridden(t.specs)))
+    lambda t: report.coverage(t.catalog, t.specs))
 check("A4_field_coverage", "SELECT f.field_code, " + ", ".join(f"coalesce(cast(sum((brand = '{b}')::INT) AS BIGINT), 0) AS \"{b}\"" for b in BRANDS)
       + f", count(s.brand) AS total FROM (SELECT unnest([{FIELD_LIST}]) AS field_code) AS f LEFT JOIN specs AS s USING (field_code) GROUP BY 1",
       "specs")(lambda t: report.field_coverage(t.specs, BRANDS))
 check("A5_average_fields", """SELECT brand, count(*) AS products, cast(sum(n) AS BIGINT) AS records, avg(fields) AS avg_fields FROM (
   SELECT brand, product_model, count(DISTINCT field_code) AS fields, count(*) AS n FROM specs GROUP BY brand, product_model) AS p
   GROUP BY brand""", "specs")(lambda t: report.average_fields(t.specs))
-check("A8_field_statistics", """SELECT f.run_id, f.field_code, n, products - with_field AS missing FROM (
-  SELECT run_id, field_code, count(*) AS n, count(DISTINCT product_model) AS with_field FROM specs GROUP BY run_id, field_code) AS f
-  JOIN (SELECT run_id, count(DISTINCT product_model) AS products FROM specs GROUP BY run_id) AS p USING (run_id)""", "specs")(
+check("A8_field_statistics", f"""SELECT p.run_id, c.field_code, coalesce(n, 0) AS n, products - coalesce(with_field, 0) AS missing FROM (
+  SELECT run_id, count(DISTINCT product_model) AS products FROM specs GROUP BY run_id) AS p CROSS JOIN (SELECT unnest([{FIELD_LIST}]) AS field_code) AS c
+  LEFT JOIN (SELECT run_id, field_code, count(*) AS n, count(DISTINCT product_model) AS with_field FROM specs GROUP BY run_id, field_code) AS f
+  ON f.run_id = p.run_id AND f.field_code = c.field_code""", "specs")(
     lambda t: report.field_statistics(t.specs))
 
 SUMMARY = f""", {PATHS}, i AS ({RECORD_ISSUES}),
@@ -45,9 +46,9 @@ SUMMARY = f""", {PATHS}, i AS ({RECORD_ISSUES}),
   q AS (SELECT run_id, count(*) AS issue_count, count(DISTINCT product_model) AS failed FROM i GROUP BY run_id),
   h AS (SELECT run_id, cast(sum((change = 'added')::INT) AS BIGINT) AS added, cast(sum((change = 'removed')::INT) AS BIGINT) AS removed FROM ch GROUP BY run_id),
   summary AS (SELECT coalesce(r.run_id, c.run_id) AS run_id, schedule_type, started_at, ended_at,
-    date_diff('second', started_at, ended_at) AS duration_seconds, cast(coalesce(catalog_count, 0) AS INT) AS catalog_count,
-    cast(coalesce(spec_field_count, 0) AS INT) AS spec_field_count, cast(coalesce(issue_count, 0) AS INT) AS issue_count,
-    cast(coalesce(added, 0) AS INT) AS new_series_count, cast(coalesce(removed, 0) AS INT) AS disappeared_series_count,
+    date_diff('second', started_at, ended_at) AS duration_seconds, coalesce(catalog_count, 0) AS catalog_count,
+    coalesce(spec_field_count, 0) AS spec_field_count, coalesce(issue_count, 0) AS issue_count,
+    coalesce(added, 0) AS new_series_count, coalesce(removed, 0) AS disappeared_series_count,
     CASE WHEN catalog_count > 0 THEN (catalog_count - coalesce(issue_count, 0)) / cast(catalog_count AS DOUBLE) ELSE 0 END AS success_rate,
     CASE WHEN catalog_count > 0 THEN round((catalog_count - coalesce(failed, 0)) / cast(catalog_count AS DOUBLE), 4) ELSE 0 END AS product_success_rate,
     CASE WHEN models > 0 THEN coalesce(with_specs, 0) / cast(models AS DOUBLE) ELSE 0 END AS spec_success_rate, status
@@ -98,28 +99,29 @@ check("J5_duplicate_models_in_run", """SELECT run_id, brand, product_model, loca
   SELECT *, count(*) OVER (PARTITION BY run_id, product_model) AS n FROM catalog) AS c WHERE n > 1""", "catalog")(
     lambda t: report.duplicate_models_in_run(t.catalog).select("run_id", "brand", "product_model", "locale"))
 check("J6_products_without_specs", """SELECT run_id, brand, product_model, locale FROM catalog AS c WHERE NOT EXISTS (
-  SELECT 1 FROM specs AS s WHERE s.brand = c.brand AND s.product_model = c.product_model AND s.is_manual_override)""", "catalog", "specs")(
-    lambda t: report.products_without_specs(t.catalog, select.overridden(t.specs)).select("run_id", "brand", "product_model", "locale"))
+  SELECT 1 FROM specs AS s WHERE s.brand = c.brand AND s.product_model = c.product_model)""", "catalog", "specs")(
+    lambda t: report.products_without_specs(t.catalog, t.specs).select("run_id", "brand", "product_model", "locale"))
 J7 = f""", m AS (SELECT p.brand, p.product_model, f.field_code FROM (SELECT DISTINCT brand, product_model FROM catalog) AS p,
   (SELECT unnest([{FIELD_LIST}]) AS field_code) AS f WHERE NOT EXISTS (SELECT 1 FROM specs AS s WHERE s.brand = p.brand
-  AND s.product_model = p.product_model AND s.field_code = f.field_code AND s.is_manual_override))"""
+  AND s.product_model = p.product_model AND s.field_code = f.field_code))"""
 check("J7_missing_fields", J7 + " SELECT * FROM m", "catalog", "specs")(
-    lambda t: report.missing_fields(t.catalog, select.overridden(t.specs)))
+    lambda t: report.missing_fields(t.catalog, t.specs))
 check("J7_missing_field_counts", J7 + " SELECT brand, field_code, count(*) AS missing_products FROM m GROUP BY brand, field_code",
-      "catalog", "specs")(lambda t: report.missing_field_counts(t.catalog, select.overridden(t.specs)))
-check("J10_empty_subseries", EMPTY.format(h="hierarchy", c="(SELECT * FROM catalog WHERE locale = 'fr')"), "hierarchy", "catalog")(
-    lambda t: diff.empty_subseries(t.hierarchy, thin_catalog(t.catalog)))
-check("J11_retry_candidates", "SELECT page_id, url FROM pages WHERE url IN (SELECT url FROM fetch_log WHERE NOT success)", "fetch_log")(
-    lambda t: report.retry_candidates(t.pages, t.fetch_log, "url").select("page_id", "url"))
+      "catalog", "specs")(lambda t: report.missing_field_counts(t.catalog, t.specs))
+check("J10_empty_subseries", EMPTY.format(h="hierarchy", c="catalog"), "hierarchy", "catalog")(
+    lambda t: diff.empty_subseries(t.hierarchy, t.catalog))
+check("J11_retry_candidates", """SELECT page_id, url FROM pages WHERE url IN (
+  SELECT url FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY attempt DESC, page_id DESC) AS k FROM fetch_log) AS l WHERE k = 1 AND NOT success)""", "fetch_log")(
+    lambda t: report.retry_candidates(t.pages, t.fetch_log, "url", F.desc("attempt"), F.desc("page_id")).select("page_id", "url"))
 check("J12_normalize_hierarchy", """SELECT item_id, product_model, node_brand AS brand, node_l1 AS series_l1, node_l2 AS series_l2,
   array_to_string(list_filter([CASE WHEN brand IS DISTINCT FROM node_brand THEN 'brand' END,
     CASE WHEN series_l1 IS DISTINCT FROM node_l1 THEN 'series_l1' END, CASE WHEN series_l2 IS DISTINCT FROM node_l2 THEN 'series_l2' END],
     lambda x: x IS NOT NULL), ',') AS mismatch FROM listing""", "listing")(lambda t: report.normalize_hierarchy(t.listing))
-check("J9_new_entries", """SELECT DISTINCT run_id, brand, product_model FROM specs AS s WHERE NOT EXISTS (
-  SELECT 1 FROM catalog AS c WHERE c.locale = 'de' AND c.run_id = s.run_id AND c.brand = s.brand AND c.product_model = s.product_model)""",
-      "specs", "catalog")(
-    lambda t: diff.new_entries(t.specs.select("run_id", "brand", "product_model"), t.catalog.where("locale = 'de'"),
-                               ["run_id", "brand", "product_model"]))
+check("J9_new_entries", """SELECT brand, product_model, run_id, locale, series_l1 FROM (
+  SELECT *, row_number() OVER (PARTITION BY brand, product_model ORDER BY run_id, locale, first_seen_at, series_l1) AS k FROM catalog) AS c
+  WHERE k = 1 AND NOT EXISTS (SELECT 1 FROM specs AS s WHERE s.brand = c.brand AND s.product_model = c.product_model)""", "specs", "catalog")(
+    lambda t: diff.new_entries(t.catalog, t.specs, ["brand", "product_model"], "run_id", "locale", "first_seen_at", "series_l1").select(
+        "brand", "product_model", "run_id", "locale", "series_l1"))
 
 # --- runs against runs -----------------------------------------------------------------------------
 
@@ -129,9 +131,9 @@ check("U1_two_runs", f""", {PATHS} SELECT brand, series_l1, series_l2, change FR
 check("U1_change_counts", f""", {PATHS} SELECT run_id, brand, cast(sum((change = 'added')::INT) AS BIGINT) AS new_series_count,
   cast(sum((change = 'removed')::INT) AS BIGINT) AS disappeared_series_count FROM ch GROUP BY run_id, brand""", "hierarchy")(
     lambda t: diff.series_change_counts(t.hierarchy))
-check("U2_series_overlap", """SELECT product_model FROM specs WHERE field_code = 'aperture' INTERSECT
-  SELECT product_model FROM specs WHERE field_code = 'lens_type'""", "specs")(
-    lambda t: diff.series_overlap(t.specs.withColumn("series_l2", F.col("field_code")), "aperture", "lens_type"))
+check("U2_series_overlap", """SELECT a.name AS first, product_model FROM (SELECT DISTINCT series_l2 AS name, product_model FROM catalog) AS a
+  SEMI JOIN (SELECT DISTINCT product_model FROM catalog WHERE series_l2 = 'large anvil') AS b USING (product_model) WHERE a.name = 'hot rod'""", "catalog")(
+    lambda t: diff.series_overlap(t.catalog, "hot rod", "large anvil").withColumn("first", F.lit("hot rod")))
 check("U3_union", """SELECT run_id, count(*) AS n, count(locale) AS located FROM (SELECT run_id, locale FROM catalog
   UNION ALL SELECT run_id, NULL FROM specs UNION ALL SELECT run_id, NULL FROM hierarchy) AS u GROUP BY run_id""", "catalog", "specs", "hierarchy")(
     lambda t: diff.union_all(t.catalog, t.specs, t.hierarchy).groupBy("run_id").agg(F.count("*").alias("n"), F.count("locale").alias("located")))
@@ -164,9 +166,9 @@ check("T1_recent_runs", "SELECT * FROM runs WHERE status = 'completed' ORDER BY
 check("T2_top_missing_fields", J7 + """ SELECT * FROM (SELECT brand, field_code, missing_products,
   cast(row_number() OVER (PARTITION BY brand ORDER BY missing_products DESC, field_code) AS INT) AS rank
   FROM (SELECT brand, field_code, count(*) AS missing_products FROM m GROUP BY brand, field_code) AS c) AS k WHERE rank <= 5""", "catalog", "specs")(
-    lambda t: report.top_missing_fields(t.catalog, select.overridden(t.specs)))
+    lambda t: report.top_missing_fields(t.catalog, t.specs))
 check("T3_first_uncovered", """SELECT DISTINCT brand, series_l1, series_l2, product_model FROM catalog AS c WHERE NOT EXISTS (
-  SELECT 1 FROM specs AS s WHERE s.brand = c.brand AND s.product_model = c.product_model AND s.is_manual_override)
+  SELECT 1 FROM specs AS s WHERE s.brand = c.brand AND s.product_model = c.product_model)
   ORDER BY brand, series_l1, product_model, series_l2 LIMIT 20""", "catalog", "specs")(
-    lambda t: report.first_rows(report.products_without_specs(t.catalog, select.overridden(t.specs)).select(
+    lambda t: report.first_rows(report.products_without_specs(t.catalog, t.specs).select(
         "brand", "series_l1", "series_l2", "product_model").distinct(), 20, "brand", "series_l1", "product_model", "series_l2"))

@@ -1,6 +1,7 @@
 """Checks of sources, sinks and streams. Written tables go to the shared folder of the session."""
 
 import os
+import tempfile
 
 from pyspark.sql import functions as F
 
@@ -18,11 +19,18 @@ NODE = "run_id, brand, series_l1, series_l2"
 
 def stored(t, table="hierarchy", df=None):
     """Write all runs of a table and return its folder."""
-    base = snapshots.shared_dir(t.spark)
+    base = folder(t)
     snapshots.write_runs(t.hierarchy if df is None else df, base, table)
     return base
 
 
+def folder(t):
+    """A fresh shared folder; a local session without the setting gets one of its own for the check."""
+    if not t.spark.conf.get("spark.checkpoint.dir", None) and t.spark.sparkContext.master.startswith("local["):
+        return tempfile.mkdtemp(prefix="specloom-")
+    return snapshots.shared_dir(t.spark)
+
+
 check("S1_page_keys", """SELECT page_id, replace(replace(url, '/', '_'), ':', '_') AS file_key, sha256(url) AS cache_key, substr(md5(url), 1, 12) AS short_key FROM pages""")(
     lambda t: pages.with_page_keys(t.pages).select("page_id", "file_key", "cache_key", "short_key"))
 FEED = """f AS (SELECT p_partkey AS d, 0 AS pos, 'DS-' || p_partkey || '/A' AS m, p_type || ' Series' AS series, p_name AS sub,
@@ -47,7 +55,7 @@ check("S4_read_run", f"SELECT {NODE}, discovered_at FROM hierarchy WHERE run_id
 check("S5_read_runs", f"SELECT {NODE} FROM hierarchy WHERE run_id IN ('{RUN}', '{RUN2}')", "hierarchy")(
     lambda t: snapshots.read_runs(t.spark, stored(t), "hierarchy", [RUN, RUN2]).select(*NODE.split(", ")))
 check("S6_list_runs", "SELECT DISTINCT run_id FROM hierarchy ORDER BY run_id DESC", "hierarchy")(
-    lambda t: snapshots.list_runs(snapshots.read_table(t.spark, stored(t), "hierarchy")))
+    lambda t: snapshots.list_runs(t.spark, stored(t), "hierarchy"))
 
 
 @check("S7_delete_run", f"SELECT {NODE} FROM hierarchy WHERE run_id <> '{RUN}'", "hierarchy")
@@ -57,6 +65,31 @@ def _(t):
     return snapshots.read_table(t.spark, base, "hierarchy").select(*NODE.split(", "))
 
 
+ODD = "CASE WHEN run_id = '19980101_monthly_01' THEN '20261399_monthly_01' WHEN run_id = '19980701_monthly_01' THEN 'trial/a=b' ELSE run_id END"
+
+
+def odd_runs(t):
+    """Two runs with ids that hold no date, and one that is written again without rows."""
+    rows = t.hierarchy.withColumn("run_id", F.expr(ODD))
+    base = stored(t, df=rows)
+    snapshots.write_runs(rows.where("false"), base, "hierarchy", replaces=[RUN])
+    return base
+
+
+check("S3_empty_rewrite", f"SELECT run_id, count(*) AS n FROM (SELECT {ODD} AS run_id FROM hierarchy) AS h WHERE run_id <> '{RUN}' GROUP BY run_id", "hierarchy")(
+    lambda t: snapshots.read_table(t.spark, odd_runs(t), "hierarchy").groupBy("run_id").agg(F.count("*").alias("n")))
+check("S5_runs_without_date", f"""SELECT {NODE} FROM (SELECT * REPLACE ({ODD} AS run_id) FROM hierarchy) AS h
+  WHERE run_id IN ('20261399_monthly_01', 'trial/a=b', '{RUN2}')""", "hierarchy")(
+    lambda t: snapshots.read_runs(t.spark, odd_runs(t), "hierarchy", ["20261399_monthly_01", "trial/a=b", RUN2, RUN]).select(*NODE.split(", ")))
+
+
+@check("S7_delete_run_without_date", f"SELECT run_id, count(*) AS n FROM (SELECT {ODD} AS run_id FROM hierarchy) AS h WHERE run_id NOT IN ('{RUN}', 'trial/a=b') GROUP BY run_id", "hierarchy")
+def _(t):
+    base = odd_runs(t)
+    snapshots.delete_run(t.spark, base, "trial/a=b", ["hierarchy"])
+    return snapshots.read_table(t.spark, base, "hierarchy").groupBy("run_id").agg(F.count("*").alias("n"))
+
+
 check("S7_without_run", f"SELECT {NODE}, locale FROM catalog WHERE run_id <> '{RUN}'", "catalog")(
     lambda t: snapshots.without_run(t.catalog, RUN).select(*NODE.split(", "), "locale"))
 check("S9_spec_sheet", f"SELECT {', '.join(R.SPEC_SHEET)} FROM specs WHERE upper(brand) = 'BRAND#12'", "specs")(
@@ -72,7 +105,7 @@ check("S9_summary_sheet", SUMMARY + """ SELECT run_id, schedule_type, coalesce(s
 
 @check("S10_append_records", f"""SELECT {NODE}, product_model, product_name, CAST(NULL AS VARCHAR) AS product_url, 'en' AS locale, 'current' AS catalog_status FROM catalog""", "catalog")
 def _(t):
-    base = snapshots.shared_dir(t.spark)
+    base = folder(t)
     rows = t.catalog.select(*NODE.split(", "), "product_model", "product_name")
     snapshots.append_records(rows, base, "catalog", locale=F.lit("en"), catalog_status=F.lit("current"))
     return snapshots.read_table(t.spark, base, "catalog").select(
@@ -100,7 +133,7 @@ def file_stream(t, name):
 
 @check("R1_issue_stream", f"SELECT run_id, issue_type, severity, count(*) AS n FROM ({RECORD_ISSUES}) AS i GROUP BY run_id, issue_type, severity", "specs")
 def _(t):
-    base = snapshots.shared_dir(t.spark)
+    base = folder(t)
     specs = t.spark.sql(views.VIEWS["specs"], lineitem=file_stream(t, "lineitem"), part=t.part)
     streams.issue_counts_stream(specs, os.path.join(base, "counts"), os.path.join(base, "state")).awaitTermination()
     return streams.issue_counts(t.spark, os.path.join(base, "counts"))
@@ -108,7 +141,7 @@ def _(t):
 
 @check("R2_event_rate", "SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, count(DISTINCT event_id) AS n FROM events GROUP BY 1, 2")
 def _(t):
-    base = snapshots.shared_dir(t.spark)
+    base = folder(t)
     rate = streams.event_rate(file_stream(t, "events"), "ts", "event_id", "event_type")
     streams.run_to_table(rate, os.path.join(base, "rate"), os.path.join(base, "state")).awaitTermination()
     return streams.last_state(t.spark, os.path.join(base, "rate"), "window_start", "event_type")

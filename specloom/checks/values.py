@@ -152,13 +152,13 @@ _single = {"N8_distance": ("supplement_light_range", 2, V.distance_value), "N11_
            "N11_text": ("lens_type", 10, V.text_value)}
 for _name, (_field, _i, _make) in _single.items():
     check(_name, f"SELECT {KEY}, {CASES[_i][1]} AS normalized_value, {CASES[_i][3]} AS issue FROM (SELECT *, raw_value AS r FROM specs "
-          f"WHERE field_code = '{_field}' AND coalesce(trim(raw_value), '') <> '') AS s", "specs")(
-        lambda t, _field=_field, _make=_make: t.specs.where((F.col("field_code") == _field) & ~is_blank(F.col("raw_value"))).select(
+          f"WHERE field_code = '{_field}') AS s", "specs")(
+        lambda t, _field=_field, _make=_make: t.specs.where(F.col("field_code") == _field).select(
             *KEY.split(", "), _make(F.col("raw_value")).alias("n")).select(
             *KEY.split(", "), "n.normalized_value", F.array_join("n.issues", "; ").alias("issue")))
 check("N11_list_items", f"""SELECT {KEY}, CASE WHEN r LIKE '[%' THEN array_to_string(from_json(r, '["VARCHAR"]'), '|') ELSE array_to_string({distinct}, '|') END AS items
-  FROM (SELECT *, raw_value AS r FROM specs WHERE field_code IN ('interface_items', 'deep_learning_function_categories') AND raw_value IS NOT NULL) AS s""", "specs")(
-    lambda t: t.specs.where("field_code IN ('interface_items', 'deep_learning_function_categories') AND raw_value IS NOT NULL").select(
+  FROM (SELECT *, raw_value AS r FROM specs WHERE field_code IN ('interface_items', 'deep_learning_function_categories')) AS s""", "specs")(
+    lambda t: t.specs.where("field_code IN ('interface_items', 'deep_learning_function_categories')").select(
         *KEY.split(", "), F.array_join(V.list_items(F.col("raw_value")), "|").alias("items")))
 
 EVENTS = f"""list_sort(list_distinct(list_filter(list_transform({items}, lambda x: CASE WHEN contains(lower(x), 'line crossing') THEN 'Line Crossing Detection'
@@ -176,11 +176,11 @@ def dist_chain(source: str) -> str:
     """Distance parts of column r of a relation, as nested steps."""
     kind = f"""SELECT *, CASE WHEN regexp_matches(r, '{LIMIT_SQL}') THEN 'limit' WHEN regexp_matches(r, '{RANGE_SQL}') THEN 'span'
       WHEN regexp_matches(r, '{AMOUNT}') THEN 'single' END AS kind FROM {source}"""
-    parts = f"""SELECT *, cast(CASE kind WHEN 'limit' THEN {hit('r', LIMIT_SQL)} WHEN 'span' THEN {hit('r', RANGE_SQL, 3)} WHEN 'single' THEN {hit('r', AMOUNT)} END AS DOUBLE) AS hi,
+    parts = f"""SELECT *, cast(CASE kind WHEN 'span' THEN {hit('r', RANGE_SQL)} END AS DOUBLE) AS lo, cast(CASE kind WHEN 'limit' THEN {hit('r', LIMIT_SQL)} WHEN 'span' THEN {hit('r', RANGE_SQL, 3)} WHEN 'single' THEN {hit('r', AMOUNT)} END AS DOUBLE) AS hi,
       lower(coalesce(CASE kind WHEN 'limit' THEN {hit('r', LIMIT_SQL, 2)} WHEN 'span' THEN coalesce({hit('r', RANGE_SQL, 2)}, {hit('r', RANGE_SQL, 4)})
       WHEN 'single' THEN {hit('r', AMOUNT, 2)} END, 'm')) AS u FROM ({kind}) AS k1"""
     factor = f"SELECT *, {metres('u', ", 'inches'")} AS m FROM ({parts}) AS k2"
-    return f"SELECT *, cast({number('(hi * m)')} AS DOUBLE) AS max_m FROM ({factor}) AS k3"
+    return f"SELECT *, cast({number('(hi * m)')} AS DOUBLE) AS max_m, cast({number('(lo * m)')} AS DOUBLE) AS min_m FROM ({factor}) AS k3"
 
 
 ORDER_KEY = f"""CASE field_code
@@ -188,18 +188,26 @@ ORDER_KEY = f"""CASE field_code
     THEN round(try_cast(split_part(size, 'x', 1) AS INT) * try_cast(split_part(size, 'x', 2) AS INT) / 1000000.0::DOUBLE, 1) END
   WHEN 'supplement_light_range' THEN max_m WHEN 'main_stream_max_fps_resolution' THEN fps
   WHEN 'aperture' THEN num WHEN 'stream_count' THEN num END"""
+# the alias tables once more, written out for the oracle (fixed values)
+ALIAS = """CASE WHEN field_code = 'image_sensor' THEN CASE lower(r) WHEN '1/2.8" progressive scan cmos' THEN '1/2.8" cmos' WHEN '1/3" progressive scan cmos' THEN '1/3" cmos'
+    WHEN '1/1.8" progressive scan cmos' THEN '1/1.8" cmos' ELSE lower(r) END
+  WHEN field_code = 'supplement_light_type' THEN CASE lower(r) WHEN 'smart supplement light' THEN 'smart' WHEN 'infrared' THEN 'ir' ELSE lower(r) END ELSE lower(r) END"""
 NORM_ITEMS = f"""CASE WHEN r LIKE '[%' THEN from_json(r, '["VARCHAR"]') ELSE {items} END"""
 LATEST = f""", one AS (SELECT brand, product_model, field_code, normalized_value AS r FROM (SELECT *, row_number() OVER (PARTITION BY brand, product_model, field_code
     ORDER BY updated_at DESC, normalized_value DESC) AS k FROM specs WHERE normalized_value IS NOT NULL) AS q WHERE k = 1),
   dist AS ({dist_chain('one')}),
-  feat AS (SELECT brand, product_model, field_code, r, {ORDER_KEY} AS ord, list_sort(list_distinct(list_transform({NORM_ITEMS}, lambda x: lower(x)))) AS items
-    FROM (SELECT *, {PARSED} AS size, {fps} AS fps, try_cast({hit('r', '([0-9]+(?:[.][0-9]+)?)')} AS DOUBLE) AS num FROM dist) AS z),
+  feat AS (SELECT brand, product_model, field_code, r, {ORDER_KEY} AS ord, size, max_m, min_m, num, stream, alias, list_sort(list_distinct(list_transform({NORM_ITEMS}, lambda x: lower(x)))) AS items
+    FROM (SELECT *, {PARSED} AS size, {fps} AS fps, {ALIAS} AS alias,
+      nullif(concat_ws(' ', {fps} || 'fps', '(' || {width} || 'x' || {height} || ')'), '') AS stream, try_cast({hit('r', '([0-9]+(?:[.][0-9]+)?)')} AS DOUBLE) AS num FROM dist) AS z),
   pairs AS (SELECT a.p_brand AS left_brand, 'M' || a.p_partkey AS left_model, b.p_brand AS right_brand, 'M' || b.p_partkey AS right_model
     FROM part AS a JOIN part AS b ON b.p_partkey = a.p_partkey + 1)"""
 
 
 @check("N12_compare_products", LATEST + """ SELECT left_brand, left_model, right_brand, right_model, a.field_code, a.r AS left_value, b.r AS right_value,
-  CASE WHEN a.field_code IN ('interface_items', 'deep_learning_function_categories') THEN a.items = b.items ELSE lower(a.r) = lower(b.r) END AS same,
+  coalesce(CASE WHEN a.field_code IN ('interface_items', 'deep_learning_function_categories') THEN a.items = b.items
+    WHEN a.field_code = 'max_resolution' THEN a.size = b.size WHEN a.field_code = 'supplement_light_range' THEN a.max_m = b.max_m AND a.min_m IS NOT DISTINCT FROM b.min_m
+    WHEN a.field_code = 'main_stream_max_fps_resolution' THEN a.stream = b.stream WHEN a.field_code IN ('aperture', 'stream_count') THEN a.num = b.num
+    ELSE a.alias = b.alias END, lower(a.r) = lower(b.r)) AS same,
   CASE WHEN a.field_code IN ('max_resolution', 'supplement_light_range', 'main_stream_max_fps_resolution', 'aperture', 'stream_count')
     THEN CASE WHEN a.ord < b.ord THEN -1 WHEN a.ord > b.ord THEN 1 ELSE 0 END END AS ordering
   FROM pairs JOIN feat AS a ON a.brand = left_brand AND a.product_model = left_model

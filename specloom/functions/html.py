@@ -378,8 +378,7 @@ def links(clean: Column) -> Column:
         href = F.coalesce(found(tag, r"""(?i)\bhref\s*=\s*"([^"]*)\""""), found(tag, r"""(?i)\bhref\s*=\s*'([^']*)'"""),
                           found(tag, r"""(?i)\bhref\s*=\s*([^"'\s>]+)"""))
         heading = cell_text(until(after_first(body, open_tag("h3", "h3-seo")), r"</h3\b"))
-        words = F.array_join(F.slice(F.split(F.array_join(text_lines(body), " "), r"(?U)\s+"), 1, 10), " ")
-        return F.struct(restore_markup(href).alias("href"), heading.alias("heading"), words.alias("text"))
+        return F.struct(restore_markup(href).alias("href"), heading.alias("heading"), F.array_join(text_lines(body), " ").alias("text"))
     return F.filter(F.transform(anchors, link), lambda x: x.href.isNotNull())
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import wraps
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark import SparkContext
 from pyspark.sql import Column, functions as F
@@ -121,12 +121,14 @@ def decode_entities(c: Column, keep_markup: bool = False) -> Column:
     ``restore_markup``.
     """
     shown = dict(zip(MARKUP, STAND_INS)) if keep_markup else {}
-    names = {name: chr(cp) for name, cp in sorted(name2codepoint.items())} | {"apos": "'"}
-    named = constant_map({name: shown.get(ch, ch) for name, ch in names.items()})
+    # one text literal, so that the whole list (over two thousand names) is folded into a single map
+    named = F.str_to_map(F.lit("\x02".join(f"{name[:-1]}\x01{shown.get(ch, ch)}" for name, ch in sorted(html5.items()) if name[-1] == ";")),
+                         F.lit("\x02"), F.lit("\x01"))
 
     def char_of(ref: Column) -> Column:
-        code = F.when(ref.rlike("^#[xX]"), F.conv(F.substring(ref, 3, 6), 16, 10)).when(
-            ref.startswith("#"), F.substring(ref, 2, 7)).cast("int")
+        digits = F.regexp_replace(ref, "^#[xX]?0*", "")  # no valid number has more than 6 or 7 digits then
+        code = F.when(ref.rlike("^#[xX]"), F.when(F.length(digits) <= 6, F.conv(digits, 16, 10))).when(
+            F.length(digits) <= 7, digits).try_cast("int")
         valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
         char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
         if keep_markup:
@@ -135,7 +137,7 @@ def decode_entities(c: Column, keep_markup: bool = False) -> Column:
             F.try_element_at(named, ref))
 
     def one(piece: Column) -> Column:
-        ref = F.regexp_extract(piece, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});", 1)
+        ref = F.regexp_extract(piece, r"^(#[0-9]++|#[xX][0-9a-fA-F]++|[A-Za-z][A-Za-z0-9]*+);", 1)
         return let(ref, lambda r: F.coalesce(
             F.concat(char_of(r), F.substring(piece, F.length(r) + 2, F.length(piece))), F.concat(F.lit("&"), piece)))
 

@@ -358,3 +358,32 @@ def allowed_series(name: Column, keywords: list[str]) -> Column:
     low = F.lower(name)
     hits = [F.contains(low, F.lit(k.lower())) for k in keywords]
     return F.coalesce(reduce(or_, hits), F.lit(False))
+
+
+# --- comparison of two products ----------------------------------------------------------------------
+
+ORDERED_RULES = ("normalized_resolution", "normalized_distance", "normalized_fps_resolution", "normalized_aperture", "numeric_compare")
+
+
+def comparison_order(rule: Column, value: Column) -> Column:
+    """The number by which a value is ordered under a rule; NULL for the other rules and unknown values."""
+    return (F.when(rule == "normalized_resolution", megapixels(parse_resolution(value)))
+            .when(rule == "normalized_distance", max_metres(parse_distance(value)))
+            .when(rule == "normalized_fps_resolution", parse_stream(value).fps_value.cast("double"))
+            .when(rule.isin("normalized_aperture", "numeric_compare"), F.regexp_extract(value, NUMBER, 1).try_cast("double")))
+
+
+def comparison_key(rule: Column, field: Column, value: Column) -> Column:
+    """Text that is equal for values that are the same under a rule; NULL where the value can't be parsed."""
+    distance, low = parse_distance(value), F.lower(value)
+    reach = F.when(max_metres(distance).isNotNull(), F.concat_ws(
+        "-", F.coalesce(min_metres(distance).cast("string"), F.lit("")), max_metres(distance).cast("string")))
+    aliases = {"image_sensor": R.SENSOR_ALIASES, "supplement_light_type": R.LIGHT_ALIASES, "approval_protection": R.PROTECTION_ALIASES,
+               "approval_anti_corrosion_protection": R.PROTECTION_ALIASES}
+    canonical = F.coalesce(*[F.when(field == code, R.lookup(low, {a.lower(): name.lower() for a, name in table})) for code, table in aliases.items()], low)
+    return (F.when(rule == "set_compare", F.to_json(F.array_sort(F.array_distinct(F.transform(list_items(value), F.lower)))))
+            .when(rule == "exact_or_alias", canonical)
+            .when(rule == "normalized_resolution", parse_resolution(value))
+            .when(rule == "normalized_distance", reach)
+            .when(rule == "normalized_fps_resolution", parse_stream(value).normalized)
+            .otherwise(F.regexp_extract(value, NUMBER, 1).try_cast("double").cast("string")))

@@ -29,6 +29,11 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(r, cond, how)
 
 
+def natural_key(*columns: str) -> Column:
+    """Digest of the columns' values; NULL and the text of another column can't be mistaken for each other."""
+    return F.sha2(F.to_json(F.array(*[F.col(c).cast("string") for c in columns])), 256)
+
+
 def select_where(df: DataFrame, **keys: object) -> DataFrame:
     """conjunction of equality filters; keys with value None are skipped.
 

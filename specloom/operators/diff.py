@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from specloom.operators.common import null_safe_join, select_where
+from specloom.operators.common import latest, null_safe_join, select_where
 
 NODE = ["brand", "series_l1", "series_l2"]
 
@@ -111,9 +111,9 @@ def spec_changes(specs: DataFrame) -> DataFrame:
     return near.select(*keys, F.inline(F.filter(events, lambda e: e.isNotNull())))
 
 
-def new_entries(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows to append, one per key that is not stored yet."""
-    return null_safe_join(new.dropDuplicates(list(keys)), existing.select(*keys), list(keys), "left_anti")
+def new_entries(new: DataFrame, existing: DataFrame, keys: Sequence[str], *order: str | Column) -> DataFrame:
+    """Rows to append, the first in ``order`` per key that is not stored yet."""
+    return null_safe_join(latest(new, list(keys), *order), existing.select(*keys), list(keys), "left_anti")
 
 
 def empty_subseries(hierarchy: DataFrame, catalog: DataFrame) -> DataFrame:

@@ -267,6 +267,9 @@ SITE_RULES = {
 }
 
 
+PRODUCT_NAME_WORDS = 10
+
+
 def page_links(pages: DataFrame, keys: list[str]) -> DataFrame:
     """All anchors with a target, in page order."""
     found_links = _clean(pages, keys).select(*keys, F.posexplode(H.links(F.col("clean"))).alias("pos", "link"))
@@ -281,7 +284,7 @@ def site_links(pages: DataFrame, keys: list[str], site: str, base_url: str, allo
     rules = F.array(*[F.struct(F.lit(kind).alias("kind"), found(F.col("href"), pattern, group).alias("slug"))
                       for kind, pattern, group in SITE_RULES[site]])
     rows = page_links(pages, keys).select("*", F.inline(F.filter(rules, lambda r: r.slug.isNotNull())))
-    slug, heading = F.col("slug"), F.col("heading")
+    slug, heading, text = F.col("slug"), F.col("heading"), F.col("text")
     dashed = F.regexp_replace(slug, "-", " ")
     if site == "tabbed":
         name = F.when(F.col("kind") == "product", F.upper(slug)).when(F.col("kind") == "subseries", F.initcap(dashed)).otherwise(slug)
@@ -293,7 +296,9 @@ def site_links(pages: DataFrame, keys: list[str], site: str, base_url: str, allo
                 .when(F.col("kind") == "product_series", F.when(V.allowed_series(series, list(allowlist)), series))
                 .when(V.valid_model(model), model).when(V.valid_model(slug), F.upper(slug)))
         keep = F.col("name").isNotNull()
-    named = rows.select(*keys, "pos", "kind", "slug", name.alias("name"), "text",
+        # a rule of this site: its link texts run on into the description, the name is their first ten words
+        text = F.array_join(F.slice(F.split("text", r"(?U)\s+"), 1, PRODUCT_NAME_WORDS), " ")
+    named = rows.select(*keys, "pos", "kind", "slug", name.alias("name"), text.alias("text"),
                         H.absolute_url(F.lit(base_url), F.col("href")).alias("url")).where(keep)
     # links of one page are few; keep the first per name with a map-side combining aggregate
     first = named.groupBy(*keys, "kind", "name").agg(

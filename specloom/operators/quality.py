@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from specloom import registry as R
 from specloom.functions.text import is_blank
 from specloom.operators import diff
-from specloom.operators.common import null_safe_join, select_where
+from specloom.operators.common import natural_key, null_safe_join, select_where
 
 KEY = ["run_id", "brand", "series_l1", "series_l2", "product_model"]
 
@@ -147,15 +147,18 @@ def export_shape(issues: DataFrame, created_at: Column) -> DataFrame:
 
 
 def issue_key() -> Column:
-    """Row identity of an issue: a hash of its natural key."""
-    return F.xxhash64("run_id", "brand", "series_l1", "series_l2", "product_model", "issue_type", "field_code", "issue_detail")
+    """Row identity of an issue: a digest of its natural key, in which NULL is a value like any other."""
+    return natural_key("run_id", "brand", "series_l1", "series_l2", "product_model", "issue_type", "field_code", "issue_detail")
 
 
 def update_issues(issues: DataFrame, updates: DataFrame) -> DataFrame:
-    """Q9: new status and owner by issue key; updates(issue_key, status, owner), NULL keeps the old value."""
-    u = updates.groupBy("issue_key").agg(F.max("status").alias("new_status"), F.max("owner").alias("new_owner"))
+    """Q9: new status and owner by issue key; updates(issue_key, status, owner, updated_at).
+
+    The last update of an issue counts as a whole (ties: the larger status, then owner); a NULL in it keeps the old value.
+    """
+    u = updates.groupBy("issue_key").agg(F.max(F.struct("updated_at", "status", "owner")).alias("update"))
     rows = issues.withColumn("issue_key", issue_key()).join(u, "issue_key", "left")
-    return rows.withColumns({"status": F.coalesce("new_status", "status"), "owner": F.coalesce("new_owner", "owner")}
+    return rows.withColumns({"status": F.coalesce("update.status", "status"), "owner": F.coalesce("update.owner", "owner")}
                             ).select(*issues.columns)
 
 

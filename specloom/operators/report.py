@@ -82,12 +82,14 @@ def issue_summary(issues: DataFrame, *dimensions: str) -> DataFrame:
 
 
 def field_statistics(specs: DataFrame) -> DataFrame:
-    """Records per run and field, and products of the run that miss the field."""
-    products = specs.groupBy("run_id").agg(F.count_distinct("product_model").alias("products"))
+    """Records per run and field, and products of the run that miss the field; also fields that no product has."""
+    products = specs.groupBy("run_id").agg(F.count_distinct("product_model").alias("products")).withColumn(
+        "field_code", F.explode(F.array(*[F.lit(c) for c in R.FIELD_CODES])))
     fields = specs.groupBy("run_id", "field_code").agg(
         F.count("*").alias("n"), F.count_distinct("product_model").alias("with_field"))
-    return fields.join(products, "run_id").select(
-        "run_id", "field_code", "n", (F.col("products") - F.col("with_field")).alias("missing"))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return products.join(fields, ["run_id", "field_code"], "left").select(
+        "run_id", "field_code", zero("n").alias("n"), (F.col("products") - zero("with_field")).alias("missing"))
 
 
 def run_summary(runs: DataFrame, catalog: DataFrame, specs: DataFrame, issues: DataFrame, changes: DataFrame) -> DataFrame:
@@ -103,7 +105,7 @@ def run_summary(runs: DataFrame, catalog: DataFrame, specs: DataFrame, issues: D
     out = runs
     for part in (c, s, i, h):
         out = out.join(part, "run_id", "full_outer")
-    zero = lambda n: F.coalesce(F.col(n), F.lit(0)).cast("int")
+    zero = lambda n: F.coalesce(F.col(n), F.lit(0))
     seconds = F.unix_timestamp("ended_at") - F.unix_timestamp("started_at")
     total = zero("catalog_count")
     return out.select(
@@ -124,9 +126,11 @@ def fetch_statistics(log: DataFrame) -> DataFrame:
 
 
 def catalog_summary(catalog: DataFrame) -> DataFrame:
-    """A12, by brand and in all (brand NULL)."""
-    return catalog.groupingSets([["brand"], []], "brand").agg(
-        F.count("*").alias("total_items"), F.count_distinct("brand").alias("total_brands"),
+    """A12, by brand and in all (brand NULL). Rows are made distinct first, so only those are expanded."""
+    names = ["series_l1", "series_l2", "product_model"]
+    few = catalog.groupBy("brand", *names).agg(F.count("*").alias("n"))
+    return few.groupingSets([["brand"], []], "brand").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_items"), F.count_distinct("brand").alias("total_brands"),
         F.count_distinct("series_l1").alias("total_series_l1"), F.count_distinct("series_l2").alias("total_series_l2"),
         F.count_distinct("product_model").alias("total_models"))
 
@@ -195,9 +199,9 @@ def first_rows(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def retry_candidates(catalog: DataFrame, log: DataFrame, catalog_key: str = "product_url") -> DataFrame:
-    """Catalog entries whose last fetch failed."""
-    failed = log.where("NOT success").select(F.col("url").alias(catalog_key))
+def retry_candidates(catalog: DataFrame, log: DataFrame, catalog_key: str, *newest_first: Column) -> DataFrame:
+    """Catalog entries whose last fetch failed; ``newest_first`` orders the attempts of a url."""
+    failed = latest(log.where("url IS NOT NULL"), ["url"], *newest_first).where("NOT success").select(F.col("url").alias(catalog_key))
     return catalog.join(failed, catalog_key, "left_semi")
 
 
@@ -246,16 +250,13 @@ def compare_products(specs: DataFrame, pairs: DataFrame) -> DataFrame:
     from specloom.functions import values as V
     one = latest(specs.where("normalized_value IS NOT NULL").select(*PRODUCT, "field_code", "normalized_value", "updated_at"),
                  [*PRODUCT, "field_code"], F.desc("updated_at"), F.desc("normalized_value")).drop("updated_at")
-    side = lambda p: one.withColumnsRenamed({"brand": f"{p}_brand", "product_model": f"{p}_model", "normalized_value": f"{p}_value"})
+    value, rule = F.col("normalized_value"), R.lookup(F.col("field_code"), {f.code: f.rule for f in R.FIELDS})
+    # values are parsed once per product, not once per pair
+    one = one.withColumns({"key": V.comparison_key(rule, F.col("field_code"), value), "order": V.comparison_order(rule, value)})
+    side = lambda p: one.withColumnsRenamed({"brand": f"{p}_brand", "product_model": f"{p}_model", "normalized_value": f"{p}_value",
+                                             "key": f"{p}_key", "order": f"{p}_order"})
     rows = pairs.join(side("left"), ["left_brand", "left_model"]).join(side("right"), ["right_brand", "right_model", "field_code"])
-    a, b, rule = F.col("left_value"), F.col("right_value"), R.lookup(F.col("field_code"), {f.code: f.rule for f in R.FIELDS})
-    as_set = lambda c: F.array_sort(F.array_distinct(F.transform(V.list_items(c), F.lower)))
-    number = lambda c: F.regexp_extract(c, V.NUMBER, 1).try_cast("double")
-    ordering = (F.when(rule == "normalized_resolution", V.compare_resolutions(V.parse_resolution(a), V.parse_resolution(b)))
-                .when(rule == "normalized_distance", V.compare_distances(a, b))
-                .when(rule == "normalized_fps_resolution", V.compare_fps(a, b))
-                .when(rule.isin("normalized_aperture", "numeric_compare"), V.compare(number(a), number(b))))
-    same = F.when(rule == "set_compare", as_set(a) == as_set(b)).when(rule == "exact_or_alias", F.lower(a) == F.lower(b)).otherwise(
-        F.lower(a) == F.lower(b))
+    same = F.coalesce(F.col("left_key") == F.col("right_key"), F.lower("left_value") == F.lower("right_value"))
+    ordering = F.when(rule.isin(*V.ORDERED_RULES), V.compare(F.col("left_order"), F.col("right_order")))
     return rows.select("left_brand", "left_model", "right_brand", "right_model", "field_code", rule.alias("comparison_rule"),
                        "left_value", "right_value", same.alias("same"), ordering.alias("ordering"))

@@ -11,23 +11,20 @@ import string
 
 from pyspark.sql import DataFrame, SparkSession
 
-from specloom.sources.pages import spread
-
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
         "embeddings", "pages", "benchmark", "labels", "conversations")
 
 # half-year runs, for example 19950101_monthly_01
 _RUN = "cast(year({0}) AS string) || CASE WHEN month({0}) <= 6 THEN '0101' ELSE '0701' END || '_monthly_01'"
 
-SPREAD_BY = {"lineitem": "l_orderkey", "pages": "page_id"}
-
 VIEWS: dict[str, str] = {}
 
 # One specification record per line item: the line picks the field, the quantity picks the raw text.
 VIEWS["specs"] = f"""
 SELECT {_RUN.format('l_shipdate')} AS run_id, p_brand AS brand, p_type AS series_l1,
        CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_name END AS series_l2,
-       CASE WHEN p_partkey % 101 = 5 THEN '' ELSE 'M' || cast(p_partkey AS string) END AS product_model,
+       CASE WHEN p_partkey % 101 = 5 THEN '' WHEN p_partkey % 11 = 3 THEN 'S' || cast(p_partkey % 7 AS string)
+            ELSE 'M' || cast(p_partkey AS string) END AS product_model,
        field_code, field_name, raw_value,
        CASE WHEN l_suppkey % 17 = 3 THEN NULL WHEN l_suppkey % 19 = 4 THEN '  '
             ELSE lower(raw_value) END AS normalized_value,
@@ -89,13 +86,16 @@ FROM (
                (l_orderkey + l_linenumber * 5 + l_suppkey) % 12 AS f
         FROM {{lineitem}}) AS l0
 ) AS l JOIN {{part}} ON l_partkey = p_partkey
+-- gaps: products without specs, products without one field, runs without another
+WHERE p_partkey % 23 <> 6 AND NOT (f = 9 AND p_partkey % 5 = 2) AND NOT (f = 11 AND year(l_shipdate) = 1997)
 """
 
 # One catalog entry per run, product and locale.
 VIEWS["catalog"] = f"""
 SELECT run_id, p_brand AS brand, p_type AS series_l1,
        CASE WHEN p_partkey % 13 = 0 THEN NULL ELSE p_name END AS series_l2,
-       CASE WHEN p_partkey % 101 = 5 THEN '' ELSE 'M' || cast(p_partkey AS string) END AS product_model,
+       CASE WHEN p_partkey % 101 = 5 THEN '' WHEN p_partkey % 11 = 3 THEN 'S' || cast(p_partkey % 7 AS string)
+            ELSE 'M' || cast(p_partkey AS string) END AS product_model,
        CASE WHEN p_partkey % 31 = 7 THEN '' ELSE p_name || ' ' || cast(p_size AS string) END AS product_name,
        CASE WHEN p_partkey % 41 = 8 THEN NULL WHEN p_partkey % 37 = 9 THEN 'ftp://x.example/' || cast(p_partkey AS string)
             ELSE 'https://x.example/' || cast(p_partkey AS string) END AS product_url,
@@ -107,11 +107,14 @@ FROM (SELECT {_RUN.format('l_shipdate')} AS run_id, l_partkey, l_returnflag,
 JOIN {{part}} ON l_partkey = p_partkey
 """
 
-# One node per run and (brand, type, name); products without a name level give first-level nodes.
+# One node per run and (brand, type, name); products without a name level give first-level nodes. One second-level
+# node per brand is announced without products.
 VIEWS["hierarchy"] = """
 SELECT run_id, brand, series_l1, series_l2, 'listing' AS series_source, 'active' AS series_status,
        min(first_seen_at) AS discovered_at
 FROM {catalog} AS c GROUP BY run_id, brand, series_l1, series_l2
+UNION ALL
+SELECT run_id, brand, 'PROMO', 'announced', 'listing', 'active', min(first_seen_at) FROM {catalog} AS a GROUP BY run_id, brand
 """
 
 # One human correction per order.
@@ -147,10 +150,11 @@ SELECT run_id, brand, series_l1, series_l2, CASE WHEN product_model = '' THEN NU
 FROM {specs} AS s
 """
 
+# Two attempts per page; every third page is right at first and short later, the others the other way round.
 VIEWS["fetch_log"] = """
-SELECT url AS item_key, length(html) >= 2000 AS success, url, cast(length(html) AS bigint) AS size,
-       CASE WHEN length(html) >= 2000 THEN NULL ELSE 'too short' END AS error, page_id
-FROM {pages}
+SELECT url AS item_key, size >= 2000 AS success, url, size, CASE WHEN size >= 2000 THEN NULL ELSE 'too short' END AS error, page_id, attempt
+FROM (SELECT url, page_id, attempt, cast(length(html) + CASE WHEN page_id % 3 = attempt - 1 THEN 2000 ELSE 0 END AS bigint) AS size
+      FROM {pages} CROSS JOIN (VALUES (1), (2)) AS a(attempt)) AS l
 """
 
 # One run record per half year of orders.
@@ -266,9 +270,7 @@ def _names(sql: str) -> list[str]:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A base table (Parquet scan) or a view on it, as a DataFrame; nothing is run."""
     if name in BASE:
-        scan = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        # the large tables may come as one small file: use all cores then
-        return spread(scan, spark.sparkContext.defaultParallelism, SPREAD_BY[name]) if name in SPREAD_BY else scan
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     sql = VIEWS[name]
     return spark.sql(sql, **{n: table(spark, sf_dir, n) for n in _names(sql)})
 

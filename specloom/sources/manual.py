@@ -7,6 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from specloom import registry as R
+from specloom.operators.common import natural_key
 from specloom.operators.merge import FULL, check_manual_rows, latest_manual
 
 
@@ -30,7 +31,7 @@ def accepted(rows: DataFrame, created_at: Column) -> DataFrame:
     good = check_manual_rows(rows).where("error IS NULL").select(
         *R.MANUAL_SHEET, created_at.alias("created_at"), F.lpad(F.col("row_no").cast("string"), 12, "0").alias("input_id"))
     last = latest_manual(good, FULL)
-    return last.withColumn("input_id", F.concat(F.lit("in-"), F.hex(F.xxhash64(*FULL))))
+    return last.withColumn("input_id", F.concat(F.lit("in-"), natural_key(*FULL)))
 
 
 def rejected(rows: DataFrame) -> DataFrame:

@@ -43,10 +43,3 @@ def triage(pages: DataFrame, as_of: Column | None = None, ttl_seconds: int = 864
     return pages.select(*kept, size.alias("size"), stale.alias("stale"), needs_render.alias("needs_render"),
                         (size < 2000).alias("too_short"))
 
-
-def spread(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
-    """Spread a table stored in few files before heavy per-row work; a no-op for a scan that is wide already.
-
-    With a key the rows are hashed (no sort), otherwise dealt out in turn.
-    """
-    return df if df.rdd.getNumPartitions() >= partitions else df.repartition(partitions, *keys)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import re
 import uuid
 from collections.abc import Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,11 +16,10 @@ LAYOUT = ("year", "month", "run_id")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder under the shared folder of the session (``spark.checkpoint.dir``).
-
-    Only a session without that setting, such as a local test, gets a temporary folder.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="specloom-")
+    """A fresh folder under ``spark.checkpoint.dir``, which driver and executors share."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        raise ValueError("spark.checkpoint.dir is not set: it has to name a folder that driver and executors share")
     return os.path.join(base, f"specloom-{uuid.uuid4().hex}")
 
 
@@ -35,21 +35,26 @@ def with_layout(df: DataFrame) -> DataFrame:
     return df.withColumns({"year": F.year(day), "month": F.month(day)})
 
 
-def write_runs(df: DataFrame, base: str, table: str) -> None:
+def write_runs(df: DataFrame, base: str, table: str, replaces: Sequence[str] = ()) -> None:
     """S3: write all runs of ``df``; a run that is written again replaces itself, other runs stay.
 
-    Rows are rebalanced by run: small runs end in one file instead of one per task, and a run that holds most of
-    the rows is split by size over many tasks (AQE), so no task writes a whole large run.
+    ``replaces`` names runs that this write stands for: one without any row in ``df`` is emptied, which an overwrite of the
+    partitions in ``df`` alone would not do. Rows are rebalanced by run: small runs end in one file instead of one per
+    task, and a run that holds most of the rows is split by size over many tasks (AQE), so no task writes a whole large run.
     """
+    path = os.path.join(base, table)
     laid = with_layout(typed_records(df, table)).hint("rebalance", F.col("run_id"))
-    (laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT)
-     .parquet(os.path.join(base, table)))
+    laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(path)
+    if replaces:
+        full = {r["run_id"] for r in df.where(F.col("run_id").isin(*replaces)).select("run_id").distinct().collect()}
+        for run_id in set(replaces) - full:
+            drop_run(df.sparkSession, base, table, run_id)
 
 
 def append_records(df: DataFrame, base: str, table: str, **defaults: Column) -> None:
-    """Append rows in the table's schema, filling columns the rows do not have."""
-    typed = typed_records(df, table, **defaults)
-    with_layout(typed).write.mode("append").partitionBy(*LAYOUT).parquet(os.path.join(base, table))
+    """Append rows in the table's schema, filling columns the rows do not have. Rows are rebalanced by run."""
+    laid = with_layout(typed_records(df, table, **defaults)).hint("rebalance", F.col("run_id"))
+    laid.write.mode("append").partitionBy(*LAYOUT).parquet(os.path.join(base, table))
 
 
 def typed_records(df: DataFrame, table: str, **defaults: Column) -> DataFrame:
@@ -79,18 +84,48 @@ def read_table(spark: SparkSession, base: str, table: str) -> DataFrame:
     return spark.read.schema(full).parquet(os.path.join(base, table))
 
 
+def month_of(run_id: str) -> tuple[int, int] | None:
+    """Year and month of a run id as :func:`run_date` reads them; None for an id without a date."""
+    day = run_id.split("_")[0]
+    if not re.fullmatch("[0-9]{8}", day):
+        return None
+    try:
+        return (lambda d: (d.year, d.month))(datetime.strptime(day, "%Y%m%d"))
+    except ValueError:
+        return None
+
+
 def read_runs(spark: SparkSession, base: str, table: str, run_ids: Sequence[str]) -> DataFrame:
-    """Some runs. Year and month of the ids are added as predicates, so only their folders are listed."""
-    rows = read_table(spark, base, table).where(F.col("run_id").isin(*run_ids))
-    days = [r.split("_")[0] for r in run_ids]
-    if all(len(d) == 8 and d.isdigit() for d in days):
-        rows = rows.where(F.col("year").isin(*{int(d[:4]) for d in days}) & F.col("month").isin(*{int(d[4:6]) for d in days}))
-    return rows.select(*[f.name for f in schemas.TABLES[table]])
+    """Some runs. Each id brings the predicate of its month (or of no date), so only those folders are listed."""
+    by_month: dict = {}
+    for run_id in run_ids:
+        by_month.setdefault(month_of(run_id), []).append(run_id)
+    wanted = F.lit(False)
+    for month, ids in by_month.items():
+        place = F.col("year").isNull() & F.col("month").isNull() if month is None else (F.col("year") == month[0]) & (F.col("month") == month[1])
+        wanted = wanted | (place & F.col("run_id").isin(*ids))
+    return read_table(spark, base, table).where(wanted).select(*[f.name for f in schemas.TABLES[table]])
+
+
+def list_runs(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """Run ids, newest first. Folder names alone are read."""
+    folders = _path(spark, base, f"{table}/year=*/month=*/run_id=*")
+    found = folders.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folders)
+    plain = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    names = sorted({plain(f.getPath().getName()[len("run_id="):]) for f in found or ()}, reverse=True)
+    return spark.createDataFrame([(n,) for n in names], "run_id string")
+
+
+def _run_folder(spark: SparkSession, base: str, table: str, run_id: str):
+    year, month = month_of(run_id) or ("__HIVE_DEFAULT_PARTITION__",) * 2
+    hidden = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run_id)
+    return _path(spark, base, f"{table}/year={year}/month={month}/run_id={hidden}")
 
 
-def list_runs(snapshot: DataFrame) -> DataFrame:
-    """Run ids, newest first. On a snapshot table this reads folder names only."""
-    return snapshot.select("run_id").distinct().orderBy(F.desc("run_id"))
+def drop_run(spark: SparkSession, base: str, table: str, run_id: str) -> None:
+    """Remove the folder of a run; nothing is rewritten."""
+    folder = _run_folder(spark, base, table, run_id)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def without_run(df: DataFrame, run_id: str) -> DataFrame:
@@ -104,12 +139,7 @@ def delete_run(spark: SparkSession, base: str, run_id: str, tables: Sequence[str
     A run is a folder, so dropping it rewrites nothing.
     """
     removed = {}
-    hidden = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(run_id)
     for table in tables:
         removed[table] = read_runs(spark, base, table, [run_id]).count()
-        if removed[table]:
-            day = run_id.split("_")[0]
-            year, month = (day[:4], str(int(day[4:6]))) if len(day) == 8 and day.isdigit() else ("__HIVE_DEFAULT_PARTITION__",) * 2
-            folder = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(base, table, f"year={year}", f"month={month}", f"run_id={hidden}"))
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        drop_run(spark, base, table, run_id)
     return removed

@@ -1,6 +1,7 @@
 """HTML extraction: page layouts, malformed markup and precedence."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from specloom.operators import extract
 
@@ -114,3 +115,12 @@ def test_newest_copy_of_a_page(spark):
     rows = extract.extract_specs(catalog, pages, version="v").collect()
     # the first row also stands for the resolution, by position
     assert sorted((r.field_code, r.raw_value) for r in rows) == [("aperture", "F2"), ("max_resolution", "F2")]
+
+
+def test_padded_and_long_references(spark):
+    from specloom.functions.text import decode_entities
+    cases = {"&#00000169;": "©", "&#x00000A9;": "©", "&#X1F600;": "😀", "&CounterClockwiseContourIntegral;": "∳", "&NotEqualTilde;": "≂̸",
+             "&#0;": "&#0;", "&#xD800;": "&#xD800;", "&#1114112;": "&#1114112;", "&#99999999999999999999;": "&#99999999999999999999;", "&nosuch;": "&nosuch;",
+             "a &lt;b&gt; &amp;amp; &": "a <b> &amp; &", "": ""}
+    rows = spark.createDataFrame([(k,) for k in cases], "t string").select("t", decode_entities(F.col("t")).alias("d")).collect()
+    assert {r.t: r.d for r in rows} == cases

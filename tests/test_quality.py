@@ -129,6 +129,7 @@ def test_open_issue_order(spark):
 def test_issue_update(spark):
     cols = "run_id string, brand string, series_l1 string, series_l2 string, product_model string, issue_type string, field_code string, issue_detail string, status string, owner string"
     df = spark.createDataFrame([("r", "A", None, None, None, "t", None, "d1", "open", None), ("r", "A", None, None, None, "t", None, "d2", "open", "o")], cols)
-    key = df.where("issue_detail = 'd1'").select(quality.issue_key().alias("issue_key"), F.lit("done").alias("status"), F.lit(None).cast("string").alias("owner"))
+    key = df.where("issue_detail = 'd1'").select(quality.issue_key().alias("issue_key"), F.lit("done").alias("status"), F.lit(None).cast("string").alias("owner"),
+                                                  F.lit("2026-01-01").cast("timestamp").alias("updated_at"))
     got = {r.issue_detail: (r.status, r.owner) for r in quality.update_issues(df, key).collect()}
     assert got == {"d1": ("done", None), "d2": ("open", "o")}

@@ -85,12 +85,12 @@ def test_snapshot_round_trip(spark, tmp_path):
     assert snapshots.read_runs(spark, base, "specs", ["odd run/1"]).count() == 1
     assert snapshots.read_runs(spark, base, "specs", ["nope"]).count() == 0
     assert snapshots.read_runs(spark, base, "catalog", [RUN]).count() == 0  # no such table yet
-    assert [r.run_id for r in snapshots.list_runs(snapshots.read_table(spark, base, "specs")).collect()] == ["odd run/1", "20260501_monthly_01", RUN]
+    assert [r.run_id for r in snapshots.list_runs(spark, base, "specs").collect()] == ["odd run/1", "20260501_monthly_01", RUN]
     plan = snapshots.read_runs(spark, base, "specs", [RUN])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "month" in plan.split("PartitionFilters: ")[1].split("]")[0]
     assert snapshots.delete_run(spark, base, RUN, ["specs", "catalog"]) == {"specs": 1, "catalog": 0}
     assert snapshots.delete_run(spark, base, "odd run/1", ["specs"]) == {"specs": 1}
-    assert [r.run_id for r in snapshots.list_runs(snapshots.read_table(spark, base, "specs")).collect()] == ["20260501_monthly_01"]
+    assert [r.run_id for r in snapshots.list_runs(spark, base, "specs").collect()] == ["20260501_monthly_01"]
 
 
 def test_run_date(spark):
@@ -178,3 +178,28 @@ def test_complete_run(spark, sf_dir, tmp_path):
     assert first[0].issue_count == out["issues"].count()
     run.run_once(spark, one, inputs, base, NOW())  # a repeated run replaces itself
     assert snapshots.read_runs(spark, base, "specs", [one]).count() == first[0].spec_field_count
+
+
+def test_shared_folder_has_to_be_set(spark):
+    key, was = "spark.checkpoint.dir", spark.conf.get("spark.checkpoint.dir")
+    session = spark.newSession()
+
+    class Conf:
+        def get(self, name, default=None):
+            return default if name == key else session.conf.get(name, default)
+
+    class Session:
+        conf = Conf()
+    with pytest.raises(ValueError, match=key):
+        snapshots.shared_dir(Session())
+    assert snapshots.shared_dir(spark).startswith(was)
+
+
+def test_run_changes_reads_two_runs(spark):
+    from specloom.plans.run import run_changes
+    rows = [(r, b, "L", s) for r, b, s in (("1", "A", "x"), ("2", "A", "y"), ("3", "A", "y"), ("3", "A", "z"), ("1", "B", "q"), ("3", "B", "q"), ("3", "C", "n"))]
+    hierarchy = spark.createDataFrame(rows, "run_id string, brand string, series_l1 string, series_l2 string")
+    from specloom.operators import diff
+    want = sorted(map(tuple, diff.hierarchy_changes(hierarchy).where("run_id = '3'").select("run_id", "brand", "series_l1", "series_l2", "change").collect()))
+    got = sorted(map(tuple, run_changes(hierarchy, "3").select("run_id", "brand", "series_l1", "series_l2", "change").collect()))
+    assert got == want == [("3", "A", "L", "z", "added")]
