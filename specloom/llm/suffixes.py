@@ -77,7 +77,7 @@ def _runs(texts: list[bytes], length: int, gram: int):
     return doc, begin - (ends - sizes)[doc], count, least[first], slices, inside
 
 
-RUNS = ["doc", "start", "count", "least", "slice", "inside", "sure"]
+RUNS = ["key", "doc", "start", "count", "slice", "inside", "sure"]
 
 
 def _batch(names, arrays) -> pa.RecordBatch:
@@ -105,10 +105,9 @@ def _run_batches(length: int, gram: int):
             order = np.lexsort((start, doc, piece, least))
             doc, start, count, least, piece, inside = (c[order] for c in (doc, start, count, least, piece, inside))
             sure = np.concatenate([[False], (least[1:] == least[:-1]) & (piece[1:] == piece[:-1])])
-            # sure rows need no company: they are routed by their document
+            # sure rows need no company: they are routed by their place, all others by their least hash
             key = np.where(sure, (doc.astype(np.uint64) * BASE) ^ start.astype(np.uint64), least)
-            yield _batch(["key", *RUNS], [key.view(np.int64), doc, start.astype(np.int32), count.astype(np.int32), least.view(np.int64),
-                                          piece.view(np.int64), inside, sure])
+            yield _batch(RUNS, [key.view(np.int64), doc, start.astype(np.int32), count.astype(np.int32), piece.view(np.int64), inside, sure])
     return run
 
 
@@ -126,7 +125,7 @@ def _fold_batches(length: int):
         c = _concat(batches)
         if not c:
             return
-        order = np.lexsort((c["start"], c["doc"], c["slice"], c["least"]))
+        order = np.lexsort((c["start"], c["doc"], c["slice"], c["key"]))
         sure = c["sure"][order]
         doc, start, end = c["doc"][order], c["start"][order], (c["start"] + c["count"] + (length - 1))[order]
         yield out(doc[sure], start[sure], end[sure], None)
@@ -134,7 +133,7 @@ def _fold_batches(length: int):
         if not len(order):
             return
         doc, start, end = doc[~sure], start[~sure], end[~sure]
-        least, piece, inside = c["least"][order], c["slice"][order], c["inside"][order]
+        least, piece, inside = c["key"][order], c["slice"][order], c["inside"][order]
         new_least = np.concatenate([[True], least[1:] != least[:-1]])
         new_slice = new_least | np.concatenate([[True], piece[1:] != piece[:-1]])
         yield out(doc[~new_slice], start[~new_slice], end[~new_slice], None)
@@ -299,7 +298,7 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
     facts = rows.select("doc_id").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").take(1)
     if not facts:
-        rows = rows.select(F.col("doc_id").alias("doc"), "doc_id", "text")
+        rows = rows.where("doc_id is not null").select(F.col("doc_id").alias("doc"), "doc_id", "text")
         return rows, rows
     ordered = rows.select("doc_id", F.sha2("text", 256).alias("digest")).distinct().orderBy(F.asc_nulls_first("doc_id"), "digest")
     ordered = materialize(ordered.withColumn("doc", F.monotonically_increasing_id()))
@@ -318,11 +317,12 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     """
     rows, different = _numbered(docs)
     runs = different.select("doc", "text").mapInArrow(
-        _run_batches(length, gram), "key long, doc long, start int, count int, least long, slice long, inside boolean, sure boolean")
+        _run_batches(length, gram), "key long, doc long, start int, count int, slice long, inside boolean, sure boolean")
     folded = runs.repartition("key").mapInArrow(_fold_batches(length), "doc long, start int, end int, least long")
     asked = folded.where("least is not null").groupBy("doc").agg(F.collect_list(F.struct("least", "start", "end")).alias("asked"))
     texts = rows.select("doc", "doc_id", "text")
-    slices = different.select("doc", "doc_id", "text").join(asked, "doc").select("doc", "text", "asked").mapInArrow(_cut_batches, "least long, doc long, start int, piece binary")
+    # the same columns and filter as in the last join, so that Spark shuffles the texts once for both
+    slices = different.select("doc", "doc_id", "text").join(asked, "doc").select("doc", "doc_id", "text", "asked").mapInArrow(_cut_batches, "least long, doc long, start int, piece binary")
     looked = (slices.repartition("least").sortWithinPartitions("least", "doc", "start")
               .mapInArrow(_sort_batches(length), "doc long, start int, end int"))
     ranges = (folded.where("least is null").select("doc", "start", "end").unionByName(looked)
