@@ -1,6 +1,6 @@
 """Byte-level BPE encoding and decoding with recursive queries (operator 7).
 
-Each task has a DuckDB database in memory with the merge table (left id, right id, merged id = rank). Words not met
+Each Python worker has a DuckDB database in memory with the merge table (left id, right id, merged id = rank). Words not met
 before become token-position rows; a recursive query joins neighbours with the merge table and contracts each word's
 leftmost pair of least rank until none is left. Decoding joins ids with the vocabulary and concatenates the bytes by
 ordered aggregation. Spark deals out the documents; nothing is shuffled.
@@ -9,6 +9,7 @@ ordered aggregation. Spark deals out the documents; nothing is shuffled.
 from __future__ import annotations
 
 import base64
+import functools
 import hashlib
 import heapq
 import re
@@ -53,7 +54,7 @@ def load_ranks(file: str) -> dict[bytes, int]:
 class RecursiveBpe:
     """Encoder and decoder of one task."""
 
-    def __init__(self, file: str, half_size: int = 500_000):
+    def __init__(self, file: str, half_size: int = 400_000):
         import duckdb
         import public_tokenizers
         import regex
@@ -180,9 +181,15 @@ class RecursiveBpe:
         return out
 
 
+@functools.lru_cache(maxsize=2)
+def task_coder(file: str) -> RecursiveBpe:
+    """The coder of a Python worker: its database and the words it knows serve all its tasks."""
+    return RecursiveBpe(file)
+
+
 def _encode_batches(file: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = RecursiveBpe(file)
+        coder = task_coder(file)
         for batch in batches:
             ids = coder.encode(batch.column("text").to_pylist())
             ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
@@ -193,7 +200,7 @@ def _encode_batches(file: str):
 
 def _decode_batches(file: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = RecursiveBpe(file)
+        coder = task_coder(file)
         for batch in batches:
             ids = [np.array(x or (), dtype="<i4").tobytes() for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(coder.decode(ids), pa.binary())], ["doc_id", "text"])
@@ -202,7 +209,7 @@ def _decode_batches(file: str):
 
 def _round_trip_batches(file: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = RecursiveBpe(file)
+        coder = task_coder(file)
         for batch in batches:
             texts, cols = batch.column("text").to_pylist(), ([], [], [])
             ids = coder.encode(texts)
