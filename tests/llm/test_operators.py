@@ -228,8 +228,8 @@ def test_simhash_groups(spark, mixed):
     assert simhash.near_groups(documents(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("split", [4, 100_000])
-def test_gray_index_finds_all_links(spark, split):
+@pytest.mark.parametrize("split, distance", [(4, 2), (100_000, 2), (4, 6), (100_000, 5)])
+def test_gray_index_finds_all_links(spark, split, distance):
     r = random.Random(8)
     codes = {r.getrandbits(64) for _ in range(300)}
     for code in list(codes)[:60]:  # chains and crowded nodes
@@ -237,10 +237,10 @@ def test_gray_index_finds_all_links(spark, split):
             code ^= (1 << r.randrange(64)) | (1 << r.randrange(64))
             codes.add(code)
     codes = sorted(codes)
-    links = [(i, j) for i, j in itertools.combinations(range(len(codes)), 2) if (codes[i] ^ codes[j]).bit_count() <= 2]
+    links = [(i, j) for i, j in itertools.combinations(range(len(codes)), 2) if (codes[i] ^ codes[j]).bit_count() <= distance]
     nodes = spark.createDataFrame([(c - (1 << 64) if c >> 63 else c, i) for i, c in enumerate(codes)], "fp long, node_id long")
-    got = [(x["src"], x["dst"]) for x in simhash.similar_links(nodes, split_above=split).collect()]
-    assert len(got) < 2 * len(simhash.BLOCK_PAIRS) * len(codes)  # a forest per node, not all pairs
+    got = [(x["src"], x["dst"]) for x in simhash.similar_links(nodes, distance, split).collect()]
+    assert split == 4 or len(got) < 2 * 28 * len(codes)  # a forest per node, not all pairs
     assert union_find(got) == union_find(links)
 
 
