@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from specloom import registry as R
 from specloom.checks.base import check
-from specloom.checks.values import as_json, items
+from specloom.checks.values import _pick as pick, as_json, items
 from specloom.functions import html as H
 from specloom.functions.values import light_type
 from specloom.operators import extract
@@ -110,9 +110,19 @@ check("J1_missing_pages", "SELECT run_id, product_model, locale, product_url FRO
     lambda t: extract.missing_pages(t.catalog, t.product_pages).select("run_id", "product_model", "locale", "product_url"))
 SPECS_OF = f""", {PP}, {RAW}, e AS (SELECT c.run_id, c.brand, coalesce(c.series_l1, '') AS series_l1, coalesce(c.series_l2, '') AS series_l2, c.product_model,
   r.field_code, r.raw_value, r.confidence AS extract_confidence FROM catalog AS c JOIN raw AS r ON c.product_url = 'https://x.example/' || r.page_id)"""
-check("J1_extract_specs", SPECS_OF + " SELECT * FROM e", "catalog")(
+check("J1_extract_specs", SPECS_OF + f""" SELECT run_id, brand, series_l1, series_l2, product_model, field_code, raw_value, extract_confidence,
+  {pick(1, 'NULL')} AS normalized_value, {pick(2, 'NULL')} AS unit, {pick(3, repr('Empty value'))} AS issues FROM (SELECT *, raw_value AS r FROM e) AS s""", "catalog")(
     lambda t: extract.extract_specs(t.catalog, product_pages(t)).select(
-        "run_id", "brand", "series_l1", "series_l2", "product_model", "field_code", "raw_value", "extract_confidence"))
+        "run_id", "brand", "series_l1", "series_l2", "product_model", "field_code", "raw_value", "extract_confidence", "normalized_value", "unit",
+        F.array_join("issues", "; ").alias("issues")))
+
+
+@check("J1_copies_of_a_page", f""" , {PP}, {RAW} SELECT 'https://x.example/' || page_id AS url, field_code, raw_value FROM raw""".replace(" ,", "WITH", 1))
+def _(t):
+    # every page is stored three times: an old copy of another page, and the newest one twice
+    newest = product_pages(t).select("url", "html", F.lit(2).alias("version"))
+    old = newest.select("url", F.lit("<table><tr><td>Lens Type</td><td>old</td></tr></table>").alias("html"), F.lit(1).alias("version"))
+    return extract.newest_raw(newest.unionByName(newest).unionByName(old), "version").select("url", "field_code", "raw_value")
 check("A15_extraction_counts", SPECS_OF + """ SELECT run_id, p AS products_processed, coalesce(n, 0) AS specs_extracted,
     CASE WHEN p > 0 THEN round(coalesce(n, 0) / cast(p AS DOUBLE), 2) ELSE 0 END AS avg_specs_per_product, f AS extraction_failures
   FROM (SELECT run_id, cast(sum((coalesce(product_url, '') LIKE 'https%')::INT) AS BIGINT) AS p, cast(sum((coalesce(product_url, '') NOT LIKE 'https%')::INT) AS BIGINT) AS f FROM catalog GROUP BY run_id) AS c

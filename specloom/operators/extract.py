@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from specloom import registry as R
 from specloom.functions import html as H
 from specloom.functions import values as V
-from specloom.functions.text import built_once, found, strip
+from specloom.functions.text import built_once, found, let, strip
 
 
 @built_once
@@ -84,8 +84,9 @@ def _raw_stages() -> list[list[Column]]:
     # a condition inside the generator, not a filter: a filter would be pushed down and find the container twice
     found_hits = F.inline(F.when(c("container").isNotNull(), F.filter(hits, lambda h: h.hit.isNotNull())))
     # a distance that cannot be converted is kept at half the confidence
+    # inside a lambda the parsed parts become methods of their own; in line, the stage would grow beyond what compiles
     bad_distance = ((c("field_code") == "supplement_light_range") & c("hit.method").startswith("label_")
-                    & V.parse_distance(c("hit.raw_value")).error.isNotNull())
+                    & let(V.parse_distance(c("hit.raw_value")), lambda d: d.error.isNotNull()))
     confidence = F.when(bad_distance, c("hit.confidence") * 0.5).otherwise(c("hit.confidence"))
     flat = [c("field_code"), c("hit.raw_value"), confidence.alias("confidence"), c("hit.method")]
     return [cut, paired, labelled, [found_hits], flat]
@@ -152,24 +153,28 @@ def normalize_specs(specs: DataFrame, strict_units: bool = False) -> DataFrame:
     return n.select(*kept, "_n.normalized_value", "_n.unit", "_n.issues")
 
 
-def newest_raw(pages: DataFrame, version: str) -> DataFrame:
-    """Raw values of the newest stored copy of each url, by a column that orders the copies.
+def newest_raw(pages: DataFrame, version: str | None = None) -> DataFrame:
+    """Raw values of the newest stored copy of each url, one row per url and field.
 
-    The newest copies are found from the slim columns and compared with the extracted values, so HTML is not
-    shuffled even when one url has very many copies.
+    ``version`` names a column that orders the copies; ties, and all copies without it, go by a hash of the HTML. The newest
+    copies are found from hashes and compared with the extracted values, so HTML is not shuffled even when one url has
+    very many copies.
     """
-    newest = pages.groupBy("url").agg(F.max(version).alias(version))
-    return extract_raw(pages, ["url", version]).join(newest, ["url", version], "left_semi").drop(version)
+    order = F.struct(*([F.col(version).alias("version")] if version else []), F.xxhash64("html").alias("digest"))
+    copies = pages.withColumn("_copy", order)
+    newest = copies.groupBy("url").agg(F.max("_copy").alias("_copy"))
+    raw = extract_raw(copies, ["url", "_copy"]).join(newest, ["url", "_copy"], "left_semi").drop("_copy")
+    return raw.dropDuplicates(["url", "field_code"])  # rows of equal copies are equal
 
 
 def extract_specs(catalog: DataFrame, pages: DataFrame, strict_units: bool = False,
                   version: str | None = None) -> DataFrame:
     """Catalog entries with their stored pages to normalized spec rows.
 
-    Pages are reduced to raw values before the join, so the join moves values and never HTML. A url has one
-    stored page; where it may have several copies, ``version`` names the column that orders them.
+    Pages are reduced to raw values and normalized before the join, once per page and field and not once per run, locale
+    and product; the join moves values and never HTML. Of several copies of a url one counts (``newest_raw``).
     """
-    raw = newest_raw(pages, version) if version else extract_raw(pages, ["url"])
+    raw = normalize_specs(newest_raw(pages, version), strict_units)
     c = catalog.select("run_id", "brand", F.coalesce("series_l1", F.lit("")).alias("series_l1"),
                        F.coalesce("series_l2", F.lit("")).alias("series_l2"), "product_model", "product_url")
     rows = c.join(raw, c.product_url == raw.url)
@@ -177,8 +182,8 @@ def extract_specs(catalog: DataFrame, pages: DataFrame, strict_units: bool = Fal
         "run_id", "brand", "series_l1", "series_l2", "product_model", "field_code",
         R.field_name(F.col("field_code")).alias("field_name"), "raw_value",
         R.value_type(F.col("field_code")).alias("value_type"), F.col("product_url").alias("source_url"),
-        F.col("confidence").alias("extract_confidence"), F.lit(False).alias("is_manual_override"), "method")
-    return normalize_specs(specs, strict_units)
+        F.col("confidence").alias("extract_confidence"), F.lit(False).alias("is_manual_override"), "method", "normalized_value", "unit", "issues")
+    return specs
 
 
 def missing_pages(catalog: DataFrame, pages: DataFrame) -> DataFrame:
