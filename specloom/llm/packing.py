@@ -10,6 +10,10 @@ the last sequences (fewer than the sum of all k, whatever the input) are packed
 
 from __future__ import annotations
 
+import array
+import functools
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -41,20 +45,48 @@ def pieces(length: int, capacity: int = CAPACITY, cut_above: int = CUT_ABOVE) ->
     return out + [rest] * (rest > 0)
 
 
+# words of Latin letters (but dotted capital I, which lowers to two characters), also with a full stop or comma behind
+PLAIN = r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+[.,]?"
+
+
+@functools.lru_cache(maxsize=2)
 def chunk_encoder(file: str, half_size: int = 400_000):
     """Texts to ids (bytes of little-endian 32-bit numbers), equal to encoding whole texts by ``tokenizers``.
 
-    The vocabulary's pre-tokens never contain white space, so runs between white space are encoded alone and kept.
+    The vocabulary's pre-tokens never contain white space, so runs between white space are encoded alone and kept. A plain
+    word and the stop behind it are pre-tokens of their own, for which the model of the tokenizer is called directly, with
+    the lower-case word in the byte alphabet. The encoder and what it keeps serve all tasks of a Python worker.
     """
-    import os
-    import re
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
-    tokenizer, odd = Tokenizer.from_file(file), re.compile(ODD_SPACES)
-
-    def fill(words):
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-    cache = WordCache(fill, half_size)
+    tokenizer, odd, plain = Tokenizer.from_file(file), re.compile(ODD_SPACES), re.compile(PLAIN).fullmatch
+
+    def ids(texts):
+        return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def packed(x):
+        return array.array("I", x).tobytes()
+    tokenize = tokenizer.model.tokenize
+    # the byte alphabet: printable Latin-1 characters stand for themselves, the others for code points from 256 on
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    alphabet = dict(zip((b for b in range(256) if b not in printable), range(256, 512)))
+
+    def fill_words(words):
+        return [packed([t.id for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(alphabet))]) for w in words]
+    words, stops = WordCache(fill_words, half_size), {c: packed(ids([c])[0]) for c in ".,"}
+
+    def fill_chunks(chunks):
+        split, rest = [], []
+        for c in chunks:
+            if plain(c):
+                split.append((c[:-1].lower(), stops[c[-1]]) if c[-1] in stops else (c.lower(), b""))
+            else:
+                split.append(None)
+                rest.append(c)
+        words.ensure([[s[0] for s in split if s]])
+        known, hard = words.young, map(packed, ids(rest))
+        return [known[s[0]] + s[1] if s else next(hard) for s in split]
+    cache = WordCache(fill_chunks, half_size)
 
     def chunks(text):
         return text.translate({9: " ", 10: " ", 11: " ", 12: " ", 13: " "}).split(" ") if odd.search(text) else text.split()
