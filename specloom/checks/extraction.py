@@ -176,6 +176,10 @@ check("N14_interfaces", f"""WITH lp AS ({LP}) SELECT page_id, array_to_string(li
 # --- links -----------------------------------------------------------------------------------------
 
 SITE = "https://z.example"
+check("E2_own_site_rules", r"""SELECT page_id, 'word' AS kind, upper(w) AS name, 'https://z.example/' || w AS url FROM (
+  SELECT DISTINCT page_id, regexp_extract(tag, 'href="/([a-z]+)"', 1) AS w FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a [^>]*>')) AS tag FROM pages) AS a) AS l WHERE w <> ''""")(
+    lambda t: extract.site_links(t.pages, K, extract.SiteRules((("word", "^/([a-z]+)$", 1),), lambda kind, slug, heading, allowed: F.upper(slug)), SITE).select(
+        "page_id", "kind", "name", "url"))
 LONG_NAME = "one two three four five six seven eight nine ten eleven twelve"
 check("X15_page_links", r"""SELECT page_id, cast(pos - 1 AS INT) AS pos, regexp_extract(tag, 'href="([^"]*)"', 1) AS href,
     trim(regexp_replace(regexp_extract(tag, '>(.*)</a>', 1), '\s+', ' ', 'g')) AS text FROM (

@@ -13,7 +13,7 @@ from pyspark.sql import Column, functions as F
 
 from specloom import registry as R
 from specloom.functions.text import (
-    STRINGS, first_match, first_wins, float_text, found, is_blank, json_list, plain_number,
+    STRINGS, first_match, first_wins, float_text, found, is_blank, json_list, let, plain_number,
     split_items, strings, strip,
 )
 
@@ -193,6 +193,12 @@ def compare_resolutions(a: Column, b: Column) -> Column:
 
 # --- streams ---------------------------------------------------------------------------------------
 
+def _present(raw: Column) -> Column:
+    """Not NULL, asked by a lambda: that keeps the long expression it guards out of whole-stage code, where it would be one
+    method too long to compile, and has it compiled as a projection, which Spark splits into methods."""
+    return let(raw, lambda x: x.isNotNull())
+
+
 def parse_stream(raw: Column) -> Column:
     """struct<fps_value, resolution_width, resolution_height, normalized>, NULL when nothing is found."""
     full = found(raw, FPS_AND_SIZE, 0)
@@ -207,7 +213,7 @@ def parse_stream(raw: Column) -> Column:
     box = F.when(has_size, F.format_string("(%dx%d)", width, height))
     parsed = F.struct(fps.alias("fps_value"), width.alias("resolution_width"), height.alias("resolution_height"),
                       F.concat_ws(" ", rate, box).alias("normalized"))
-    return F.when(has_fps | has_size, parsed)
+    return F.when(_present(raw) & (has_fps | has_size), parsed)
 
 
 def stream_json(stream: Column) -> Column:
@@ -270,7 +276,7 @@ def parse_distance(raw: Column) -> Column:
     span = made(number(SPAN, 1), number(SPAN, 3), F.coalesce(found(raw, SPAN, 2), found(raw, SPAN, 4)),
                 lambda lo, hi: F.concat(lo, F.lit("-"), hi, metres))
     single = made(none, number(AMOUNT, 1), found(raw, AMOUNT, 2), lambda lo, hi: F.concat(hi, metres))
-    return F.when(raw.rlike(LIMIT), limit).when(raw.rlike(SPAN), span).when(raw.rlike(AMOUNT), single)
+    return F.when(_present(raw), F.when(raw.rlike(LIMIT), limit).when(raw.rlike(SPAN), span).when(raw.rlike(AMOUNT), single))
 
 
 def max_metres(distance: Column) -> Column:

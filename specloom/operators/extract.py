@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from specloom import registry as R
@@ -256,55 +259,71 @@ def list_page_specs(pages: DataFrame, keys: list[str]) -> DataFrame:
 
 # --- X15 and E2: site rules ------------------------------------------------------------------------
 
-# --- fixed values: link patterns of the two site layouts -------------------------------------------
-# kind, pattern, group of the slug
+@dataclass(frozen=True)
+class SiteRules:
+    """How the links of one site are read; a user can pass rules of their own.
+
+    ``patterns``: (kind, pattern, group of the slug). ``name`` gives a link's name from its kind, slug and heading, and the allowed
+    series; links without a name are left out. ``text`` shortens the link text where a site needs it.
+    """
+    patterns: tuple[tuple[str, str, int], ...]
+    name: Callable[[Column, Column, Column, list[str]], Column]
+    text: Callable[[Column], Column] = lambda text: text
+
+
+def _dashed(slug: Column) -> Column:
+    return F.regexp_replace(slug, "-", " ")
+
+
+def _tabbed_name(kind: Column, slug: Column, heading: Column, allowlist: list[str]) -> Column:
+    return F.when(kind == "product", F.upper(slug)).when(kind == "subseries", F.initcap(_dashed(slug))).otherwise(slug)
+
+
+def _catalog_name(kind: Column, slug: Column, heading: Column, allowlist: list[str]) -> Column:
+    model, series = F.coalesce(heading, _dashed(slug)), H.series_name(slug, allowlist)
+    return (F.when(kind == "series", series).when(kind == "product_series", F.when(V.allowed_series(series, list(allowlist)), series))
+            .when(V.valid_model(model), model).when(V.valid_model(slug), F.upper(slug)))
+
+
+def _first_words(text: Column) -> Column:
+    """Link texts of the catalog site run on into the description; the name is their first ten words."""
+    return F.array_join(F.slice(F.split(text, r"(?U)\s+"), 1, PRODUCT_NAME_WORDS), " ")
+
+
+# --- fixed values: link patterns of the two site layouts, words of a product name ------------------
+PRODUCT_NAME_WORDS = 10
 SITE_RULES = {
-    "tabbed": (
+    "tabbed": SiteRules((
         ("series", r"^(?:https?://[^/]+)?/products/network-products/network-cameras/([\w-]+)", 1),
         ("subseries", r"(?i)/network-cameras/[\w-]+/([\w-]+)/(?:ipc|dh)", 1),
         ("product", r"(?i)/network-cameras/[\w-]+/[\w-]+/(ipc-[\w-]+|dh-[\w-]+)", 1),
-    ),
-    "catalog": (
+    ), _tabbed_name),
+    "catalog": SiteRules((
         ("series", r"^/[^/]+/products/IP-Products/Network-Cameras/([^/]+)/?$", 1),
         ("product_series", r"/Network-Cameras/([^/]+)", 1),
         ("product", r"/products/IP-Products/Network-Cameras/[^/]+/([^/]+)/?$", 1),
-    ),
+    ), _catalog_name, _first_words),
 }
 
 
-PRODUCT_NAME_WORDS = 10
-
-
 def page_links(pages: DataFrame, keys: list[str]) -> DataFrame:
     """All anchors with a target, in page order."""
     found_links = _clean(pages, keys).select(*keys, F.posexplode(H.links(F.col("clean"))).alias("pos", "link"))
     return found_links.select(*keys, "pos", "link.*")
 
 
-def site_links(pages: DataFrame, keys: list[str], site: str, base_url: str, allowlist: list[str] = ()) -> DataFrame:
-    """Series, subseries and products linked from listing pages, by the rules of one site layout.
+def site_links(pages: DataFrame, keys: list[str], site: str | SiteRules, base_url: str, allowlist: list[str] = ()) -> DataFrame:
+    """Series, subseries and products linked from listing pages, by the rules of one site layout (a known one or own).
 
     One row per page, kind and name: the first link wins.
     """
+    own = SITE_RULES[site] if isinstance(site, str) else site
     rules = F.array(*[F.struct(F.lit(kind).alias("kind"), found(F.col("href"), pattern, group).alias("slug"))
-                      for kind, pattern, group in SITE_RULES[site]])
+                      for kind, pattern, group in own.patterns])
     rows = page_links(pages, keys).select("*", F.inline(F.filter(rules, lambda r: r.slug.isNotNull())))
-    slug, heading, text = F.col("slug"), F.col("heading"), F.col("text")
-    dashed = F.regexp_replace(slug, "-", " ")
-    if site == "tabbed":
-        name = F.when(F.col("kind") == "product", F.upper(slug)).when(F.col("kind") == "subseries", F.initcap(dashed)).otherwise(slug)
-        keep = F.lit(True)
-    else:
-        model = F.coalesce(heading, dashed)
-        series = H.series_name(slug, allowlist)
-        name = (F.when(F.col("kind") == "series", series)
-                .when(F.col("kind") == "product_series", F.when(V.allowed_series(series, list(allowlist)), series))
-                .when(V.valid_model(model), model).when(V.valid_model(slug), F.upper(slug)))
-        keep = F.col("name").isNotNull()
-        # a rule of this site: its link texts run on into the description, the name is their first ten words
-        text = F.array_join(F.slice(F.split("text", r"(?U)\s+"), 1, PRODUCT_NAME_WORDS), " ")
-    named = rows.select(*keys, "pos", "kind", "slug", name.alias("name"), text.alias("text"),
-                        H.absolute_url(F.lit(base_url), F.col("href")).alias("url")).where(keep)
+    name = own.name(F.col("kind"), F.col("slug"), F.col("heading"), list(allowlist))
+    named = rows.select(*keys, "pos", "kind", "slug", name.alias("name"), own.text(F.col("text")).alias("text"),
+                        H.absolute_url(F.lit(base_url), F.col("href")).alias("url")).where(F.col("name").isNotNull())
     # links of one page are few; keep the first per name with a map-side combining aggregate
     first = named.groupBy(*keys, "kind", "name").agg(
         F.min_by(F.struct("pos", "slug", "text", "url"), "pos").alias("first"))

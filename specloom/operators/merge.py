@@ -113,14 +113,13 @@ def revert_override(specs: DataFrame, before: DataFrame, run_id: str, brand: str
               & (F.col("field_code") == field))
     old = before.where(target).groupBy(*keys).agg(
         F.max(F.struct("updated_at", "raw_value", "normalized_value", "extract_confidence")).alias("o"))
-    hit = target & F.col("is_manual_override")
-    rows = null_safe_join(specs, old, keys, "left")
-    back = lambda c: F.when(hit & F.col("o").isNotNull(), F.col(f"o.{c}")).otherwise(F.col(c))
-    return rows.withColumns({
+    # the few rows of the product field are mended and put back; no other row is joined
+    hit = F.coalesce(target & F.col("is_manual_override"), F.lit(False))
+    back = lambda c: F.when(F.col("o").isNotNull(), F.col(f"o.{c}")).otherwise(F.col(c))
+    mended = null_safe_join(specs.where(hit), old, keys, "left").withColumns({
         "raw_value": back("raw_value"), "normalized_value": back("normalized_value"),
-        "extract_confidence": back("extract_confidence"),
-        "is_manual_override": F.when(hit, False).otherwise(F.col("is_manual_override")),
-    }).select(*specs.columns)
+        "extract_confidence": back("extract_confidence"), "is_manual_override": F.lit(False)})
+    return mended.select(*specs.columns).unionByName(specs.where(~hit))
 
 
 def without_manual(manual: DataFrame, brand: str, model: str, field: str) -> DataFrame:

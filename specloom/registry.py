@@ -180,17 +180,3 @@ def field_name(field: Column) -> Column:
 
 def value_type(field: Column) -> Column:
     return lookup(field, {f.code: f.value_type for f in FIELDS})
-
-
-def field_dim(spark):
-    """The field dictionary as a DataFrame (twelve rows)."""
-    rows = [(i, f.code, f.name, True, f.value_type, f.unit, f.rule) for i, f in enumerate(FIELDS)]
-    return spark.createDataFrame(
-        rows, "ordinal int, field_code string, field_name string, required boolean, value_type string, "
-              "unit string, comparison_rule string")
-
-
-def alias_dim(spark):
-    """One row per field and search term, ranked in lookup order (about seventy rows)."""
-    rows = [(f.code, rank, term) for f in FIELDS for rank, term in enumerate(f.terms)]
-    return spark.createDataFrame(rows, "field_code string, alias_rank int, alias_lc string")

@@ -33,10 +33,6 @@ MANUAL = _s("input_id string, brand string, series_l1 string, series_l2 string,
 ISSUES = _s("run_id string, brand string, series_l1 string, series_l2 string, product_model string, "
             "issue_type string, field_code string, issue_detail string, severity string, status string, "
             "owner string, created_at timestamp")
-RUN_SUMMARY = _s("run_id string, schedule_type string, started_at timestamp, ended_at timestamp, "
-                 "catalog_count int, spec_field_count int, issue_count int, new_series_count int, "
-                 "disappeared_series_count int, success_rate double, status string")
-FETCH_LOG = _s("item_key string, success boolean, url string, size bigint, error string")
 FEED = ("products array<struct<productModel:string,series:string,subseries:string,detailPath:string,"
         "title:string>>")
 

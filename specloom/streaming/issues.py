@@ -12,21 +12,24 @@ from specloom.operators.quality import detect_spec_issues
 def issue_counts_stream(specs: DataFrame, target: str, checkpoint: str):
     """Rules over each arriving micro-batch, counted per run, type and severity.
 
-    A batch is written to its own folder, so a batch that is run again after a failure replaces itself;
-    ``issue_counts`` adds the batches up. Returns the started query.
+    A run arrives in one micro-batch, as ``write_runs`` publishes it. A batch is written to its own folder, so a batch that
+    is run again after a failure replaces itself; a row without type marks every run of a batch, so that a run which
+    arrives again without issues replaces its old counts too. Returns the started query.
     """
-    issues = detect_spec_issues(specs)
-
     def save(batch: DataFrame, batch_id: int) -> None:
-        batch.groupBy("run_id", "issue_type", "severity").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(
-            os.path.join(target, f"batch={batch_id}"))
+        counts = detect_spec_issues(batch).groupBy("run_id", "issue_type", "severity").agg(F.count("*").alias("n"))
+        marks = batch.select("run_id").distinct().select("run_id", F.lit(None).cast("string").alias("issue_type"),
+                                                         F.lit(None).cast("string").alias("severity"), F.lit(0).cast("long").alias("n"))
+        counts.unionByName(marks).write.mode("overwrite").parquet(os.path.join(target, f"batch={batch_id}"))
 
-    return issues.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return specs.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def issue_counts(spark, target: str) -> DataFrame:
+    """Counts of each run's last delivery: a run that was delivered again counts once."""
     rows = spark.read.parquet(target)
-    return rows.groupBy("run_id", "issue_type", "severity").agg(F.sum("n").alias("n"))
+    last = rows.groupBy("run_id").agg(F.max("batch").alias("batch"))
+    return rows.join(last, ["run_id", "batch"], "left_semi").where("issue_type IS NOT NULL").select("run_id", "issue_type", "severity", "n")
 
 
 def event_rate(events: DataFrame, time: str, key: str, kind: str, lateness: str = "1 hour", window: str = "1 hour") -> DataFrame:

@@ -203,3 +203,15 @@ def test_run_changes_reads_two_runs(spark):
     want = sorted(map(tuple, diff.hierarchy_changes(hierarchy).where("run_id = '3'").select("run_id", "brand", "series_l1", "series_l2", "change").collect()))
     got = sorted(map(tuple, run_changes(hierarchy, "3").select("run_id", "brand", "series_l1", "series_l2", "change").collect()))
     assert got == want == [("3", "A", "L", "z", "added")]
+
+
+def test_run_delivered_again_counts_once(spark, tmp_path):
+    cols = "run_id string, brand string, series_l1 string, series_l2 string, product_model string, field_code string, raw_value string, normalized_value string, unit string, extract_confidence double"
+    bad = lambda run, n: [(run, "A", "s", "t", f"M{i}", "image_sensor", "", None, None, 1.0) for i in range(n)]
+    good = [("r2", "A", "s", "t", "M1", "image_sensor", "x", "x", None, 1.0)]
+    source, target, state = (str(tmp_path / n) for n in ("in", "counts", "state"))
+    for rows in (bad("r1", 3) + bad("r2", 2), bad("r1", 3), good):
+        spark.createDataFrame(rows, cols).coalesce(1).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(cols).parquet(source)
+        streams.issue_counts_stream(stream, target, state).awaitTermination()
+    assert {(r.run_id, r.issue_type): r.n for r in streams.issue_counts(spark, target).collect()} == {("r1", "missing_field"): 3}
