@@ -23,6 +23,7 @@ LENGTH = 100  # bytes of a repeated string
 GRAM = 32  # bytes of a k-gram: a power of two
 PIECE = 1 << 20  # bytes of text hashed at once
 CHUNK = 1 << 17  # bytes of slices sorted at once, unless one hash has more
+CROWDED = 8192  # different slices of one hash from which they are dealt out string by string
 BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -119,8 +120,11 @@ def _concat(batches) -> dict:
     return {n: table.column(n).to_numpy() for n in table.column_names}
 
 
-def _fold_batches(length: int):
-    """Reduce side: ``doc, start, end, least``: a repeated range (least null) or a slice that has to be looked into."""
+def _fold_batches(length: int, crowded: int):
+    """Reduce side: ``doc, start, end, least, apart``: a repeated range (least null) or a slice that has to be looked into.
+
+    ``apart``: its hash has so many different slices that they are not sorted together.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = _concat(batches)
         if not c:
@@ -128,7 +132,7 @@ def _fold_batches(length: int):
         order = np.lexsort((c["start"], c["doc"], c["slice"], c["key"]))
         sure = c["sure"][order]
         doc, start, end = c["doc"][order], c["start"][order], (c["start"] + c["count"] + (length - 1))[order]
-        yield out(doc[sure], start[sure], end[sure], None)
+        yield out(doc[sure], start[sure], end[sure], None, sure[sure])
         order = order[~sure]
         if not len(order):
             return
@@ -136,15 +140,16 @@ def _fold_batches(length: int):
         least, piece, inside = c["key"][order], c["slice"][order], c["inside"][order]
         new_least = np.concatenate([[True], least[1:] != least[:-1]])
         new_slice = new_least | np.concatenate([[True], piece[1:] != piece[:-1]])
-        yield out(doc[~new_slice], start[~new_slice], end[~new_slice], None)
+        yield out(doc[~new_slice], start[~new_slice], end[~new_slice], None, new_slice[~new_slice])
         group = np.cumsum(new_least) - 1
-        several = (np.bincount(group, weights=new_slice) > 1) | (np.bincount(group, weights=inside) > 0)
+        different = np.bincount(group, weights=new_slice)
+        several = (different > 1) | (np.bincount(group, weights=inside) > 0)
         look = new_slice & several[group]
-        yield out(doc[look], start[look], end[look], least[look])
+        yield out(doc[look], start[look], end[look], least[look], (different > crowded)[group[look]])
 
-    def out(doc, start, end, least):
+    def out(doc, start, end, least, apart):
         least = pa.array(least) if least is not None else pa.nulls(len(doc), pa.int64())
-        return _batch(["doc", "start", "end", "least"], [doc, start, end.astype(np.int32), least])
+        return _batch(["doc", "start", "end", "least", "apart"], [doc, start, end.astype(np.int32), least, apart])
     return run
 
 
@@ -248,15 +253,33 @@ def _sort_batches(length: int):
     return run
 
 
-def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts with the slices asked for in; one row per slice out."""
-    for batch in batches:
-        rows = ([], [], [], [])
-        for doc, text, asked in zip(*(batch.column(n).to_pylist() for n in ("doc", "text", "asked"))):
-            for a in asked:
-                for col, v in zip(rows, (a["least"], doc, a["start"], text[a["start"]:a["end"]])):
-                    col.append(v)
-        yield _batch(["least", "doc", "start", "piece"], [pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))])
+def _cut_batches(length: int):
+    """Texts with the slices asked for in; one row per slice out.
+
+    Slices of a crowded hash are cut into their strings, each dealt out by a hash of its own: equal ones still meet, and a
+    line that very many different texts surround doesn't gather in one task.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, size = ([], [], [], []), 0
+            for doc, text, asked in zip(*(batch.column(n).to_pylist() for n in ("doc", "text", "asked"))):
+                for a in asked:
+                    s, e = a["start"], a["end"]
+                    cuts = [(i, i + length) for i in range(s, e - length + 1)] if a["apart"] else [(s, e)]
+                    for b, c in cuts:
+                        piece = text[b:c]
+                        least = int.from_bytes(xxhash.xxh64_digest(piece), "big", signed=True) if a["apart"] else a["least"]
+                        for col, v in zip(rows, (least, doc, b, piece)):
+                            col.append(v)
+                        size += c - b
+                if size > PIECE:
+                    yield out(rows)
+                    rows, size = ([], [], [], []), 0
+            yield out(rows)
+
+    def out(rows):
+        return _batch(["least", "doc", "start", "piece"], [pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))])
+    return run
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -308,7 +331,7 @@ def _numbered(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows, rows.dropDuplicates(["doc"])
 
 
-def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowded: int = CROWDED) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans`` per row of ``docs`` (``doc_id, text``; others ignored).
 
     A byte is removed if a string of ``length`` bytes that covers it also starts earlier (smaller ``doc_id``, or the same document
@@ -318,11 +341,11 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     rows, different = _numbered(docs)
     runs = different.select("doc", "text").mapInArrow(
         _run_batches(length, gram), "key long, doc long, start int, count int, slice long, inside boolean, sure boolean")
-    folded = runs.repartition("key").mapInArrow(_fold_batches(length), "doc long, start int, end int, least long")
-    asked = folded.where("least is not null").groupBy("doc").agg(F.collect_list(F.struct("least", "start", "end")).alias("asked"))
+    folded = runs.repartition("key").mapInArrow(_fold_batches(length, crowded), "doc long, start int, end int, least long, apart boolean")
+    asked = folded.where("least is not null").groupBy("doc").agg(F.collect_list(F.struct("least", "start", "end", "apart")).alias("asked"))
     texts = rows.select("doc", "doc_id", "text")
     # the same columns and filter as in the last join, so that Spark shuffles the texts once for both
-    slices = different.select("doc", "doc_id", "text").join(asked, "doc").select("doc", "doc_id", "text", "asked").mapInArrow(_cut_batches, "least long, doc long, start int, piece binary")
+    slices = different.select("doc", "doc_id", "text").join(asked, "doc").select("doc", "doc_id", "text", "asked").mapInArrow(_cut_batches(length), "least long, doc long, start int, piece binary")
     looked = (slices.repartition("least").sortWithinPartitions("least", "doc", "start")
               .mapInArrow(_sort_batches(length), "doc long, start int, end int"))
     ranges = (folded.where("least is null").select("doc", "start", "end").unionByName(looked)

@@ -470,7 +470,8 @@ def plain_repeats(rows, length):
     return out
 
 
-def test_repeated_bytes(spark, mixed):
+@pytest.mark.parametrize("crowded", [1, suffixes.CROWDED])
+def test_repeated_bytes(spark, mixed, crowded):
     shared = [words(300 + i, 40) for i in range(4)]
     r = random.Random(12)
     rows = mixed[:-4] + [(20 + i, " ".join([words(400 + i, r.randint(0, 30)), *r.sample(shared, r.randint(0, 3)), words(500 + i, r.randint(0, 30))]))
@@ -478,7 +479,7 @@ def test_repeated_bytes(spark, mixed):
     rows += [(90, "ab" * 400), (91, "é" * 120 + shared[0][20:160]), (92, "x" * 99), (93, "x" * 99), (94, "x" * 100), (95, "x" * 100)]
     rows = [(d, t) for d, t in rows if d is not None]
     r.shuffle(rows)
-    got = {x["doc_id"]: x for x in rows_of(suffixes.repeated_bytes(documents(spark, rows)))}
+    got = {x["doc_id"]: x for x in rows_of(suffixes.repeated_bytes(documents(spark, rows), crowded=crowded))}
     ordered = sorted(rows)
     for (d, t), removed in zip(ordered, plain_repeats([(t or "").encode() for _, t in ordered], 100)):
         text = (t or "").encode()
