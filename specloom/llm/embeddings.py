@@ -9,6 +9,7 @@ only, which both vectors' hashes tell, so links are counted and joined without l
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
 
@@ -23,6 +24,7 @@ from specloom.llm.simhash import forest
 COSINE = 0.95
 TABLES, PROBES = 6, 4
 BLOCK = 2048  # members of a bucket that are compared with as many others in one piece of work
+PAIRS = 500_000  # near pairs that a task looks at together
 PER_BUCKET = 4  # unrelated vectors per bucket that the number of functions aims at
 
 
@@ -112,48 +114,73 @@ def _first_key(a: np.ndarray, b: np.ndarray, home: np.ndarray, probe: np.ndarray
 
 
 def _verify(functions: int, tables: int, probes: int, cosine: float):
-    """Rows of a bucket (or two blocks of one) in; ``a, b, n``: a link of the forest (n = 0) or ``n`` links of ``a`` out."""
-    def bucket(rows: pd.DataFrame, hasher: CrossPolytope, key: int, crossed: bool) -> pd.DataFrame:
+    """Rows of buckets (or of two blocks of one) in; ``a, b, n``: a link of the forest (n = 0) or ``n`` links of ``a`` out.
+
+    Rows are sorted by bucket. The pairs of many buckets are told apart by their hashes at once.
+    """
+    columns = ["dim", "bucket", "low", "high"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            starts = changes(rows)
+            held = rows.iloc[starts[-1]:].reset_index(drop=True)  # the last bucket may go on
+            yield from work(rows.iloc[:starts[-1]])
+        if held is not None:
+            yield from work(held)
+
+    def changes(rows: pd.DataFrame) -> np.ndarray:
+        keys = rows[columns].to_numpy()
+        return np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1])
+
+    def work(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for dim, part in rows.groupby("dim", sort=False):
+            yield buckets(part.reset_index(drop=True), _hasher(int(dim), functions, tables, probes))
+
+    def buckets(rows: pd.DataFrame, hasher: CrossPolytope) -> pd.DataFrame:
         x, ids, many = unit(rows["vector"].tolist()), rows["node"].to_numpy(), rows["copies"].to_numpy()
-        at_home, block = rows["home"].to_numpy(), rows["block"].to_numpy()
-        home, probe = hasher.keys(x)
-        links, parent = np.zeros(len(x), dtype=np.int64), {}
-        for s in range(0, len(x), 256):
-            near = x[s:s + 256] @ x.T >= cosine
-            a, b = np.nonzero(near)
-            a = a + s
-            ok = (a < b) & (at_home[a] | at_home[b])
-            if crossed:
-                ok &= block[a] != block[b]
+        at_home, block, bucket = rows["home"].to_numpy(), rows["block"].to_numpy(), rows["bucket"].to_numpy()
+        crossed = rows["low"].to_numpy() != rows["high"].to_numpy()
+        links, parent, found, size = np.zeros(len(x), dtype=np.int64), {}, [], 0
+
+        def settle():
+            a, b = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+            ok = (at_home[a] | at_home[b]) & ~(crossed[a] & (block[a] == block[b]))
             a, b = a[ok], b[ok]
-            mine = _first_key(a, b, home, probe) == key
+            if not len(a):
+                return
+            used, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+            home, probe = hasher.keys(x[used])
+            mine = _first_key(place[:len(a)], place[len(a):], home, probe) == bucket[a]
             a, b = a[mine], b[mine]
-            links += np.bincount(a, weights=many[b], minlength=len(x)).astype(np.int64) + np.bincount(b, weights=many[a], minlength=len(x)).astype(np.int64)
+            np.add.at(links, a, many[b])
+            np.add.at(links, b, many[a])
             forest(ids[a], ids[b], parent)
+        starts = changes(rows)
+        for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(x)]):
+            for t in range(s, e - 1, 256):
+                a, b = np.nonzero(x[t:min(t + 256, e)] @ x[s:e].T >= cosine)
+                later = a + t < b + s
+                if later.any():
+                    found.append((a[later] + t, b[later] + s))
+                    size += int(later.sum())
+                if size > PAIRS:
+                    settle()
+                    found, size = [], 0
+        if found:
+            settle()
         some = links > 0
         edges = [(p, q) for p, q in parent.items() if p != q]
-        return pd.DataFrame({"a": [*ids[some], *(p for p, _ in edges)], "b": pd.array([None] * int(some.sum()) + [q for _, q in edges], "Int64"),
-                             "n": [*links[some], *[0] * len(edges)]})
+        return pd.DataFrame({"a": np.array([*ids[some], *(p for p, _ in edges)], dtype=np.int64),
+                             "b": pd.array([None] * int(some.sum()) + [q for _, q in edges], "Int64"),
+                             "n": np.array([*links[some], *[0] * len(edges)], dtype=np.int64)})
+    return run
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, hashers = None, {}
-        columns = ["dim", "bucket", "low", "high"]
-        for batch in batches:
-            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
-            keys = rows[columns].to_numpy()
-            starts = np.concatenate([[0], np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1])
-            for s, e in zip(starts[:-1], starts[1:]):
-                yield from work(rows.iloc[s:e], hashers)
-            held = rows.iloc[starts[-1]:]
-        if held is not None:
-            yield from work(held, hashers)
 
-    def work(rows: pd.DataFrame, hashers: dict) -> Iterator[pd.DataFrame]:
-        if len(rows) > 1:
-            dim, key, low, high = (int(rows[c].iloc[0]) for c in ("dim", "bucket", "low", "high"))
-            hasher = hashers.setdefault(dim, CrossPolytope(dim, functions, tables, probes))
-            yield bucket(rows, hasher, key, low != high)
-    return run
+@functools.lru_cache(maxsize=8)
+def _hasher(dimension: int, functions: int, tables: int, probes: int) -> CrossPolytope:
+    return CrossPolytope(dimension, functions, tables, probes)
 
 
 def usable(vector: Column) -> Column:
