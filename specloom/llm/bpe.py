@@ -24,6 +24,7 @@ from specloom.llm.common import WordCache, text_or_empty, tokenizer_file
 RANKS = "byte_bpe_multi_50k.tiktoken"
 LONG_WORD = 512  # bytes; longer words are contracted in the same order with a heap, as each step of the query reads all rows
 WORDS = 50_000  # words per recursive query
+PART = 1 << 22  # characters of texts coded at once
 
 ENCODE = """
 WITH RECURSIVE state(step, word, pos, token) AS (
@@ -54,15 +55,16 @@ def load_ranks(file: str) -> dict[bytes, int]:
 class RecursiveBpe:
     """Encoder and decoder of one task."""
 
-    def __init__(self, file: str, half_size: int = 400_000):
+    def __init__(self, file: str, half_size: int = 550_000):
         import duckdb
         import public_tokenizers
         import regex
         self.ranks = load_ranks(file)
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.runs = re.compile(r"\s\s|^\s|\s$|[\x1c-\x1f]")
+        self.other_space = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+        self.plain = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+[.,]?").fullmatch  # a word of Latin letters, also with a stop behind
         self.bytes_id = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
         merges = [(left, right, rank) for token, rank in self.ranks.items() for cut in range(1, len(token))
                   if (left := self.ranks.get(token[:cut])) is not None and (right := self.ranks.get(token[cut:])) is not None]
         self._table("merges", dict(zip(("left_id", "right_id", "merged"), np.array(merges, dtype=np.int32).T)))
@@ -130,15 +132,22 @@ class RecursiveBpe:
 
     def encode_spans(self, spans: list[str]) -> list[bytes]:
         """Ids (little-endian 32 bit) of spans that begin and end where a match of the pattern does."""
-        split = list(map(self.pattern.findall, spans))
+        split = []
+        for s in spans:  # most are one word, or a word and a stop, and those are matches of the pattern
+            if not self.plain(s):
+                split.append(self.pattern.findall(s))
+            else:
+                split.append((s[:-1], s[-1]) if s[-1] in ".," else (s,))
         self.words.ensure([[w for s in split for w in s]])
-        return [b"".join(self.words.take(s)) for s in split]
+        known = self.words.young
+        return [known[s[0]] if len(s) == 1 else b"".join(map(known.__getitem__, s)) for s in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts. Where single spaces part the words, a match begins at each space, so spans are kept apart."""
+        """Ids of whole texts. Where no space stands beside other white space, a match begins at each space, so the spans
+        between spaces are encoded apart and kept."""
         heads, tails, odd = [], [], []
         for text in texts:
-            if self.runs.search(text):
+            if "  " in text or " \n" in text or "\n " in text or self.other_space.search(text):
                 odd.append(text)
                 heads.append(None)
                 tails.append(())
@@ -181,6 +190,19 @@ class RecursiveBpe:
         return out
 
 
+def parts_of(rows: list) -> Iterator[list]:
+    """Rows in parts of bounded total length (at least one row), so that the words of few texts are held at once."""
+    part, size = [], 0
+    for row in rows:
+        if part and size + len(row) > PART:
+            yield part
+            part, size = [], 0
+        part.append(row)
+        size += len(row)
+    if part:
+        yield part
+
+
 @functools.lru_cache(maxsize=2)
 def task_coder(file: str) -> RecursiveBpe:
     """The coder of a Python worker: its database and the words it knows serve all its tasks."""
@@ -191,7 +213,7 @@ def _encode_batches(file: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = task_coder(file)
         for batch in batches:
-            ids = coder.encode(batch.column("text").to_pylist())
+            ids = [x for texts in parts_of(batch.column("text").to_pylist()) for x in coder.encode(texts)]
             ends = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), dtype="<i4")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), lists], ["doc_id", "ids"])
@@ -203,21 +225,22 @@ def _decode_batches(file: str):
         coder = task_coder(file)
         for batch in batches:
             ids = [np.array(x or (), dtype="<i4").tobytes() for x in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(coder.decode(ids), pa.binary())], ["doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x for part in parts_of(ids) for x in coder.decode(part)], pa.binary())], ["doc_id", "text"])
     return run
 
 
 def _round_trip_batches(file: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = task_coder(file)
+        names = np.array([str(i) for i in range(len(coder.ranks))], dtype=object)
         for batch in batches:
-            texts, cols = batch.column("text").to_pylist(), ([], [], [])
-            ids = coder.encode(texts)
-            names = np.array([str(i) for i in range(len(coder.ranks))], dtype=object)
-            for x, text in zip(ids, coder.decode(ids)):
-                cols[0].append(len(x) // 4)
-                cols[1].append(hashlib.sha256(",".join(names[np.frombuffer(x, dtype="<i4")]).encode()).hexdigest())
-                cols[2].append(hashlib.sha256(text).hexdigest())
+            cols: tuple = ([], [], [])
+            for texts in parts_of(batch.column("text").to_pylist()):
+                ids = coder.encode(texts)
+                for x, text in zip(ids, coder.decode(ids)):
+                    cols[0].append(len(x) // 4)
+                    cols[1].append(hashlib.sha256(",".join(names[np.frombuffer(x, dtype="<i4")]).encode()).hexdigest())
+                    cols[2].append(hashlib.sha256(text).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(cols[0], pa.int64()), pa.array(cols[1]), pa.array(cols[2])],
                                              ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
     return run
