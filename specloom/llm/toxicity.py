@@ -8,6 +8,7 @@ scores then tell where a document offends.
 
 from __future__ import annotations
 
+import array
 import re
 from collections.abc import Iterator
 
@@ -55,11 +56,12 @@ def _noisy_or(z: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS) -> tuple[dict[str, float], float]:
     """Word weights and bias by gradient steps (Adam) on the likelihood of the labels."""
-    bags, positive = [sentences(t) for t in texts], np.asarray(labels) > 0
-    count = {True: {}, False: {}}
-    for bag, label in zip(bags, positive.tolist()):
+    # texts are cut twice, so that never the words of more than one are held
+    positive = np.asarray(labels) > 0
+    count: dict = {True: {}, False: {}}
+    for text, label in zip(texts, positive.tolist()):
         held = count[label]
-        for f in {f for w in set().union(*bag) for f in features(w)}:
+        for f in {f for w in set().union(*sentences(text)) for f in features(w)}:
             held[f] = held.get(f, 0) + 1
     n1, n0 = max(positive.sum(), 1), max((~positive).sum(), 1)
 
@@ -68,18 +70,16 @@ def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS) -> tuple[dic
         share = (a + b) / (n1 + n0)
         return a + b >= LEAST_DOCUMENTS and abs(a / n1 - b / n0) >= LEAST_Z * np.sqrt(share * (1 - share) * (1 / n1 + 1 / n0))
     words = sorted(f for f in {*count[True], *count[False]} if telling(f))
+    count.clear()
     index = {w: i for i, w in enumerate(words)}
-    by_word: dict = {}
-    ids, sizes, starts = [], [], []
-    for bag in bags:
+    ids, sizes, starts = array.array("i"), array.array("q"), []
+    for text in texts:
         starts.append(len(sizes))
-        for sentence in bag:
+        for sentence in sentences(text):
             n = 0
             for word in sorted(sentence):
-                known = by_word.get(word)
-                if known is None:
-                    known = by_word[word] = [index[f] for f in features(word) if f in index]
-                ids += known
+                known = [index[f] for f in features(word) if f in index]
+                ids.extend(known)
                 n += len(known)
             sizes.append(n)
     at, ids, sizes, starts = len(sizes), np.array(ids, dtype=np.int32), np.array(sizes, dtype=np.int64), np.array(starts)
