@@ -21,13 +21,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from specloom.llm.common import materialize, text_or_empty
 from specloom.llm.graph import components
+from specloom.llm.near_copies import near_links
 
 SHINGLE = 3  # words, by the contract of the query
 SEED = 42
 DISTANCE = 2
 FANOUT = 8  # children of an inner node
 SPLIT_ABOVE = 2048  # members from which an upper node is factored once more
-NEAR_DISTANCE = 6  # bits for which near copies are dropped: about nine tenths of the copies with a similarity of 0.8
+NEAR_DISTANCE = 6  # bits for which near copies are dropped
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -204,10 +205,12 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = NEAR_DISTANCE) -> DataFrame:
     """One document (the smallest ``doc_id``) of each group of near copies, with all columns; rows without an id stay.
 
-    Shingles of three words tell small changes apart best: with six bits nearly all copies with nine tenths of their
-    words in common are found, while unrelated texts are about 32 bits apart.
+    Near copies are texts with five-word shingle sets of similarity 0.8 or more (``near_copies``) and those within
+    ``distance`` bits of the fingerprints of ``shingle`` words.
     """
-    groups = near_groups(docs, shingle, distance).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
+    marks = materialize(fingerprints(docs, shingle).where("doc_id is not null"))
+    nodes = marks.groupBy("fp").agg(F.min("doc_id").alias("node_id"))
+    equal = marks.join(nodes, "fp").where("doc_id > node_id").select(F.col("doc_id").alias("src"), F.col("node_id").alias("dst"))
+    found = components(near_links(docs).unionByName(equal).unionByName(similar_links(nodes, distance)))
     rows = docs.select(F.struct(*docs.columns).alias("row"))
-    kept = rows.join(groups, F.col("row.doc_id").cast("long") == F.col("kept_id"), "left_semi")
-    return kept.unionByName(rows.where("row.doc_id is null")).select("row.*")
+    return rows.join(found, F.col("row.doc_id").cast("long") == F.col("node"), "left_anti").select("row.*")

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from specloom.llm import bpe, chat, embeddings, exact_dedup, licenses, packing, pii, simhash, suffixes, toxicity
+from specloom.llm import bpe, chat, embeddings, exact_dedup, licenses, near_copies, packing, pii, simhash, suffixes, toxicity
 from specloom.llm.common import WordCache, tokenizer_file
 from specloom.llm.graph import components
 
@@ -244,6 +244,40 @@ def test_gray_index_finds_all_links(spark, split, distance):
     assert union_find(got) == union_find(links)
 
 
+def plain_shingles(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return {" ".join(w[i:i + 5]) for i in range(len(w) - 4)} or ({" ".join(w)} if w else set())
+
+
+@pytest.fixture(scope="module")
+def copies(mixed):
+    """Texts with one to a fifth of their words changed, a crowd around one text, short and empty ones."""
+    r, rows = random.Random(5), list(mixed) + [(30, "x y z"), (31, "X  y z"), (32, "x y"), (33, "\n")]
+    for base in range(40):
+        source = words(100 + base, r.randint(20, 200)).split()
+        for copy in range(25 if base == 0 else 3):
+            changed = list(source)
+            for _ in range(r.randint(0, max(len(source) // 40, 1))):
+                changed[r.randrange(len(changed))] = "w%d" % r.randrange(10**6)
+            rows.append((1000 + 50 * base + copy, " ".join(changed)))
+    return rows
+
+
+def plain_near(rows):
+    sets = {d: plain_shingles(t) for d, t in rows if d is not None}
+    return union_find([(a, b) for a, b in itertools.combinations(sorted(sets), 2)
+                       if sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])])
+
+
+def test_no_near_copy_stays(spark, copies):
+    named = plain_near(copies)
+    kept = {r["doc_id"] for r in rows_of(simhash.keep_one(documents(spark, copies)))}
+    assert not [d for d in kept if named.get(d, d) != d] and None in kept
+    links = [(x["src"], x["dst"]) for x in near_copies.near_links(documents(spark, copies)).collect()]
+    assert union_find(links) == {d: n for d, n in named.items()}
+    assert near_copies.near_links(documents(spark, [])).count() == 0
+
+
 def test_gray_index_prunes_whole_groups():
     codes = np.array([random.Random(i).getrandbits(64) for i in range(2000)], dtype=np.uint64)
     index = simhash.GrayIndex(codes)
