@@ -28,7 +28,6 @@ SEED = 42
 DISTANCE = 2
 FANOUT = 8  # children of an inner node
 SPLIT_ABOVE = 2048  # members from which an upper node is factored once more
-NEAR_DISTANCE = 6  # bits for which near copies are dropped
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -202,15 +201,12 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = NEAR_DISTANCE) -> DataFrame:
+def keep_one(docs: DataFrame) -> DataFrame:
     """One document (the smallest ``doc_id``) of each group of near copies, with all columns; rows without an id stay.
 
-    Near copies are texts with five-word shingle sets of similarity 0.8 or more (``near_copies``) and those within
-    ``distance`` bits of the fingerprints of ``shingle`` words.
+    Near copies are texts whose sets of five-word shingles have a similarity of 0.8 or more (``near_copies``); the distance
+    of fingerprints alone drops nothing.
     """
-    marks = materialize(fingerprints(docs, shingle).where("doc_id is not null"))
-    nodes = marks.groupBy("fp").agg(F.min("doc_id").alias("node_id"))
-    equal = marks.join(nodes, "fp").where("doc_id > node_id").select(F.col("doc_id").alias("src"), F.col("node_id").alias("dst"))
-    found = components(near_links(docs).unionByName(equal).unionByName(similar_links(nodes, distance)))
     rows = docs.select(F.struct(*docs.columns).alias("row"))
+    found = components(near_links(docs))
     return rows.join(found, F.col("row.doc_id").cast("long") == F.col("node"), "left_anti").select("row.*")

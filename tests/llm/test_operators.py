@@ -278,6 +278,17 @@ def test_no_near_copy_stays(spark, copies):
     assert near_copies.near_links(documents(spark, [])).count() == 0
 
 
+def test_only_near_copies_go(spark, copies):
+    r = random.Random(6)
+    for i in range(60):  # three-word fingerprints within six bits, similarity below 0.8
+        w = words(500 + i, r.randint(12, 60)).split()
+        w[len(w) // 2] = "other"
+        copies = copies + [(5000 + 2 * i, words(500 + i, len(w))), (5001 + 2 * i, " ".join(w))]
+    named = plain_near(copies)
+    kept = {r["doc_id"] for r in rows_of(simhash.keep_one(documents(spark, copies)))}
+    assert kept == {d for d, _ in copies if d is None or named.get(d, d) == d}
+
+
 def test_gray_index_prunes_whole_groups():
     codes = np.array([random.Random(i).getrandbits(64) for i in range(2000)], dtype=np.uint64)
     index = simhash.GrayIndex(codes)
