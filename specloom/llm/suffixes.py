@@ -14,6 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -24,6 +25,7 @@ GRAM = 32  # bytes of a k-gram: a power of two
 PIECE = 1 << 20  # bytes of text hashed at once
 CHUNK = 1 << 17  # bytes of slices sorted at once, unless one hash has more
 CROWDED = 8192  # different slices of one hash from which they are dealt out string by string
+SEEN = 1 << 17  # strings of crowded hashes that a task remembers, twice
 BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -232,10 +234,14 @@ def repeated_ranges(slices: list[bytes], doc: np.ndarray, start: np.ndarray, len
 
 
 def _sort_batches(length: int):
-    """Slices sorted by least hash in; repeated ranges out, chunk by chunk of whole hashes."""
+    """Slices sorted by least hash in; repeated ranges out, chunk by chunk of whole hashes. Ranges (no ``piece``) pass."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slices, docs, starts, size, last = [], [], [], 0, None
         for batch in batches:
+            ranges = batch.filter(pc.is_null(batch.column("piece")))
+            if ranges.num_rows:
+                yield ranges.select(["doc", "start", "end"])
+            batch = batch.filter(pc.is_valid(batch.column("piece")))
             for least, doc, start, piece in zip(*(batch.column(n).to_pylist() for n in ("least", "doc", "start", "piece"))):
                 if size >= CHUNK and least != last:
                     yield out(slices, docs, starts)
@@ -253,35 +259,74 @@ def _sort_batches(length: int):
     return run
 
 
+class Seen:
+    """Least place met so far of each string; of bounded size, two generations."""
+
+    def __init__(self, half_size: int = SEEN):
+        self.half_size, self.young, self.old = half_size, {}, {}
+
+    def repeats(self, string: bytes, place: tuple[int, int]) -> bool:
+        """Whether a smaller place of the string is known; otherwise this one is remembered."""
+        least = self.young.get(string)
+        if least is None:
+            least = self.old.get(string)
+            if len(self.young) >= self.half_size:
+                self.old, self.young = self.young, {}
+            self.young[string] = place if least is None else min(place, least)
+        elif place < least:
+            self.young[string] = place
+        return least is not None and least < place
+
+
 def _cut_batches(length: int):
-    """Texts with the slices asked for in; one row per slice out.
+    """Texts with the slices asked for in; one row per slice out, or a repeated range (``end``, no ``piece``).
 
     Slices of a crowded hash are cut into their strings, each dealt out by a hash of its own: equal ones still meet, and a
-    line that very many different texts surround doesn't gather in one task.
+    line that very many different texts surround doesn't gather in one task. Of equal strings only those that no smaller place
+    of the task is known for travel, one of each as a rule; the others are repeated ranges at once and go by their place.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Seen()
         for batch in batches:
-            rows, size = ([], [], [], []), 0
+            rows, size = ([], [], [], [], []), 0
+
+            def add(*row):
+                for col, v in zip(rows, row):
+                    col.append(v)
             for doc, text, asked in zip(*(batch.column(n).to_pylist() for n in ("doc", "text", "asked"))):
                 for a in asked:
                     s, e = a["start"], a["end"]
-                    cuts = [(i, i + length) for i in range(s, e - length + 1)] if a["apart"] else [(s, e)]
-                    for b, c in cuts:
-                        piece = text[b:c]
-                        least = int.from_bytes(xxhash.xxh64_digest(piece), "big", signed=True) if a["apart"] else a["least"]
-                        for col, v in zip(rows, (least, doc, b, piece)):
-                            col.append(v)
-                        size += c - b
+                    if not a["apart"]:
+                        add(a["least"], doc, s, text[s:e], None)
+                        size += e - s
+                        continue
+                    sure = None  # where the repeated strings at hand begin
+                    for b in range(s, e - length + 2):
+                        piece = text[b:b + length] if b <= e - length else None
+                        if piece is not None and known.repeats(piece, (doc, b)):
+                            sure = b if sure is None else sure
+                            continue
+                        if sure is not None:
+                            add(_hashed(b"%d %d" % (doc, sure)), doc, sure, None, b - 1 + length)
+                            sure = None
+                        if piece is not None:
+                            add(_hashed(piece), doc, b, piece, None)
+                            size += length
                 if size > PIECE:
                     yield out(rows)
-                    rows, size = ([], [], [], []), 0
+                    rows, size = ([], [], [], [], []), 0
             yield out(rows)
 
     def out(rows):
-        return _batch(["least", "doc", "start", "piece"], [pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))])
+        return _batch(["least", "doc", "start", "piece", "end"], [
+            pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32()))])
     return run
 
 
+def _hashed(data: bytes) -> int:
+    return int.from_bytes(xxhash.xxh64_digest(data), "big", signed=True)
+
+
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Union of ranges as maximal ones; ranges that touch are one."""
     out: list = []
@@ -345,7 +390,7 @@ def repeated_bytes(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     asked = folded.where("least is not null").groupBy("doc").agg(F.collect_list(F.struct("least", "start", "end", "apart")).alias("asked"))
     texts = rows.select("doc", "doc_id", "text")
     # the same columns and filter as in the last join, so that Spark shuffles the texts once for both
-    slices = different.select("doc", "doc_id", "text").join(asked, "doc").select("doc", "doc_id", "text", "asked").mapInArrow(_cut_batches(length), "least long, doc long, start int, piece binary")
+    slices = different.select("doc", "doc_id", "text").join(asked, "doc").select("doc", "doc_id", "text", "asked").mapInArrow(_cut_batches(length), "least long, doc long, start int, piece binary, end int")
     looked = (slices.repartition("least").sortWithinPartitions("least", "doc", "start")
               .mapInArrow(_sort_batches(length), "doc long, start int, end int"))
     ranges = (folded.where("least is null").select("doc", "start", "end").unionByName(looked)

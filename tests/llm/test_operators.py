@@ -534,6 +534,28 @@ def test_repeated_bytes(spark, mixed, crowded):
     assert suffixes.repeated_bytes(documents(spark, [])).count() == 0
 
 
+def test_copies_of_a_crowded_string_do_not_travel(spark):
+    import pyarrow as pa
+    shared, r = words(90, 60)[:220], random.Random(11)
+    rows = [(i, words(2000 + i, 12) + shared + words(4000 + i, 12)) for i in range(300)]
+    places = [(i, t.encode(), t.index(shared)) for i, t in rows]
+    for order in (places, r.sample(places, len(places))):
+        batches = [pa.RecordBatch.from_pylist([{"doc": d, "text": t, "asked": [{"least": 1, "start": at, "end": at + 220, "apart": True}]}
+                                               for d, t, at in order[k:k + 50]]) for k in range(0, 300, 50)]
+        cut = [x for b in suffixes._cut_batches(100)(iter(batches)) for x in b.to_pylist()]
+        pieces = [x for x in cut if x["piece"] is not None]
+        assert len(pieces) == 121 if order is places else 121 <= len(pieces) <= 121 * 30
+        place = {d: at for d, _, at in places}
+        covered = [(x["doc"], b) for x in cut if x["piece"] is None for b in range(x["start"], x["end"] - 99)]
+        assert len(covered) + len(pieces) == 300 * 121 and len(set(covered)) == len(covered)
+        assert all(d > 0 and 0 <= b - place[d] <= 120 for d, b in covered)
+    seen = suffixes.Seen(2)
+    assert [seen.repeats(s, (p, 0)) for s, p in [(b"a", 5), (b"b", 1), (b"c", 1), (b"a", 3), (b"a", 4), (b"d", 1), (b"a", 6)]] == [
+        False, False, False, False, True, False, True]
+    got = {x["doc_id"]: x for x in rows_of(suffixes.repeated_bytes(documents(spark, rows), crowded=1))}
+    assert [got[d]["n_removed"] for d, _ in rows] == [len(x) for x in plain_repeats([t.encode() for _, t in rows], suffixes.LENGTH)]
+
+
 def test_repeated_bytes_without_a_key(spark):
     text, other = words(600, 60), words(601, 60)
     rows = [(None, text), (1, text), (1, text), (2, other), (2, text + other)]
