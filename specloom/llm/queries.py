@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from specloom.llm import bpe, chat, embeddings, exact_dedup, licenses, packing, pii, simhash, suffixes, toxicity
+from specloom.llm import bpe, chat, embeddings, exact_dedup, hnsw, licenses, negatives, packing, pii, simhash, suffixes, toxicity
 from specloom.llm.common import table
 
 
@@ -51,9 +51,19 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_bytes(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), anchors=F.col("vec_id") % 50 == 0)
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"), queries=F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_exact_dedup, op3_license_scan, op4_chat_format, op5_simhash_near_dedup, op6_pii_sanitise,
-    op7_byte_bpe, op8_toxicity, op9_packing, op10_suffix_dedup)}
+    op7_byte_bpe, op8_toxicity, op9_packing, op10_suffix_dedup, op12_hard_negatives,
+    op13_nearest_neighbours)}
 
 ORACLES = {
     # every pair, so this also shows that no link is missed
@@ -79,4 +89,23 @@ ORACLES = {
           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
           CAST(sum(length('<|im_start|><|im_sep|><|im_end|>') + length(role_out) + length(text_out)) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op12_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+          c AS (SELECT vec_id, label, unnest(e) AS x, unnest(range(len(e))) AS i FROM v),
+          s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, CAST(sum(a.x * b.x) AS BIGINT) AS score
+            FROM c AS a JOIN c AS b ON a.i = b.i AND a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0 GROUP BY ALL),
+          p AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, other_id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id) QUALIFY row_number() OVER w <= 3""",
+    # exact search, so this also shows what the graphs miss
+    "op13_nearest_neighbours": """
+        WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0)
+        SELECT q.vec_id AS query_id, CAST(row_number() OVER w AS INTEGER) AS rank, c.vec_id, list_distance(q.e, c.e) AS score
+        FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 100 = 0
+        WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_distance(q.e, c.e), c.vec_id) QUALIFY row_number() OVER w <= 10""",
 }
