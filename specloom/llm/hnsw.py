@@ -226,7 +226,8 @@ def distances(queries: np.ndarray, others: np.ndarray) -> np.ndarray:
 
 # Spark ------------------------------------------------------------------------------------------------------------------
 
-GRAPH = "dim int, shard long, ids array<bigint>, size int, width int, entry int, degree int, vectors binary, layers array<binary>"
+MOST_TASKS = 20_000
+GRAPH = "dim int, shard long, parts long, ids array<bigint>, size int, width int, entry int, degree int, vectors binary, layers array<binary>"
 FOUND = "query_id long, node long, distance double"
 
 
@@ -236,7 +237,7 @@ def _build(degree: int, width: int, batch: int):
         node = rows["node"].to_numpy()
         draws = (rows["draw"].to_numpy().view(np.uint64) >> np.uint64(11)).astype(np.float64) / float(1 << 53)
         graph = Graph(np.array(rows["vector"].tolist()), draws, degree).build(width, batch)
-        return pd.DataFrame([{"dim": key[0], "shard": key[1], "ids": node, **graph.arrays()}])
+        return pd.DataFrame([{"dim": key[0], "shard": key[1], "parts": key[2], "ids": node, **graph.arrays()}])
     return run
 
 
@@ -284,27 +285,37 @@ def nearest(rows: DataFrame, queries: Column, most: int = NEAREST, shard: int =
     copies = known.withColumn("place", F.row_number().over(Window.partitionBy("digest").orderBy("vec_id"))).where(F.col("place") <= most + 1)
     copies = copies.withColumn("node", F.min("vec_id").over(Window.partitionBy("digest"))).select("node", "vec_id")
 
-    shards = nodes.groupBy("dim").agg(F.ceil(F.count("*") / shard).alias("shards"))
-    placed = nodes.join(shards, "dim").withColumn("shard", F.pmod("node", "shards")).select("dim", "shard", "node", "vector", "draw")
-    graphs = materialize(placed.groupBy("dim", "shard").applyInPandas(_build(degree, build, batch), GRAPH))
-
     asked = known.where("query").select(F.col("vec_id").alias("query_id"), F.size("vector").alias("dim"), F.col("vector").alias("query_vector"))
-    parts = asked.groupBy("dim").agg(F.ceil(F.count("*") / query_block).alias("parts"))
-    asked = asked.join(parts, "dim").withColumn("part", F.pmod(F.xxhash64("query_id"), "parts")).drop("parts").join(shards, "dim").withColumn(
+    # per length: the number of shards, and of groups of queries
+    plan = nodes.groupBy("dim").agg(F.ceil(F.count("*") / shard).alias("shards")).join(
+        asked.groupBy("dim").agg(F.ceil(F.count("*") / query_block).alias("parts")), "dim")
+    plan = materialize(plan)
+    total = plan.agg(F.sum("shards").alias("builds"), F.sum(F.col("shards") * F.col("parts")).alias("visits")).first()
+    placed = nodes.join(plan, "dim").withColumn("shard", F.pmod(F.xxhash64("node"), "shards")).select("dim", "shard", "parts", "node", "vector", "draw")
+    # a fixed number of partitions: pieces of work are small in bytes and long in time, so they are not put together
+    graphs = placed.repartition(tasks(total["builds"]), "dim", "shard", "parts").groupBy("dim", "shard", "parts").applyInPandas(
+        _build(degree, build, batch), GRAPH)
+    graphs = materialize(graphs)
+    asked = asked.join(plan, "dim").withColumn("part", F.pmod(F.xxhash64("query_id"), "parts")).withColumn(
         "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
     columns = [F.col(c) for c in ("ids", "size", "width", "entry", "degree", "vectors", "layers")]
     # numbers are never null, so that pandas keeps them whole
     absent = [F.lit(None).cast(kind).alias(c) for c, kind in (("ids", "array<bigint>"), ("vectors", "binary"), ("layers", "array<binary>"))]
     absent += [F.lit(0).alias(c) for c in ("size", "width", "entry", "degree")]
-    graph_rows = graphs.join(parts, "dim").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(
+    graph_rows = graphs.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(
         "dim", "shard", "part", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("query_id"), F.lit(None).cast("array<double>").alias("vector"), *columns)
     query_rows = asked.select("dim", "shard", "part", F.lit(1).alias("kind"), "query_id", F.col("query_vector").alias("vector"), *absent)
-    found = (graph_rows.unionByName(query_rows).repartition("dim", "shard", "part").sortWithinPartitions("dim", "shard", "part", "kind", "query_id")
+    found = (graph_rows.unionByName(query_rows).repartition(tasks(total["visits"]), "dim", "shard", "part").sortWithinPartitions("dim", "shard", "part", "kind", "query_id")
              .mapInPandas(_visit(most + 1, search, batch), FOUND))
     found = best_of(found, "node", most + 1)
     listed = found.join(copies, "node").where("vec_id <> query_id").select("query_id", "vec_id", "distance")
     return best_of(listed, "vec_id", most).select("query_id", "rank", "vec_id", F.col("distance").alias("score"))
 
 
+def tasks(pieces: int | None) -> int:
+    """Partitions for so many pieces of work: several each, so that few pieces share one by chance."""
+    return min(MOST_TASKS, 4 * (pieces or 1))
+
+
 def best_of(found: DataFrame, name: str, most: int) -> DataFrame:
     return found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("distance", name))).where(F.col("rank") <= most)
