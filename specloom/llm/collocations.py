@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -258,11 +257,11 @@ def bit_table(counts: DataFrame, bits: int) -> np.ndarray:
     Bitmaps are made and merged by Spark; what reaches the driver has a fixed size.
     """
     place = F.pmod(F.xxhash64("lang", "phrase"), F.lit(1 << bits))
-    rows = counts.select((place / (1 << BLOCK_BITS)).cast("long").alias("block"), (place % (1 << BLOCK_BITS)).alias("bit"))
+    rows = counts.select(F.shiftright(place, BLOCK_BITS).alias("block"), place.bitwiseAND((1 << BLOCK_BITS) - 1).alias("bit"))
     rows = rows.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
     out = np.zeros(1 << (bits - 3), dtype=np.uint8)
     size = 1 << (BLOCK_BITS - 3)
-    for r in rows.toLocalIterator():
+    for r in rows.collect():
         out[r["block"] * size:(r["block"] + 1) * size] = np.frombuffer(bytes(r["bits"]), dtype=np.uint8)
     return out
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from specloom.llm import bpe, chat, embeddings, exact_dedup, hnsw, licenses, negatives, packing, pii, simhash, suffixes, toxicity
+from specloom.llm import bpe, chat, collocations, embeddings, exact_dedup, hnsw, licenses, negatives, packing, pii, simhash, suffixes, toxicity
 from specloom.llm.common import table
 
 
@@ -51,6 +51,10 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.repeated_bytes(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), anchors=F.col("vec_id") % 50 == 0)
@@ -62,7 +66,7 @@ def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_exact_dedup, op3_license_scan, op4_chat_format, op5_simhash_near_dedup, op6_pii_sanitise,
-    op7_byte_bpe, op8_toxicity, op9_packing, op10_suffix_dedup, op12_hard_negatives,
+    op7_byte_bpe, op8_toxicity, op9_packing, op10_suffix_dedup, op11_collocations, op12_hard_negatives,
     op13_nearest_neighbours)}
 
 ORACLES = {
@@ -89,6 +93,24 @@ ORACLES = {
           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
           CAST(sum(length('<|im_start|><|im_sep|><|im_end|>') + length(role_out) + length(text_out)) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op11_collocations": r"""
+        WITH w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS ws
+            FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents) AS p),
+          f AS (SELECT lang, phrase, k, count(*) AS f FROM (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2),
+              lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase FROM w, (VALUES (1), (2), (3), (4)) AS s(k)) AS g GROUP BY ALL),
+          c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 30),
+          cut AS (SELECT lang, phrase, a, j, array_to_string(ws[1:j], ' ') AS x, array_to_string(ws[j + 1:k], ' ') AS y
+            FROM (SELECT *, unnest(range(1, k)) AS j FROM c) AS e),
+          s AS (SELECT cut.lang, cut.phrase, a, l.f AS l, r.f AS r, CAST(CAST(2000000 AS HUGEINT) * a // (l.f + r.f) AS BIGINT) AS score
+            FROM cut JOIN f AS l ON l.lang = cut.lang AND l.phrase = x JOIN f AS r ON r.lang = cut.lang AND r.phrase = y
+            QUALIFY row_number() OVER (PARTITION BY cut.lang, cut.phrase ORDER BY CAST(2000000 AS HUGEINT) * a // (l.f + r.f), j) = 1),
+          inner_ AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+            FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c) AS e) AS e GROUP BY ALL)
+        SELECT s.lang, row_number() OVER o AS rank, s.phrase, a, l, r, n, score
+        FROM s JOIN (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang) AS t ON t.lang = s.lang
+        LEFT JOIN inner_ ON inner_.lang = s.lang AND inner_.phrase = s.phrase WHERE longer IS NULL OR 100 * longer < 80 * a
+        WINDOW o AS (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) QUALIFY row_number() OVER o <= 2000""",
     "op12_hard_negatives": """
         WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
             list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
