@@ -1,7 +1,7 @@
 """Phrase collocations by multikey quicksort of suffix pointers (operator 11).
 
-Three passes over the texts. The first counts words, the second pairs of frequent words: these counts decide where the suffixes
-that begin with a pair go, and suffixes of an infrequent pair go nowhere. The third cuts suffixes of up to four words, folds equal ones
+Three passes over the texts. The first counts words, the second pairs of frequent words by their hashes: these counts decide where
+the suffixes that begin with a pair go, and suffixes of an infrequent pair go nowhere. The third cuts suffixes of up to four words, folds equal ones
 per task and routes them by language and leading words into buckets of bounded size. A bucket's suffix pointers are sorted by three-way
 partitioning word by word; the size of an equal partition is the count of its words, partitions below the threshold are given up.
 A pair with too many occurrences for one bucket is routed by more leading words: its phrases of two, three and four words are suffixes of their
@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from specloom.llm.common import materialize, text_or_empty
 
@@ -29,11 +29,13 @@ LONGEST = 4  # words of a candidate
 TOP = 2000
 #: a longer candidate with so many hundredths of the occurrences replaces the shorter one
 COVERED = 80
-CHUNK = 8 << 20  # bytes of text that a task cuts at once
+CHUNK = 4 << 20  # bytes of text that a task cuts at once
 BUCKET = 200_000  # occurrences that one bucket is meant to hold
 HEAVY = BUCKET // 4  # occurrences of a pair that is routed by more words
 WORD_BITS, PAIR_BITS, HEAVY_BITS = 27, 27, 24  # sizes of the bit tables, as powers of two: 16, 16 and 2 MB
 BLOCK_BITS = 15  # bits in one row of a bitmap aggregate
+PART_BITS, KEY_BITS = 12, 22  # of a pair's hash: the part of the pairs it is counted with, its key there
+COMPACT = 1 << 21  # counts that are held before equal keys are added up
 
 _TABLE = bytearray(range(256))
 for _c in range(ord("A"), ord("Z") + 1):
@@ -48,23 +50,27 @@ END = b"\n"  # stands after every piece; no word
 
 # words of a chunk -----------------------------------------------------------------------------------------------------
 
-def chunks(texts: Iterator[bytes], size: int) -> Iterator[bytes]:
-    """Texts in lower case, pieces parted by line feeds, in chunks of about ``size`` bytes that end where a piece ends."""
-    held, length = [], 0
-    for text in texts:
-        text = text.translate(_TABLE)
-        at = 0
+def chunks(texts: Iterator[tuple[str, bytes]], size: int) -> Iterator[tuple[str, bytes]]:
+    """Texts of a language in lower case, pieces parted by line feeds, in chunks of about ``size`` bytes that end where a piece ends.
+
+    What waits for a chunk to fill is bounded over all languages.
+    """
+    held: dict[str, list[bytes]] = {}
+    length: dict[str, int] = {}
+    for lang, text in texts:
+        text, at = text.translate(_TABLE), 0
         while at < len(text):
-            end = at + size - length
+            end = at + size - length.get(lang, 0)
             cut = len(text) if end >= len(text) else text.find(END, end) + 1 or len(text)
-            held.append(text[at:cut])
-            length += cut - at
+            held.setdefault(lang, []).append(text[at:cut])
+            length[lang] = length.get(lang, 0) + cut - at
             at = cut
-            if length >= size:
-                yield END.join(held) + END
-                held, length = [], 0
-    if held:
-        yield END.join(held) + END
+            full = lang if length[lang] >= size else max(length, key=length.get) if sum(length.values()) > 4 * size else None
+            if full is not None:
+                del length[full]
+                yield full, END.join(held.pop(full)) + END
+    for lang in sorted(held):
+        yield lang, END.join(held[lang]) + END
 
 
 class Words:
@@ -76,6 +82,7 @@ class Words:
         self.end = self.words.index(END).as_py()
         self.counts = np.bincount(self.codes, minlength=len(self.words))
         self.seed = xxhash.xxh64_intdigest(lang.encode("utf-8"), 42)
+        self.marks = self.hashes(self.words)
 
     def hashes(self, phrases: pa.Array) -> np.ndarray:
         """As ``xxhash64(lang, phrase)`` of Spark."""
@@ -84,7 +91,7 @@ class Words:
 
     def frequent(self, table: np.ndarray) -> np.ndarray:
         """Whether a code is a word of which the bit table does not know that it is infrequent."""
-        out = has(table, self.hashes(self.words))
+        out = has(table, self.marks & np.uint64(8 * len(table) - 1))
         out[self.end] = False
         return out
 
@@ -102,25 +109,35 @@ class Words:
         return places, number, (distinct // len(self.words)).astype(np.int32), (distinct % len(self.words)).astype(np.int32)
 
 
-def has(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Bits of ``table`` (uint8, little-endian bits) at the lowest bits of the hashes."""
-    at = (hashes & np.uint64(8 * len(table) - 1)).astype(np.int64)
+    def pair_hashes(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        """Hashes of pairs (and their language) from those of the words."""
+        x = self.marks[first] * np.uint64(0x9E3779B97F4A7C15) ^ (self.marks[second] + np.uint64(0x632BE59BD9B4E019)) * np.uint64(0xC2B2AE3D27D4EB4F)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        return x ^ (x >> np.uint64(32))
+
+
+def top(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return hashes >> np.uint64(64 - bits)
+
+
+def has(table: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Bits of ``table`` (uint8, little-endian bits)."""
+    at = places.astype(np.int64)
     return (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 != 0
 
 
 def _by_chunk(size: int, work, names: list[str]):
     """``work(lang, Words)`` gives columns; chunks hold texts of one language."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts: dict[str, list[bytes]] = {}
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
-                texts.setdefault(lang, []).append(text)
-            for lang in sorted(texts):
-                for chunk in chunks(iter(texts[lang]), size):
-                    columns = work(lang, Words(chunk, lang))
-                    rows = len(columns[0])
-                    if rows:
-                        yield pa.RecordBatch.from_arrays([pa.array([lang] * rows, pa.string()), *columns], ["lang", *names])
+        def texts():
+            for batch in batches:
+                for at in range(0, len(batch), 500):
+                    part = batch.slice(at, 500)
+                    yield from zip(part.column("lang").to_pylist(), part.column("text").cast(pa.binary()).to_pylist())
+        for lang, chunk in chunks(texts(), size):
+            columns = work(lang, Words(chunk, lang))
+            if len(columns[0]):
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(columns[0]), pa.string()), *columns], ["lang", *names])
     return run
 
 
@@ -138,16 +155,53 @@ def _count_words(size: int):
 def _count_pairs(size: int, frequent):
     def work(lang: str, words: Words):
         _, number, first, second = words.pairs(words.frequent(frequent.value))
-        return [_text(words.joined([first, second])), pa.array(np.bincount(number, minlength=len(first)), pa.int64())]
-    return _by_chunk(size, work, ["phrase", "n"])
+        hashes, n = words.pair_hashes(first, second), np.bincount(number, minlength=len(first)).astype(np.uint32)
+        order = np.argsort(hashes)
+        parts, n = top(hashes[order], PART_BITS), n[order]
+        keys = (top(hashes[order], PART_BITS + KEY_BITS) & np.uint64((1 << KEY_BITS) - 1)).astype(np.uint32)
+        begins = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]])) if len(parts) else np.zeros(0, dtype=np.int64)
+        spans = list(zip(begins.tolist(), [*begins[1:].tolist(), len(parts)]))
+        return [pa.array(parts[begins].astype(np.int64), pa.int64()), pa.array([keys[s:e].tobytes() for s, e in spans], pa.binary()),
+                pa.array([n[s:e].tobytes() for s, e in spans], pa.binary())]
+    return _by_chunk(size, work, ["part", "keys", "counts"])
+
+
+def _sum_pairs(least: int):
+    """Rows in order of their part in; hashes of pairs with at least ``least`` occurrences out. Equal keys are added up as they come."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, keys, counts, held = None, [], [], 0
+
+        def added():
+            distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
+            return distinct, np.bincount(place, weights=np.concatenate(counts)).astype(np.int64)
+
+        def ended():
+            k, n = added()
+            k, n = k[n >= least].astype(np.int64), n[n >= least]
+            return pa.RecordBatch.from_arrays([pa.array((part << KEY_BITS) + k, pa.int64()), pa.array(n, pa.int64())], ["key", "n"])
+        for batch in batches:
+            for p, k, n in zip(*(batch.column(c).to_pylist() for c in ("part", "keys", "counts"))):
+                if keys and p != part:
+                    yield ended()
+                    keys, counts, held = [], [], 0
+                part = p
+                keys.append(np.frombuffer(k, dtype=np.uint32))
+                counts.append(np.frombuffer(n, dtype=np.uint32))
+                held += len(keys[-1])
+                if held > COMPACT:
+                    k, n = added()
+                    keys, counts, held = [k], [n], min(len(k), COMPACT // 2)
+        if keys:
+            yield ended()
+    return run
 
 
 def _suffixes(size: int, buckets: int, longest: int, frequent, leading, heavy):
     """Suffixes from frequent pairs on, cut before the first infrequent pair, equal ones folded; with the bucket they go to."""
     def work(lang: str, words: Words):
         places, number, first, second = words.pairs(words.frequent(frequent.value))
-        hashes = words.hashes(words.joined([first, second]))
-        known, crowded = has(leading.value, hashes), has(heavy.value, hashes)
+        hashes = words.pair_hashes(first, second)
+        known, crowded = (has(t.value, top(hashes, (8 * len(t.value)).bit_length() - 1)) for t in (leading, heavy))
         places, number = places[known[number]], number[known[number]]
         starts = np.zeros(len(words.codes) + longest, dtype=bool)
         starts[places] = True
@@ -251,13 +305,12 @@ def _sort_batches(least: int, longest: int):
 
 # Spark ----------------------------------------------------------------------------------------------------------------
 
-def bit_table(counts: DataFrame, bits: int) -> np.ndarray:
-    """A table of ``2 ** bits`` bits with those set whose numbers are the lowest bits of ``xxhash64(lang, phrase)`` of a row.
+def bit_table(rows: DataFrame, place: Column, bits: int) -> np.ndarray:
+    """A table of ``2 ** bits`` bits, those at the ``place`` of a row set.
 
     Bitmaps are made and merged by Spark; what reaches the driver has a fixed size.
     """
-    place = F.pmod(F.xxhash64("lang", "phrase"), F.lit(1 << bits))
-    rows = counts.select(F.shiftright(place, BLOCK_BITS).alias("block"), place.bitwiseAND((1 << BLOCK_BITS) - 1).alias("bit"))
+    rows = rows.select(F.shiftright(place, BLOCK_BITS).alias("block"), place.bitwiseAND((1 << BLOCK_BITS) - 1).alias("bit"))
     rows = rows.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits"))
     out = np.zeros(1 << (bits - 3), dtype=np.uint8)
     size = 1 << (BLOCK_BITS - 3)
@@ -273,11 +326,13 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, c
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), text_or_empty().alias("text"))
     total = F.sum("n").cast("long").alias("n")
     words = materialize(rows.mapInArrow(_count_words(chunk), "lang string, phrase string, n long").groupBy("lang", "phrase").agg(total))
-    frequent = spark.sparkContext.broadcast(bit_table(words.where(F.col("n") >= least), bits[0]))
-    pairs = rows.mapInArrow(_count_pairs(chunk, frequent), "lang string, phrase string, n long").groupBy("lang", "phrase").agg(total)
-    pairs = materialize(pairs.where(F.col("n") >= least))
-    leading = spark.sparkContext.broadcast(bit_table(pairs, bits[1]))
-    crowded = spark.sparkContext.broadcast(bit_table(pairs.where(F.col("n") > heavy), bits[2]))
+    low = F.pmod(F.xxhash64("lang", "phrase"), F.lit(1 << bits[0]))
+    frequent = spark.sparkContext.broadcast(bit_table(words.where(F.col("n") >= least), low, bits[0]))
+    pairs = rows.mapInArrow(_count_pairs(chunk, frequent), "lang string, part long, keys binary, counts binary").drop("lang")
+    pairs = materialize(pairs.repartition("part").sortWithinPartitions("part").mapInArrow(_sum_pairs(least), "key long, n long"))
+    high = [F.shiftright("key", PART_BITS + KEY_BITS - b) for b in bits[1:]]
+    leading = spark.sparkContext.broadcast(bit_table(pairs, high[0], bits[1]))
+    crowded = spark.sparkContext.broadcast(bit_table(pairs.where(F.col("n") > heavy), high[1], bits[2]))
     buckets = max(1, -(-(pairs.agg(F.sum("n").alias("n")).first()["n"] or 0) // bucket))
     suffixes = rows.mapInArrow(_suffixes(chunk, buckets, longest, frequent, leading, crowded), "lang string, phrase string, n long, bucket long, deep boolean")
     counts = suffixes.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_sort_batches(least, longest), "lang string, phrase string, n long")

@@ -91,8 +91,13 @@ def test_chunks_end_where_pieces_end(size):
     r = random.Random(size)
     texts = [("".join(r.choices("ab C.,\t", k=r.randint(0, 90)))).encode() for _ in range(30)]
     lower = [re.split(rb"[.,]", t.replace(b"\t", b" ").lower()) for t in texts]
-    got = [p.split() for c in collocations.chunks(iter(texts), size) for p in c.split(b"\n")]
-    assert [p for p in got if p] == [p.split() for t in lower for p in t if p.split()]
+    for langs in (1, 3, 30):
+        named = [(str(i % langs), t) for i, t in enumerate(texts)]
+        got = {}
+        for lang, c in collocations.chunks(iter(named), size):
+            got.setdefault(lang, []).extend(p.split() for p in c.split(b"\n") if p.split())
+        for lang in {lang for lang, _ in named}:
+            assert got.get(lang, []) == [p.split() for (name, _), t in zip(named, lower) if name == lang for p in t if p.split()]
 
 
 def test_scores_beyond_64_bits(spark):
