@@ -197,7 +197,12 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The documents whose text no row with a larger ``doc_id`` repeats, with all their columns."""
-    groups = exact_groups(docs).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
+    """The documents whose text no row with a larger ``doc_id`` repeats, with all their columns.
+
+    Id and text decide together: of two texts under one id each stays only if it is the last of its own copies. Null texts are
+    empty ones, rows that repeat a kept id and text all stay, an empty table gives no rows.
+    """
+    groups = exact_groups(docs).where("kept").select(F.col("doc_id").alias("kept_id"), "text_sha256").distinct()
     rows = docs.select(F.struct(*docs.columns).alias("row"))
-    return rows.join(groups, F.col("row.doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi").select("row.*")
+    same = text_digest(text_or_empty("row.text")) == F.col("text_sha256")
+    return rows.join(groups, same & F.col("row.doc_id").cast("long").eqNullSafe(F.col("kept_id")), "left_semi").select("row.*")

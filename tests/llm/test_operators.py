@@ -128,6 +128,14 @@ def test_cuckoo_index():
     assert not any(index.find(hashlib.sha256(b"no%d" % i).hexdigest()) >= 0 for i in range(20_000))
 
 
+def test_drop_copies_looks_at_id_and_text(spark):
+    rows = [(5, "A"), (5, "B"), (9, "B"), (7, None), (8, ""), (None, "A"), (None, "C"), (None, "C"), (9, "B"), (4, "D")]
+    got = exact_dedup.drop_copies(documents(spark, rows))
+    assert sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(
+        [(5, "A"), (9, "B"), (9, "B"), (8, ""), (None, "C"), (None, "C"), (4, "D")], key=str)
+    assert exact_dedup.drop_copies(documents(spark, [])).count() == 0
+
+
 def test_exact_groups(spark, mixed):
     got = rows_of(exact_dedup.exact_groups(documents(spark, mixed)))
     groups = {}

@@ -1,4 +1,4 @@
-"""Registered queries of the operators on the given tables: against SQL where there is one, else that all rows come back."""
+"""Registered queries of the operators on the given tables: against SQL where there is one, and the pipeline stage by stage."""
 
 import os
 import sys
@@ -21,7 +21,7 @@ def test_query_against_sql(spark, sf_dir, name):
 
 def test_pipeline_against_brute_force(spark, sf_dir):
     """Every stage on the given documents: what goes, what stays and what is packed."""
-    from tests.llm.test_operators import plain_fingerprint, union_find
+    from tests.llm.test_operators import plain_near
     docs = table(spark, sf_dir, "documents")
     texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
     stages = dict(corpus_pipeline.STAGES)
@@ -34,10 +34,8 @@ def test_pipeline_against_brute_force(spark, sf_dir):
         newest[texts[d]] = d
     assert exact.columns == docs.columns and {r["doc_id"] for r in exact.collect()} == set(newest.values())
     near = stages["near_dedup"](spark, exact, sf_dir)
-    marks = {d: plain_fingerprint(texts[d]) for d in newest.values()}
-    ids = sorted(marks)
-    named = union_find([(a, b) for i, a in enumerate(ids) for b in ids[i + 1:] if (marks[a] ^ marks[b]).bit_count() <= 6])
-    assert {r["doc_id"] for r in near.collect()} == {d for d in ids if named.get(d, d) == d}
+    named = plain_near([(d, texts[d]) for d in newest.values()])
+    assert {r["doc_id"] for r in near.collect()} == {d for d in newest.values() if named.get(d, d) == d}
     sanitised = stages["pii"](spark, near, sf_dir)
     after = {r["doc_id"]: r["text"] for r in sanitised.collect()}
     assert sanitised.columns == docs.columns and set(after) == {r["doc_id"] for r in near.collect()}
