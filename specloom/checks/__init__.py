@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("quality", "reports", "merging", "values", "extraction", "storage")
+MODULES = ("quality", "reports", "merging", "values", "extraction", "storage", "history")
 
 
 def load():
