@@ -11,7 +11,7 @@ from specloom.checks.base import check
 from specloom.checks.values import _pick as pick, as_json, items
 from specloom.functions import html as H
 from specloom.functions.values import light_type
-from specloom.operators import extract
+from specloom.operators import aliases, extract
 from specloom.plans import views
 
 K = ["page_id"]
@@ -135,6 +135,14 @@ check("J2_label_fields", f"""SELECT s.run_id, s.product_model, s.raw_value, a.f
     lambda t: extract.field_labels(t.specs.select("run_id", "product_model", "raw_value"), "raw_value"))
 
 
+# names cut from the parts of the catalog as aliases, so that index and labels grow with the tables
+CUTS = """SELECT p_type AS field_code, substr(p_name, 1 + p_partkey % 4, 1 + p_size % 9) AS alias, p_size AS alias_rank FROM part"""
+check("J2_alias_index", f"""SELECT p_partkey, p_name, a.field_code, min(alias_rank) AS alias_rank
+  FROM part JOIN (SELECT field_code, lower(alias) AS alias, min(alias_rank) AS alias_rank FROM ({CUTS}) AS c WHERE alias <> '' GROUP BY 1, 2) AS a
+  ON contains(lower(p_name), alias) GROUP BY 1, 2, 3""")(
+    lambda t: aliases.label_fields(t.part.select("p_partkey", "p_name"), "p_name", t.spark.sql(CUTS.replace(" part", " {part}"), part=t.part)))
+
+
 @check("X16_replace_product", """SELECT run_id, product_model, field_code, CASE WHEN run_id = '19980101_monthly_01' AND product_model = 'M4'
   THEN 'fresh ' || coalesce(raw_value, '') ELSE raw_value END AS raw_value FROM specs""", "specs")
 def _(t):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from specloom.checks.base import check
 from specloom.functions import values as V
 from specloom.functions.text import is_blank
-from specloom.operators import extract, report
+from specloom.operators import counterparts, extract, report
 
 KEY = "run_id, product_model, field_code, raw_value"
 SIZE = r"(\d{3,5})\s*[xX×]\s*(\d{3,5})"
@@ -203,6 +203,19 @@ LATEST = f""", one AS (SELECT brand, product_model, field_code, normalized_value
     FROM part AS a JOIN part AS b ON b.p_partkey = a.p_partkey + 1)"""
 
 
+SAME = """coalesce(CASE WHEN a.field_code IN ('interface_items', 'deep_learning_function_categories') THEN a.items = b.items
+    WHEN a.field_code = 'max_resolution' THEN a.size = b.size WHEN a.field_code = 'supplement_light_range' THEN a.max_m = b.max_m AND a.min_m IS NOT DISTINCT FROM b.min_m
+    WHEN a.field_code = 'main_stream_max_fps_resolution' THEN a.stream = b.stream WHEN a.field_code IN ('aperture', 'stream_count') THEN a.num = b.num
+    ELSE a.alias = b.alias END, lower(a.r) = lower(b.r))"""
+check("N12_counterparts", LATEST + f""", n AS (SELECT a.brand || ' ' || a.product_model AS left_model, b.brand || ' ' || b.product_model AS right_model, count(*)::INT AS same_fields
+    FROM feat AS a JOIN feat AS b ON b.field_code = a.field_code AND substr(a.brand, 1, 7) = 'Brand#1' AND substr(b.brand, 1, 7) = 'Brand#2' WHERE {SAME} GROUP BY 1, 2)
+  SELECT left_model, right_model, same_fields, cast(row_number() OVER w AS INT) AS rank FROM n WHERE same_fields >= 2
+  WINDOW w AS (PARTITION BY left_model ORDER BY same_fields DESC, right_model) QUALIFY row_number() OVER w <= 3""", "specs")(
+    # brands of one first digit are taken together
+    lambda t: counterparts.counterparts(t.specs.withColumns({"product_model": F.concat_ws(" ", "brand", "product_model"), "brand": F.substring("brand", 1, 7)}),
+                                        "Brand#1", "Brand#2", most=3, least=2))
+
+
 @check("N12_compare_products", LATEST + """ SELECT left_brand, left_model, right_brand, right_model, a.field_code, a.r AS left_value, b.r AS right_value,
   coalesce(CASE WHEN a.field_code IN ('interface_items', 'deep_learning_function_categories') THEN a.items = b.items
     WHEN a.field_code = 'max_resolution' THEN a.size = b.size WHEN a.field_code = 'supplement_light_range' THEN a.max_m = b.max_m AND a.min_m IS NOT DISTINCT FROM b.min_m

@@ -43,11 +43,12 @@ def write_runs(df: DataFrame, base: str, table: str, replaces: Sequence[str] = (
     task, and a run that holds most of the rows is split by size over many tasks (AQE), so no task writes a whole large run.
     """
     path = os.path.join(base, table)
-    laid = with_layout(typed_records(df, table)).hint("rebalance", F.col("run_id"))
-    laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(path)
-    if replaces:
-        full = {r["run_id"] for r in df.where(F.col("run_id").isin(*replaces)).select("run_id").distinct().collect()}
-        for run_id in set(replaces) - full:
+    laid = with_layout(typed_records(df, table))
+    named = sorted(set(replaces))
+    before = {r: _files(df.sparkSession, base, table, r) for r in named}
+    laid.hint("rebalance", F.col("run_id")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(path)
+    for run_id in named:  # every write names its files anew, so a folder that holds the same ones got no row
+        if before[run_id] and _files(df.sparkSession, base, table, run_id) == before[run_id]:
             drop_run(df.sparkSession, base, table, run_id)
 
 
@@ -122,6 +123,13 @@ def _run_folder(spark: SparkSession, base: str, table: str, run_id: str):
     return _path(spark, base, f"{table}/year={year}/month={month}/run_id={hidden}")
 
 
+def _files(spark: SparkSession, base: str, table: str, run_id: str) -> set[str]:
+    """Names in the folder of a run; the rows themselves are not looked at."""
+    folder = _run_folder(spark, base, table, run_id)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in system.listStatus(folder)} if system.exists(folder) else set()
+
+
 def drop_run(spark: SparkSession, base: str, table: str, run_id: str) -> None:
     """Remove the folder of a run; nothing is rewritten."""
     folder = _run_folder(spark, base, table, run_id)

@@ -6,30 +6,41 @@ import os
 
 from pyspark.sql import DataFrame, functions as F
 
+from specloom.operators.common import null_safe_join
 from specloom.operators.quality import detect_spec_issues
 
 
-def issue_counts_stream(specs: DataFrame, target: str, checkpoint: str):
-    """Rules over each arriving micro-batch, counted per run, type and severity.
+def issue_counts_stream(specs: DataFrame, target: str, checkpoint: str, delivery: str | None = None):
+    """Rules over each arriving micro-batch, counted per run, delivery, type and severity.
 
-    A run arrives in one micro-batch, as ``write_runs`` publishes it. A batch is written to its own folder, so a batch that
-    is run again after a failure replaces itself; a row without type marks every run of a batch, so that a run which
-    arrives again without issues replaces its old counts too. Returns the started query.
+    ``delivery`` names a column that all rows of one delivery of a run share and that is larger for a later one (a time, a
+    number). A delivery may be split over any number of micro-batches. Without it a run arrives in one micro-batch, as ``write_runs``
+    publishes it, and every batch is a delivery. A batch is written to its own folder, so a batch that is run again after
+    a failure replaces itself; a row without type marks every run and delivery of a batch, so that a run which arrives again
+    without issues replaces its old counts too. Returns the started query.
     """
     def save(batch: DataFrame, batch_id: int) -> None:
-        counts = detect_spec_issues(batch).groupBy("run_id", "issue_type", "severity").agg(F.count("*").alias("n"))
-        marks = batch.select("run_id").distinct().select("run_id", F.lit(None).cast("string").alias("issue_type"),
-                                                         F.lit(None).cast("string").alias("severity"), F.lit(0).cast("long").alias("n"))
-        counts.unionByName(marks).write.mode("overwrite").parquet(os.path.join(target, f"batch={batch_id}"))
+        name = F.col(delivery).cast("string") if delivery else F.format_string("%019d", F.lit(batch_id))
+        runs = batch.withColumn("run_id", F.to_json(F.struct("run_id", name.alias("delivery"))))  # the rules carry the run id through
+        counts = detect_spec_issues(runs).groupBy("run_id", "issue_type", "severity").agg(F.count("*").alias("n"))
+        marks = runs.select("run_id").distinct().select("run_id", F.lit(None).cast("string").alias("issue_type"),
+                                                        F.lit(None).cast("string").alias("severity"), F.lit(0).cast("long").alias("n"))
+        counts.unionByName(marks).select(F.from_json("run_id", "run_id string, delivery string").alias("of"), "issue_type", "severity", "n").select(
+            "of.*", "issue_type", "severity", "n").write.mode("overwrite").parquet(os.path.join(target, f"batch={batch_id}"))
 
     return specs.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def issue_counts(spark, target: str) -> DataFrame:
-    """Counts of each run's last delivery: a run that was delivered again counts once."""
+    """Counts of each run's last delivery, added up over its batches: a run that was delivered again counts once.
+
+    Deliveries are compared as texts, numbers by their value. A NULL delivery is older than any other.
+    """
     rows = spark.read.parquet(target)
-    last = rows.groupBy("run_id").agg(F.max("batch").alias("batch"))
-    return rows.join(last, ["run_id", "batch"], "left_semi").where("issue_type IS NOT NULL").select("run_id", "issue_type", "severity", "n")
+    order = lambda c: F.struct(F.try_to_number(c, F.lit("9" * 19)).alias("number"), c.alias("text"))
+    last = rows.groupBy("run_id").agg(F.max_by(F.struct("delivery"), order(F.col("delivery"))).alias("last"))
+    rows = null_safe_join(rows, last.select("run_id", "last.delivery"), ["run_id", "delivery"], "left_semi").where("issue_type IS NOT NULL")
+    return rows.groupBy("run_id", "issue_type", "severity").agg(F.sum("n").alias("n"))
 
 
 def event_rate(events: DataFrame, time: str, key: str, kind: str, lateness: str = "1 hour", window: str = "1 hour") -> DataFrame:
