@@ -24,6 +24,7 @@ LEAST_Z = 5.0  # and the least difference between the labels' shares of document
 PREFIXES = (4, 5, 6)  # a word's features: itself and its prefixes, which inflected forms share
 EPOCHS, RATE, SHRINK = 80, 0.15, 0.01
 LEAST_WEIGHT = 0.1  # words that count less than this are left out
+TRAIN_CHARS = 200_000  # labelled documents that are longer are not fitted on, so that the sample is bounded in size too
 KNOWN_WORDS = 500_000  # words whose weight a task remembers
 TOKEN = re.compile(r"\w+|[.!?\n]")
 ENDS = frozenset(".!?\n")
@@ -118,8 +119,8 @@ class Scorer(dict):
         self[token] = value
         return value
 
-    def sentences(self, text: str) -> dict[int, float]:
-        """Score (before the sigmoid) by number of the sentences that hold words with a weight."""
+    def sentences(self, text: str) -> tuple[dict[int, float], int]:
+        """Score (before the sigmoid) by number of the sentences that hold words with a weight, and how many others hold words."""
         if len(self) > KNOWN_WORDS:
             self.clear()
         tokens = TOKEN.findall(text.lower())
@@ -133,15 +134,19 @@ class Scorer(dict):
             elif tokens[i] not in seen:
                 seen.add(tokens[i])
                 out[number] = out.get(number, self.bias) + value
-        return out
+        ends = np.isnan(values)
+        owner = np.cumsum(ends)[~ends]
+        return out, (1 + int((owner[1:] != owner[:-1]).sum()) if len(owner) else 0) - len(out)
 
     def score(self, text: str) -> float:
-        z = np.array(list(self.sentences(text).values()) or [self.bias])
-        return float(-np.expm1(-np.logaddexp(0, z).sum()))
+        """Noisy-or of all sentences with words, as fitted; a text without words is one sentence."""
+        found, others = self.sentences(text)
+        z = np.array([*found.values()])
+        return float(-np.expm1(-np.logaddexp(0, z).sum() - np.logaddexp(0, self.bias) * (others if found or others else 1)))
 
     def locate(self, text: str) -> list[dict]:
         """Sentences that score at least one half, as spans of code points."""
-        bad, out, at = {n for n, z in self.sentences(text).items() if z >= 0}, [], 0
+        bad, out, at = {n for n, z in self.sentences(text)[0].items() if z >= 0}, [], 0
         for number in range(max(bad) + 1 if bad else 0):
             end = next((i for i in range(at, len(text)) if text[i] in ENDS), len(text))
             if number in bad:
@@ -153,7 +158,8 @@ class Scorer(dict):
 def train(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_PER_LABEL) -> Scorer:
     """Fit on about ``per_label`` labelled documents per label, chosen by a hash of the id; held-out rows are never used.
 
-    The sample's size doesn't grow with the tables, so one task fits the model and only its weights reach the driver.
+    One text counts per id (the least of them), none of more than ``TRAIN_CHARS`` characters. The sample's size doesn't grow with
+    the tables, so one task fits the model and only its weights reach the driver.
     Without rows of both labels, the model scores every text 0.5 or less.
     """
     usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(
@@ -170,7 +176,9 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = TRAIN_PER_LABEL)
         rows = rows.sort_values(["doc_id", "text"], kind="stable").drop_duplicates("text")  # copies count once
         weights, bias = fit(rows["text"].tolist(), rows["toxic"].to_numpy())
         return pd.DataFrame({"word": [*weights, None], "weight": [*weights.values(), bias]})
-    model = (texts.join(F.broadcast(sample), "doc_id").groupBy(F.lit(0).alias("one"))
+    chosen = texts.where(F.length("text") <= TRAIN_CHARS).join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    model = (chosen.groupBy(F.lit(0).alias("one"))
              .applyInPandas(lambda rows: run(rows), "word string, weight double").collect())
     weights = {r["word"]: r["weight"] for r in model}
     bias = weights.pop(None, -4.0)
@@ -203,6 +211,7 @@ def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """The documents that score below ``threshold``, with their columns."""
+    """The documents that score below ``threshold``, with their columns. Every row is judged by its own text, repeated ids too; an
+    empty table gives no rows."""
     rows = scored(docs.select(F.struct(*docs.columns).alias("row"), F.col("text")), train(docs, labels), locate=False)
     return rows.where(F.col("toxicity") < threshold).select("row.*")

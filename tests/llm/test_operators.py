@@ -439,6 +439,31 @@ def test_recursive_contraction_and_long_words_agree(reference_bpe):
 
 # 8: toxicity ----------------------------------------------------------------------------------------------------------------
 
+def test_toxicity_scores_as_fitted():
+    """The score is the noisy-or over all sentences with words, those without a weighted word too."""
+    texts = [". ".join(words(900 * i + k, 6) for k in range(1 + i % 7)) + (" you scumbag! And more" if i % 3 == 0 else ".") for i in range(300)]
+    weights, bias = toxicity.fit(texts, np.array([i % 3 == 0 for i in range(300)]))
+    scorer = toxicity.Scorer(weights, bias)
+    for text in [*texts[:60], "", " \n.! ", "one", "a. b. c\n\nd", "scumbag. scumbag scumbag. x", "z. " * 300, "é. scumbag"]:
+        clean = 1.0
+        for sentence in toxicity.sentences(text):
+            value = 0.0
+            for w in sentence:
+                own = sum(weights.get(f, 0.0) for f in toxicity.features(w))
+                value += own if abs(own) >= toxicity.LEAST_WEIGHT else 0.0
+            clean *= 1 - 1 / (1 + np.exp(-(bias + value)))
+        assert abs(scorer.score(text) - (1 - clean)) < 1e-9
+    assert scorer.score("z. " * 300) > scorer.score("z.")
+
+
+def test_toxicity_fits_one_text_per_id(spark):
+    rows = [(i, ("bad scumbag " if i % 2 else "fine ") + words(i, 5)) for i in range(60)]
+    marks = spark.createDataFrame([(i, 1, i % 2) for i in range(60)], "doc_id long, quality int, toxic int")
+    once = toxicity.train(documents(spark, rows), marks)
+    again = toxicity.train(documents(spark, rows + [(1, "zzz " + rows[1][1])] * 50 + [(3, "zz " * 200_000)]), marks)
+    assert (once.weights, once.bias) == (again.weights, again.bias) and once.weights
+
+
 def test_toxicity_learns_and_locates(spark):
     r = random.Random(11)
     rows, labels = [], []
