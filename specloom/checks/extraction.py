@@ -58,6 +58,22 @@ check("X4_list_pairs", f"""WITH {PP} SELECT page_id, row_pos, cell_pos, label ||
   UNION ALL SELECT page_id, 0, 0, 'rj45', 'Audio ' || t, 0.8::DOUBLE FROM pp WHERE kind IN (0, 2, 4)""")(
     lambda t: extract.pairs(product_pages(t), K, "list"))
 check("X5_definition_pairs", f"WITH {PP} {rows_sql(4, ROW8, 1.0)}")(lambda t: extract.pairs(product_pages(t), K, "definition"))
+
+
+def nested_sql(confidence: float, *rows: str) -> str:
+    return " UNION ALL ".join(f"SELECT p_partkey AS page_id, {row}, {confidence}::DOUBLE AS confidence FROM part" for row in rows)
+
+
+T = "cast(p_size AS VARCHAR)"
+check("X2_nested_tables", nested_sql(1.0, f"0 AS row_pos, 0 AS cell_pos, 'size' AS label, 'Width' || {T} AS value", f"0, 1, 'width' || {T}, 'Width'",
+                                     f"0, 2, 'width', {T}", f"1, 0, 'width', {T}", "2, 0, 'lens type', p_type"))(
+    lambda t: extract.pairs(t.nested_pages, K, "table"))
+check("X4_nested_lists", nested_sql(0.9, f"0 AS row_pos, 0 AS cell_pos, 'portsrj45: ' || {T} AS label, {T} AS value", f"1, 0, 'rj45: ' || {T}, {T}",
+                                    "2, 0, 'colour: ' || lower(p_name), p_name"))(
+    lambda t: extract.pairs(t.nested_pages, K, "list"))
+check("X5_nested_definitions", nested_sql(1.0, "0 AS row_pos, 0 AS cell_pos, 'shared' AS label, p_name || 'Brand' || p_brand || 'Open' AS value",
+                                          "1, 0, 'housing', p_name || 'Brand' || p_brand || 'Open'", "2, 0, 'brand', p_brand", f"4, 0, 'weight', {T}"))(
+    lambda t: extract.pairs(t.nested_pages, K, "definition"))
 check("X6_position", f"""WITH {PP} SELECT * FROM (
   SELECT page_id, 'max_resolution' AS field_code, CASE kind WHEN 0 THEN sensor ELSE res END AS raw_value, 0.7::DOUBLE AS confidence FROM pp WHERE kind IN (0, 1)
   UNION ALL SELECT page_id, 'image_sensor', CASE kind WHEN 0 THEN res ELSE sensor END, 0.7 FROM pp WHERE kind IN (0, 1)

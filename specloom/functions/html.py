@@ -67,6 +67,53 @@ def balanced(c: Column, tag: str) -> Column:
     return let(parts, lambda p: F.array_join(F.slice(p, F.lit(1), F.aggregate(p, start, step, lambda s: s.kept)), ""))
 
 
+# --- nested markup ---------------------------------------------------------------------------------
+
+LEVEL = r"\x01(\d+)\x02"  # depth of nesting, written before a tag
+SAME = r"\x01\1\x02"  # a tag of the same depth
+
+
+def nested(c: Column, owner: str) -> Column:
+    """Whether an ``owner`` element opens inside another one."""
+    return c.rlike(rf"(?is)<(?:{owner})\b[^<]*(?:<(?!/?(?:{owner})\b)[^<]*)*+<(?:{owner})\b")
+
+
+def with_levels(c: Column, owner: str, inner: str) -> Column:
+    """The depth of ``owner`` elements written before each tag of theirs and before each ``inner`` tag.
+
+    The page is cut at the ``owner`` tags alone and their depths are folded once, so the work grows with the length of the page.
+    Tags of one element, and those it ends at, then carry the same depth; deeper ones in between belong to inner elements.
+    """
+    edge = rf"</?(?:{owner})\b"
+    parts = F.regexp_extract_all(F.translate(c, "\x01\x02", ""), F.lit(rf"(?is){edge}.*?(?={edge}|\z)|\A.+?(?={edge}|\z)"), F.lit(0))
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<int>").alias("levels"))
+
+    def step(s: Column, part: Column) -> Column:
+        change = F.when(part.rlike(rf"(?i)\A<(?:{owner})\b"), 1).when(part.rlike(rf"(?i)\A</(?:{owner})\b"), -1).otherwise(0)
+        return let(F.greatest(s.depth + change, F.lit(0)), lambda depth: F.struct(
+            depth.alias("depth"), F.array_append(s.levels, depth).alias("levels")))
+
+    def marked(part: Column, before: Column, after: Column) -> Column:
+        mark = lambda depth: F.concat(F.lit("\x01"), depth.cast("string"), F.lit("\x02"))
+        own = F.when(part.rlike(rf"(?i)\A{edge}"), mark(F.greatest(before, after))).otherwise("")
+        return F.concat(own, F.regexp_replace(part, F.lit(rf"(?i)(?=</?(?:{inner})\b)"), mark(after)))
+
+    return let(parts, lambda p: let(F.aggregate(p, start, step, lambda s: s.levels), lambda levels: F.array_join(
+        F.transform(p, lambda part, i: marked(part, F.coalesce(F.get(levels, i - 1), F.lit(0)), F.get(levels, i))), "")))
+
+
+def without_levels(c: Column) -> Column:
+    return F.regexp_replace(c, r"\x01\d+\x02", "")
+
+
+def whole_elements(levelled: Column, tag: str, stop: str = "") -> Column:
+    """Contents of all ``tag`` elements in page order, inner ones once more on their own; depths are kept.
+
+    The content is captured by a lookahead, so the search goes on inside it.
+    """
+    return F.regexp_extract_all(levelled, F.lit(rf"(?is){LEVEL}<(?:{tag})\b[^>]*>(?=(.*?)(?:{SAME}{stop}|\z))"), F.lit(2))
+
+
 # --- X1: text --------------------------------------------------------------------------------------
 
 def clean_html(html: Column) -> Column:
@@ -105,9 +152,15 @@ def _pair(label: Column, value: Column, is_text, confidence, method, row_pos: Co
 
 
 def table_rows(clean: Column) -> Column:
-    """array<array<string>>: the cell fragments of every table row."""
+    """array<array<string>>: the cell fragments of every table row.
+
+    A cell that holds a table is a cell as a whole, followed in its row by the inner cells; inner rows are rows too.
+    """
     rows = pieces(clean, open_tag("tr"), r"</?tr\b|</table\b")
-    return F.transform(rows, lambda r: pieces(r, open_tag("t[dh]"), r"</?t[dh]\b"))
+    flat = F.transform(rows, lambda r: pieces(r, open_tag("t[dh]"), r"</?t[dh]\b"))
+    whole_rows = whole_elements(with_levels(clean, "table", "tr|t[dh]"), "tr", r"</?t(?:r|able)\b")
+    owned = F.transform(whole_rows, lambda r: F.transform(whole_elements(r, "t[dh]"), without_levels))
+    return F.when(nested(clean, "table"), owned).otherwise(flat)
 
 
 def table_pairs(rows: Column) -> Column:
@@ -145,8 +198,9 @@ def vendor_list_pairs(clean: Column) -> Column:
 
 
 def list_items(clean: Column) -> Column:
-    """Fragments of the list items of a page; an outer item ends where an inner one starts."""
-    return pieces(clean, open_tag("li"), r"<li\b|</(?:li|ul|ol)\b")
+    """Fragments of the list items of a page; an item holds its inner lists, whose items follow it on their own."""
+    owned = F.transform(whole_elements(with_levels(clean, "[uo]l", "li"), "li"), without_levels)
+    return F.when(nested(clean, "[uo]l"), owned).otherwise(pieces(clean, open_tag("li"), r"<li\b|</(?:li|ul|ol)\b"))
 
 
 def list_pairs(items: Column) -> Column:
@@ -164,19 +218,38 @@ def list_pairs(items: Column) -> Column:
     return F.filter(F.transform(texts, pair), usable).cast(PAIR)
 
 
+TERM = "array<struct<label:string,definition:string,closes:boolean>>"
+
+
+def terms(clean: Column) -> Column:
+    """Every term of a page with its own definition (NULL without one) and whether its list ends before the next term."""
+    def term(label: Column, definition: Column, closes: Column) -> Column:
+        return F.struct(label.alias("label"), definition.alias("definition"), closes.alias("closes"))
+
+    flat = F.transform(pieces(clean, open_tag("dt"), open_tag("dt")), lambda t: term(
+        until(t, r"</dt\b|<dd\b|</dl\b"), until(after_first(until(t, r"</dl\b"), open_tag("dd")), r"</d[dl]\b"), t.rlike(r"(?i)</dl\b")))
+    # label, own definition with its tag, end of the list: what of them comes first at the depth of the term
+    pattern = (rf"(?is){LEVEL}<dt\b[^>]*>(?=(.*?)(?:{SAME}|\z))"
+               rf"(?=.*?(?:{SAME}(?:(<dd\b[^>]*>.*?)(?={SAME}|\z)|<dt\b|(</dl\b))|\z))")
+    levelled = with_levels(clean, "dl", "d[td]")
+    parts = lambda c, group: F.regexp_extract_all(c, F.lit(pattern), F.lit(group))
+    owned = let(levelled, lambda c: let(F.struct(parts(c, 2).alias("l"), parts(c, 3).alias("d"), parts(c, 4).alias("e")), lambda x: F.transform(
+        x.l, lambda label, i: term(without_levels(label), after_first(without_levels(F.get(x.d, i)), r"\A<dd\b[^>]*>"), F.get(x.e, i) != ""))))
+    return F.when(nested(clean, "dl"), owned.cast(TERM)).otherwise(flat.cast(TERM))
+
+
 def definition_pairs(clean: Column) -> Column:
     """Every term with the first definition that follows it in its list."""
-    definition = lambda t: until(after_first(until(t, r"</dl\b"), open_tag("dd")), r"</d[dl]\b")
+    start = F.struct(F.lit(None).cast("string").alias("next"), F.array().cast(STRINGS).alias("values"))
 
-    def pair(terms: Column, term: Column, i: Column) -> Column:
-        own = definition(term)
-        later = F.get(F.filter(F.transform(F.slice(terms, i + 2, F.size(terms)), definition),
-                               lambda d: d.isNotNull()), F.lit(0))
-        value = F.coalesce(own, F.when(~term.rlike(r"(?i)</dl\b"), later))
-        label = until(term, r"</dt\b|<dd\b|</dl\b")
-        return _pair(F.lower(cell_text(label)), value, False, 1.0, "label_match_dl", i, F.lit(0))
+    def step(s: Column, t: Column) -> Column:
+        return let(F.coalesce(t.definition, F.when(~t.closes, s.next)), lambda value: F.struct(
+            value.alias("next"), F.array_append(s.values, value).alias("values")))
 
-    pairs = let(pieces(clean, open_tag("dt"), open_tag("dt")), lambda terms: F.transform(terms, lambda t, i: pair(terms, t, i)))
+    # from the last term to the first, so that each looks at its follower only
+    values = lambda ts: F.reverse(F.aggregate(F.reverse(ts), start, step, lambda s: s.values))
+    pairs = let(terms(clean), lambda ts: let(values(ts), lambda vs: F.transform(ts, lambda t, i: _pair(
+        F.lower(cell_text(t.label)), F.get(vs, i), False, 1.0, "label_match_dl", i, F.lit(0)))))
     return F.filter(pairs, lambda p: p.value.isNotNull()).cast(PAIR)
 
 

@@ -232,6 +232,16 @@ SELECT p_partkey AS page_id, 'https://x.example/' || cast(p_partkey AS string) A
 FROM {{part}}
 """
 
+# Tables, lists and definition lists inside others of their kind; closing tags are left out where HTML allows it.
+VIEWS["nested_pages"] = """
+SELECT p_partkey AS page_id,
+  '<table><tr><th>Size</th><td><table class="in"><tr><td>Width<td>' || cast(p_size AS string) || '</table></td></tr><tr><td>Lens Type</td><td>'
+  || p_type || '</td></tr></table><ul><li>Ports<ul><li>RJ45: ' || cast(p_size AS string) || '</li></ul></li><li>Colour: ' || p_name
+  || '</ul><dl><dt>Shared<dt>Housing</dt><dd>' || p_name || '<dl><dt>Brand</dt><dd>' || p_brand || '</dd><dt>Open</dl></dd><dt>Weight<dd>'
+  || cast(p_size AS string) || '</dl>' AS html
+FROM {part}
+"""
+
 # Pages that list specifications as items, label and value in elements of their own.
 VIEWS["list_pages"] = """
 SELECT p_partkey AS page_id,

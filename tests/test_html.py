@@ -80,6 +80,59 @@ def test_vendor_list(spark):
     assert fields(spark, html)["lens_type"] == ("Zoom4x", 1.0)
 
 
+def cut(spark, structure, *pages):
+    rows = spark.createDataFrame(list(enumerate(pages)), "page_id int, html string")
+    found = extract.pairs(rows, ["page_id"], structure).orderBy("page_id", "row_pos", "cell_pos").collect()
+    return [[(r.label, r.value) for r in found if r.page_id == i] for i in range(len(pages))]
+
+
+def test_nested_tables_keep_their_owner(spark):
+    inner = "<TABLE class=x><tr><td>Width<td>12</tr><tr><td>Height</td><td>7</td></tr></TABLE>"
+    page = f"<table><tr><th>Size</th><td>{inner}</td><td>mm</td></tr><tr><td>Lens Type</td><td>Zoom</td></tr></table><table><tr><td>a<td>b</table>"
+    got, stray = cut(spark, "table", page, f"</table>{page}")
+    whole = "Width12Height7"
+    assert got == [("size", whole), (whole.lower(), "Width"), ("width", "12"), ("12", "Height"), ("height", "7"), ("7", "mm"),
+                   ("width", "12"), ("height", "7"), ("lens type", "Zoom"), ("a", "b")]
+    assert stray == got  # a closing tag without an opening one changes nothing
+    assert fields(spark, page)["lens_type"] == ("Zoom", 1.0)
+
+
+def test_table_in_a_table_in_a_table(spark):
+    level = "<table><tr><td>{0}</td><td>{1}</td></tr></table>"
+    page = level.format("a", level.format("b", level.format("c", "d")))
+    assert cut(spark, "table", page) == [[("a", "bcd"), ("bcd", "b"), ("b", "cd"), ("cd", "c"), ("c", "d"), ("b", "cd"), ("cd", "c"), ("c", "d"), ("c", "d")]]
+
+
+def test_nested_lists_keep_their_owner(spark):
+    page = "<ul><li>Audio<ol><li>In: 1<li>Out: 2</ol></li><li>Lens Type: Zoom</ul>"
+    assert cut(spark, "list", page, "<ul><li>a: 1<li>b: 2</ul>") == [
+        [("audioin: 1out: 2", "1Out: 2"), ("in: 1", "1"), ("out: 2", "2"), ("lens type: zoom", "Zoom")], [("a: 1", "1"), ("b: 2", "2")]]
+
+
+def test_nested_definition_lists(spark):
+    inner = "<dl><dt>Inner</dt><dd>i</dd><dt>Last</dt></dl>"
+    page = f"<dl><dt>Shared</dt><dt>Outer</dt><dd>x {inner} y</dd><dt>Lens Type<dd>Zoom<dt>Open</dl><dl><dt>Other</dt><dd></dd></dl>"
+    assert cut(spark, "definition", page) == [[("shared", "xInneriLasty"), ("outer", "xInneriLasty"), ("inner", "i"), ("lens type", "Zoom"), ("other", "")]]
+
+
+def test_definitions_stop_at_the_end_of_their_list(spark):
+    assert cut(spark, "definition", "<dl><dt>a<dt>b</dl><dl><dt>c<dd>1</dl>") == [[("c", "1")]]
+
+
+def test_long_pages_take_time_by_their_length(spark):
+    import time
+    page = lambda n: "<table><tr><td>x</td><td>" + "<table><tr><td>Lens Type</td><td>Zoom</td></tr></table>" * n + "</td></tr></table>" + (
+        "<dl>" + "<dt>t</dt>" * n + "<dd>v</dd></dl>")
+    seconds = []
+    for n in (1000, 1000, 6000):
+        began = time.time()
+        # the outer row pairs its own cells and all inner ones, but for the label that is too long
+        assert [len(x) for x in cut(spark, "table", page(n))] == [3 * n]
+        assert cut(spark, "definition", page(n)) == [[("t", "v")] * n]
+        seconds.append(time.time() - began)
+    assert seconds[2] < 15 * max(seconds[1], 0.5)
+
+
 def test_unknown_distance_unit_halves_confidence(spark):
     html = "<table><tr><td>IR Range</td><td>30 yd</td></tr></table>"
     assert fields(spark, html)["supplement_light_range"] == ("30 yd", 0.5)
