@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from specloom import registry as R
 from specloom.checks.base import check
+from specloom.checks.merging import FULL, newest
 from specloom.checks.quality import RECORD_ISSUES
 from specloom.checks.reports import SUMMARY, summary_of
 from specloom.plans import views
@@ -33,6 +34,17 @@ def folder(t):
 
 check("S1_page_keys", """SELECT page_id, replace(replace(url, '/', '_'), ':', '_') AS file_key, sha256(url) AS cache_key, substr(md5(url), 1, 12) AS short_key FROM pages""")(
     lambda t: pages.with_page_keys(t.pages).select("page_id", "file_key", "cache_key", "short_key"))
+
+
+@check("S1_files_of_a_run", f"""SELECT url, sha256(html) AS html_sha256 FROM product_pages WHERE url IN (
+  SELECT product_url FROM catalog WHERE run_id = '{RUN}')""", "product_pages", "catalog")
+def _(t):
+    base = os.path.join(folder(t), "html")
+    pages.write_page_files(t.product_pages, base)
+    run = t.catalog.where(F.col("run_id") == RUN)
+    return pages.pages_of_run(t.spark, base, run).select("url", F.sha2("html", 256).alias("html_sha256"))
+
+
 FEED = """f AS (SELECT p_partkey AS d, 0 AS pos, 'DS-' || p_partkey || '/A' AS m, p_type || ' Series' AS series, p_name AS sub,
     CASE p_partkey % 3 WHEN 0 THEN '' WHEN 1 THEN '/p/' || p_partkey ELSE 'https://y.example/p/' || p_partkey END AS path, 'Camera ' || p_partkey AS title FROM part
   UNION ALL SELECT p_partkey, 1, CASE WHEN p_size = 1 THEN '' ELSE 'SZ ' || p_size END, p_type, p_brand, '/s/' || p_partkey, NULL FROM part)"""
@@ -103,6 +115,22 @@ check("S9_summary_sheet", SUMMARY + """ SELECT run_id, schedule_type, coalesce(s
     lambda t: manual.summary_sheet(summary_of(t)))
 
 
+@check("S8_sheet_files", "SELECT " + ", ".join(f"nullif({c}, '') AS {c}" for c in R.MANUAL_SHEET) + ", 1 < 2 AS numbered FROM manual", "manual")
+def _(t):
+    base = folder(t)
+    sheets = t.manual.select(*R.MANUAL_SHEET).write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    sheets.mode("overwrite").csv(os.path.join(base, "sheet"))
+    rows = manual.read_manual_sheet(t.spark, os.path.join(base, "sheet"))
+    return rows.select(*R.MANUAL_SHEET, (F.col("row_no") > 1).alias("numbered"))
+
+
+@check("S8_upsert", f"""SELECT {FULL}, manual_value, operator, created_at FROM {newest(FULL)} AS q""", "manual")
+def _(t):
+    """Corrections of the later half of days replace stored ones with the same key."""
+    late = F.dayofmonth("created_at") > 15
+    return manual.upsert_manual(t.manual.where(~late), t.manual.where(late)).select(*FULL.split(", "), "manual_value", "operator", "created_at")
+
+
 @check("S10_append_records", f"""SELECT {NODE}, product_model, product_name, CAST(NULL AS VARCHAR) AS product_url, 'en' AS locale, 'current' AS catalog_status FROM catalog""", "catalog")
 def _(t):
     base = folder(t)

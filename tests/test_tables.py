@@ -1,5 +1,6 @@
 """Merging, snapshots, sheets, streams and the complete run."""
 
+import os
 from datetime import datetime
 
 import pytest
@@ -122,6 +123,21 @@ def test_sheets(spark, sf_dir, tmp_path):
     assert back.count() == specs.where("brand = 'Brand#3'").count()
 
 
+def test_only_wanted_files_are_opened(spark, tmp_path):
+    """Files outside the run can't even be read; a listed name with odd characters, a key without a file and rows without a page go well."""
+    from specloom.sources import pages
+    rows = [("http://a/1", "<b>é</b>"), ("http://a/2 %20?x=ü", "two"), ("http://a/3", "other run"), (None, "x"), ("http://a/4", None), ("http://a/5", "")]
+    base = str(tmp_path / "html")
+    pages.write_page_files(spark.createDataFrame(rows, "url string, html string"), base)
+    assert sorted(os.listdir(base)) == ["http___a_1.html", "http___a_2 %20?x=ü.html", "http___a_3.html"]
+    os.remove(f"{base}/http___a_3.html")
+    os.mkfifo(f"{base}/http___a_3.html")  # opening it would never end
+    catalog = spark.createDataFrame([("http://a/1",), ("http://a/1",), ("http://a/2 %20?x=ü",), ("http://a/5",), ("http://a/9",), (None,)], "product_url string")
+    got = pages.pages_of_run(spark, base, catalog).collect()
+    assert sorted((r.url, r.html) for r in got) == rows[:2] and all(r.fetched_at for r in got)
+    assert pages.pages_of_run(spark, base, catalog.where("false")).count() == 0
+
+
 def test_feed_and_page_files(spark, tmp_path):
     (tmp_path / "feed").mkdir()
     (tmp_path / "feed" / "a.json").write_text('{"products": [{"productModel": "X-1", "series": "Pro Series", "detailPath": "/a"},\n'
