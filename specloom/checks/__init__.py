@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("quality", "reports", "merging", "values", "extraction", "storage", "history")
+MODULES = ("quality", "reports", "merging", "values", "extraction", "storage", "history", "bitmaps")
 
 
 def load():

@@ -42,8 +42,13 @@ def write_runs(df: DataFrame, base: str, table: str, replaces: Sequence[str] = (
     partitions in ``df`` alone would not do. Rows are rebalanced by run: small runs end in one file instead of one per
     task, and a run that holds most of the rows is split by size over many tasks (AQE), so no task writes a whole large run.
     """
+    write_partitions(typed_records(df, table), base, table, replaces)
+
+
+def write_partitions(df: DataFrame, base: str, table: str, replaces: Sequence[str] = ()) -> None:
+    """The write of :func:`write_runs` for rows of any columns beside ``run_id``."""
     path = os.path.join(base, table)
-    laid = with_layout(typed_records(df, table))
+    laid = with_layout(df)
     named = sorted(set(replaces))
     before = {r: _files(df.sparkSession, base, table, r) for r in named}
     laid.hint("rebalance", F.col("run_id")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*LAYOUT).parquet(path)
