@@ -1,7 +1,8 @@
 """Embedding near-duplicates: cross-polytope hashing with fast Hadamard rotations (operator 1).
 
 A hash function rotates a vector by three rounds of random signs and a Hadamard transform; its value is the coordinate of
-largest magnitude and its sign. A table joins as many functions as the number of vectors asks for. A vector is at home
+largest magnitude and its sign. A table joins as many functions as the number of vectors asks for, and the more functions it joins and the more
+dimensions there are, the more tables there are (:func:`tables_for`). A vector is at home
 in one bucket of each table and probes the next likely ones. Buckets that can't hold a pair are dropped by their counts
 before vectors move; those left are verified in blocks. A pair that meets in several buckets counts in the first one
 only, which both vectors' hashes tell, so links are counted and joined without listing pairs.
@@ -22,7 +23,8 @@ from specloom.llm.graph import components
 from specloom.llm.simhash import forest
 
 COSINE = 0.95
-TABLES, PROBES = 6, 4
+TABLES, PROBES = 6, 4  # at least so many tables; more where a pair would else be missed too often
+MISSED = 0.001  # share of pairs at the very threshold that no table may bring together
 BLOCK = 2048  # members of a bucket that are compared with as many others in one piece of work
 PAIRS = 500_000  # near pairs that a task looks at together
 PER_BUCKET = 4  # unrelated vectors per bucket that the number of functions aims at
@@ -32,7 +34,8 @@ class CrossPolytope:
     """Hashes of unit vectors of one dimension; the same for every task."""
 
     def __init__(self, dimension: int, functions: int, tables: int = TABLES, probes: int = PROBES):
-        self.dimension, self.width = dimension, 1 << max(1, (dimension - 1).bit_length())
+        # short vectors are padded too: in few dimensions there are few different rotations, and tables would not be independent
+        self.dimension, self.width = dimension, 1 << max(6, (dimension - 1).bit_length())
         self.functions, self.tables, self.probes = functions, tables, probes
         draw = np.random.default_rng([dimension, 7])
         self.signs = draw.choice([-1.0, 1.0], size=(tables, functions, 3, self.width))
@@ -78,6 +81,29 @@ class CrossPolytope:
         return home, probe
 
 
+@functools.lru_cache(maxsize=64)
+def tables_for(dimension: int, functions: int, cosine: float = COSINE, probes: int = PROBES, missed: float = MISSED) -> int:
+    """Tables that bring all but ``missed`` of the pairs at ``cosine`` together.
+
+    How often one table does so depends on dimension, functions and probes alone, not on the data, so it is measured on drawn pairs
+    at the threshold (closer pairs meet more often): 2,000 for common dimensions, fewer for very long vectors. Twice the standard error is
+    taken off. Tables are drawn independently, so the share missed by all of them is a power.
+    """
+    pairs = int(min(2000, max(32, (1 << 20) // dimension)))
+    if dimension < 2:
+        return TABLES  # all vectors of one sign are equal
+    draw = np.random.default_rng([dimension, functions, 11])
+    a = unit(list(draw.normal(size=(pairs, dimension))))
+    aside = draw.normal(size=(pairs, dimension))
+    aside = unit(list(aside - (aside * a).sum(axis=1, keepdims=True) * a))
+    b = max(-1.0, min(1.0, cosine)) * a + math.sqrt(max(0.0, 1 - cosine * cosine)) * aside
+    hasher = CrossPolytope(dimension, functions, 4, probes)
+    (home_a, probe_a), (home_b, probe_b) = hasher.keys(a), hasher.keys(b)
+    met = (home_a == home_b) | (probe_a == home_b[:, :, None]).any(axis=2) | (probe_b == home_a[:, :, None]).any(axis=2)
+    share = max(0.01, met.mean() - 2 * math.sqrt(met.mean() * (1 - met.mean()) / pairs))
+    return TABLES if share > 0.999 else max(TABLES, math.ceil(math.log(missed) / math.log(1 - share)))
+
+
 def unit(vectors: list) -> np.ndarray:
     x = np.array(vectors, dtype=np.float64)
     x = x / np.abs(x).max(axis=1, keepdims=True)  # no overflow of squares
@@ -189,12 +215,23 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda v: v != 0), F.lit(False))
 
 
-def near_vectors(rows: DataFrame, cosine: float = COSINE, tables: int = TABLES, probes: int = PROBES, block: int = BLOCK) -> DataFrame:
+def _functions(nodes: DataFrame) -> tuple[int, int]:
+    """Functions per table, so that a bucket of the commonest length holds few unrelated vectors, and the longest length."""
+    lengths = nodes.groupBy(F.size("vector").alias("d")).agg(F.count("*").alias("n"))
+    values = F.lit(2.0) * F.pow(F.lit(2.0), F.greatest(F.lit(6.0), F.ceil(F.log2(F.col("d")))))  # coordinates after padding, two signs each
+    needed = F.ceil(F.log(F.greatest(F.lit(2.0), F.col("n") / PER_BUCKET)) / F.log(values))
+    row = lengths.agg(F.max_by(needed, F.struct("n", "d")).alias("f"), F.max("d").alias("d")).first()
+    return max(1, int(row["f"] or 1)), int(row["d"] or 2)
+
+
+def near_vectors(rows: DataFrame, cosine: float = COSINE, tables: int | None = None, probes: int = PROBES, block: int = BLOCK,
+                 functions: int | None = None) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` per row of ``rows`` (``vec_id, embedding``; other columns ignored).
 
     Vectors that are null, zero or hold null or non-finite components link with nothing, as do vectors of different
     lengths. Equal vectors are one node with a count, and link with each other. A row with a null ``vec_id`` gets no id: it
     counts as a link of others, and its component is the smallest id reachable (null if none). Empty tables give no rows.
+    ``functions`` per table follow from the number of different vectors of a length, ``tables`` from functions and the longest vector.
     """
     vectors = materialize(rows.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("vector"))
                           .withColumn("digest", F.when(usable(F.col("vector")), F.sha2(F.to_json(F.struct(F.transform(
@@ -202,7 +239,8 @@ def near_vectors(rows: DataFrame, cosine: float = COSINE, tables: int = TABLES,
     nodes = materialize(vectors.where("digest is not null").groupBy("digest").agg(
         F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("vector").alias("vector"))
         .withColumn("node", F.coalesce("least", F.xxhash64("digest").bitwiseOR(F.lit(-(1 << 63))))))  # below any id
-    functions = max(1, math.ceil(math.log(max(2, nodes.count() / PER_BUCKET)) / math.log(128)))
+    functions, longest = _functions(nodes) if functions is None else (functions, _functions(nodes)[1])
+    tables = tables or tables_for(longest, functions, cosine, probes)
     hashed = nodes.select("node", "vector").mapInPandas(_hash_batches(functions, tables, probes), "node long, bucket long, dim int, home boolean")
     hashed = materialize(hashed)
     sizes = hashed.groupBy("dim", "bucket").agg(F.count("*").alias("members"), F.max("home").alias("owned")).where("owned and members > 1")

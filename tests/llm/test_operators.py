@@ -109,6 +109,36 @@ def test_embeddings_blocks_give_the_same(spark):
     assert embeddings.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dimension,functions", [(3, 5), (16, 5), (64, 3), (64, 4), (64, 5), (256, 3), (256, 4), (256, 5)])
+def test_embedding_recall_with_many_functions(dimension, functions):
+    """Pairs at the threshold itself, other ones than those that the number of tables is derived from."""
+    draw = np.random.default_rng(5)
+    a = embeddings.unit(list(draw.normal(size=(1000, dimension))))
+    side = draw.normal(size=a.shape)
+    side = embeddings.unit(list(side - (side * a).sum(axis=1, keepdims=True) * a))
+    b = embeddings.COSINE * a + np.sqrt(1 - embeddings.COSINE ** 2) * side
+    hasher = embeddings.CrossPolytope(dimension, functions, embeddings.tables_for(dimension, functions))
+    (ha, pa), (hb, pb) = hasher.keys(a), hasher.keys(b)
+    met = (ha == hb) | (pa == hb[:, :, None]).any(axis=2) | (pb == ha[:, :, None]).any(axis=2)
+    assert met.any(axis=1).mean() >= 0.99
+
+
+def test_embeddings_with_the_functions_of_a_large_table(spark):
+    """Four functions, as for ten million vectors: the links of all pairs, between two vectors and in crowds of them."""
+    draw = np.random.default_rng(8)
+    base = embeddings.unit(list(draw.normal(size=(150, 64))))
+    side = draw.normal(size=base.shape)
+    side = embeddings.unit(list(side - (side * base).sum(axis=1, keepdims=True) * base))
+    close = np.linspace(0.951, 0.999, len(base))[:, None]
+    crowd = base[0] + draw.normal(size=(60, 64)) * 0.02
+    x = np.concatenate([base, close * base + np.sqrt(1 - close ** 2) * side, crowd])
+    got = {r["vec_id"]: r["n_links"] for r in rows_of(embeddings.near_vectors(
+        spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>"), functions=4))}
+    u = embeddings.unit(x.tolist())
+    want = (u @ u.T >= embeddings.COSINE).sum(axis=1) - 1
+    assert all(got[i] <= want[i] for i in got) and sum(got.values()) >= 0.995 * want.sum() and want.sum() > 3000
+
+
 # 2: exact copies --------------------------------------------------------------------------------------------------------
 
 def test_cuckoo_index():
