@@ -86,7 +86,7 @@ check("A16_run_report", SUMMARY + """, k AS (SELECT run_id, brand FROM catalog U
     coalesce(p1, 0) AS p1, coalesce(p2, 0) AS p2, coalesce(p3, 0) AS p3, status, success_rate
   FROM k LEFT JOIN cb USING (run_id, brand) LEFT JOIN sb USING (run_id, brand) LEFT JOIN ib USING (run_id, brand) LEFT JOIN summary USING (run_id)""",
       "runs", "catalog", "specs", "hierarchy")(
-    lambda t: report.run_report(summary_of(t), t.catalog, t.specs, quality.detect_spec_issues(t.specs)))
+    lambda t: report.run_report(t.runs, t.catalog, t.specs, quality.detect_spec_issues(t.specs)))
 check("A16_quality_report", """SELECT run_id, brand, issue_type, severity, count(*) AS n FROM issues WHERE severity = 'P2'
   AND issue_type = 'missing_field' GROUP BY ALL""", "issues")(lambda t: report.quality_report(t.issues, "P2", "missing_field"))
 check("A17_wide_specs", "SELECT run_id, brand, series_l1, series_l2, product_model, " + ", ".join(

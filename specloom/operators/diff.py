@@ -32,13 +32,15 @@ def previous_runs(df: DataFrame) -> DataFrame:
         "brand", "run_id", F.lag("run_id").over(w).alias("previous_run_id"))
 
 
-def paths(hierarchy: DataFrame) -> DataFrame:
-    """Distinct hierarchy paths of each run: first-level path and, where present, second-level path."""
+def _path_levels(hierarchy: DataFrame, explode) -> DataFrame:
     present = lambda c: F.coalesce(F.col(c), F.lit("")) != ""
     both = F.array(F.when(present("series_l1"), F.lit("")), F.when(present("series_l2"), F.col("series_l2")))
-    rows = hierarchy.select("run_id", "brand", "series_l1",
-                            F.explode(F.filter(both, lambda x: x.isNotNull())).alias("series_l2"))
-    return rows.distinct()
+    return hierarchy.select("run_id", "brand", "series_l1", explode(F.filter(both, lambda x: x.isNotNull())).alias("series_l2"))
+
+
+def paths(hierarchy: DataFrame) -> DataFrame:
+    """Distinct hierarchy paths of each run: first-level path and, where present, second-level path."""
+    return _path_levels(hierarchy, F.explode).distinct()
 
 
 def compare_hierarchies(current: DataFrame, previous: DataFrame) -> DataFrame:
@@ -51,21 +53,21 @@ def compare_hierarchies(current: DataFrame, previous: DataFrame) -> DataFrame:
 def hierarchy_changes(hierarchy: DataFrame) -> DataFrame:
     """U1 for every run of a brand against the brand's run before; ``run_id`` is the later run.
 
-    Each path carries its run number, so one pair of joins on the path covers all runs.
+    One shuffle, on the path: each path becomes one row with the set of its runs, and the runs of a brand are read from those rows
+    (the exchange is reused), so the input is read once and no window orders it.
     """
-    w = Window.partitionBy("brand").orderBy("run_id")
-    runs = hierarchy.select("brand", "run_id").distinct().select(
-        "brand", "run_id", F.row_number().over(w).alias("run_no"), F.lead("run_id").over(w).alias("next_run_id"))
-    rows = paths(hierarchy).join(runs, ["brand", "run_id"])
-    # a path is added when it has no row in the run before, removed when it has none in the run after
-    by_path = Window.partitionBy(*NODE).orderBy("run_no")
-    near = rows.select("*", F.lag("run_no").over(by_path).alias("seen_before"), F.lead("run_no").over(by_path).alias("seen_after"))
-    n = F.col("run_no")
-    added = (n > 1) & F.coalesce(F.col("seen_before") < n - 1, F.lit(True))
-    removed = F.col("next_run_id").isNotNull() & F.coalesce(F.col("seen_after") > n + 1, F.lit(True))
-    events = F.array(F.when(added, F.struct(F.col("run_id").alias("run_id"), F.lit("added").alias("change"))),
-                     F.when(removed, F.struct(F.col("next_run_id").alias("run_id"), F.lit("removed").alias("change"))))
-    return near.select(*NODE, F.inline(F.filter(events, lambda e: e.isNotNull()))).select("run_id", *NODE, "change")
+    # a node without any path (series_l2 NULL) has no changes, but its run is one of the brand
+    seen = _path_levels(hierarchy, F.explode_outer).groupBy(*NODE).agg(F.collect_set("run_id").alias("seen"))
+    runs = seen.select("brand", F.explode("seen").alias("run_id")).groupBy("brand").agg(F.array_sort(F.collect_set("run_id")).alias("runs"))
+
+    def change(run: Column, i: Column) -> Column:
+        now, before = F.array_contains("seen", run), F.array_contains(F.col("seen"), F.get("runs", i))
+        kind = F.when(now & ~before, "added").when(before & ~now, "removed")
+        return F.struct(run.alias("run_id"), F.when(F.col("series_l2").isNotNull(), kind).alias("change"))
+
+    later = F.transform(F.slice("runs", 2, F.size("runs")), change)
+    return seen.join(runs, "brand").select(*NODE, F.inline(F.filter(later, lambda x: x["change"].isNotNull()))).select(
+        "run_id", *NODE, "change")
 
 
 def series_change_counts(hierarchy: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from specloom import registry as R
 from specloom.functions.text import is_blank
 from specloom.operators import diff
-from specloom.operators.common import natural_key, null_safe_join, select_where
+from specloom.operators.common import natural_key, select_where
 
 KEY = ["run_id", "brand", "series_l1", "series_l2", "product_model"]
 
@@ -95,17 +95,23 @@ def detect_spec_issues(specs: DataFrame, rules: Iterable[Rule] = RULES, severiti
         *KEY, "field_code", F.inline(F.filter(found, lambda x: x.isNotNull())))
 
 
+COPIES = 65536  # equal rows that one step writes out
+
+
 def duplicate_models(specs: DataFrame, **filters: object) -> DataFrame:
     """Q4: every row of a product field that has conflicting values within its run.
 
-    The values are folded to min and max per key before any shuffle and the few conflicting keys are joined
-    back, so a key with very many rows is never gathered in one task.
+    One aggregate with map-side combine: the values of a key are folded to count, min and max. The rows of a conflicting key are equal in
+    all columns asked for, so they are written out from the count, without a second scan or a join back; a key with very many rows is
+    first dealt over the tasks in blocks.
     """
     rows = select_where(specs, **filters).where(F.coalesce("field_code", F.lit("")) != "")
     keys = [*KEY, "field_code"]
     value = F.coalesce("normalized_value", F.lit(""))
-    conflicts = rows.groupBy(*keys).agg(F.min(value).alias("lo"), F.max(value).alias("hi")).where("lo <> hi").select(*keys)
-    return null_safe_join(rows.select(*keys), conflicts, keys, "left_semi").select(
+    conflicts = rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi")).where("lo <> hi")
+    blocks = conflicts.select(*keys, "n", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / COPIES))).alias("block")).hint("rebalance")
+    left = F.least(F.lit(COPIES), F.col("n") - F.col("block") * COPIES)
+    return blocks.withColumn("copy", F.explode(F.sequence(F.lit(1), left))).select(
         *keys, F.lit(R.DUPLICATE_MODEL).alias("issue_type"),
         _text("Model has conflicting values for field '%s'", F.col("field_code")).alias("issue_detail"),
         F.lit("P2").alias("severity"))

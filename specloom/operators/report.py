@@ -214,15 +214,21 @@ def normalize_hierarchy(listing: DataFrame) -> DataFrame:
     return listing.withColumn("mismatch", mismatch).withColumns({a: F.col(b) for a, b in pairs}).drop(*nodes)
 
 
-def run_report(summary: DataFrame, catalog: DataFrame, specs: DataFrame, issues: DataFrame) -> DataFrame:
-    """Per run and brand the entry, record and issue counts, next to the run's totals."""
+def run_report(runs: DataFrame, catalog: DataFrame, specs: DataFrame, issues: DataFrame) -> DataFrame:
+    """Per run and brand the entry, record and issue counts, next to the run's status and success rate (as in A9).
+
+    Every table is folded once, to run and brand; the totals of a run are sums over its brands, and all joins are of that size.
+    """
     keys = ["run_id", "brand"]
     parts = [df.groupBy(*keys).agg(F.count("*").alias(name))
              for df, name in ((catalog, "catalog_entries"), (specs, "spec_records"))]
     i = issues.groupBy(*keys).agg(F.count("*").alias("issues"), *[F.count_if(F.col("severity") == s).alias(s.lower()) for s in R.SEVERITIES])
     out = parts[0].join(parts[1], keys, "full_outer").join(i, keys, "full_outer")
     zero = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("catalog_entries", "spec_records", "issues", "p1", "p2", "p3")]
-    return out.select(*keys, *zero).join(summary.select("run_id", "status", "success_rate"), "run_id", "left")
+    total = lambda c: F.sum(c).over(Window.partitionBy("run_id"))
+    rate = ratio(total("catalog_entries") - total("issues"), total("catalog_entries"))
+    return out.select(*keys, *zero).withColumn("success_rate", rate).join(runs.select("run_id", "status"), "run_id", "left").select(
+        *keys, *[F.col(c) for c in ("catalog_entries", "spec_records", "issues", "p1", "p2", "p3")], "status", "success_rate")
 
 
 def quality_report(issues: DataFrame, severity: str | None = None, issue_type: str | None = None) -> DataFrame:

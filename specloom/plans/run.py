@@ -58,4 +58,4 @@ def run_once(spark: SparkSession, run_id: str, inputs: Inputs, base: str, at: Co
     stored = snapshots.read_runs(spark, base, "issues", [run_id])
     summary = report.run_summary(inputs.runs.where(mine), catalog, specs, stored, changes)
     return {"summary": summary, "issues": stored, "issue_summary": report.issue_summary(stored),
-            "coverage": report.coverage(catalog, specs), "report": report.run_report(summary, catalog, specs, stored)}
+            "coverage": report.coverage(catalog, specs), "report": report.run_report(inputs.runs.where(mine), catalog, specs, stored)}

@@ -110,11 +110,10 @@ JOIN {{part}} ON l_partkey = p_partkey
 # One node per run and (brand, type, name); products without a name level give first-level nodes. One second-level
 # node per brand is announced without products.
 VIEWS["hierarchy"] = """
-SELECT run_id, brand, series_l1, series_l2, 'listing' AS series_source, 'active' AS series_status,
-       min(first_seen_at) AS discovered_at
-FROM {catalog} AS c GROUP BY run_id, brand, series_l1, series_l2
-UNION ALL
-SELECT run_id, brand, 'PROMO', 'announced', 'listing', 'active', min(first_seen_at) FROM {catalog} AS a GROUP BY run_id, brand
+SELECT run_id, brand, CASE WHEN grouping(series_l1) = 1 THEN 'PROMO' ELSE series_l1 END AS series_l1,
+       CASE WHEN grouping(series_l1) = 1 THEN 'announced' ELSE series_l2 END AS series_l2,
+       'listing' AS series_source, 'active' AS series_status, min(first_seen_at) AS discovered_at
+FROM {catalog} AS c GROUP BY GROUPING SETS ((run_id, brand, series_l1, series_l2), (run_id, brand))
 """
 
 # One human correction per order.

@@ -133,3 +133,46 @@ def test_issue_update(spark):
                                                   F.lit("2026-01-01").cast("timestamp").alias("updated_at"))
     got = {r.issue_detail: (r.status, r.owner) for r in quality.update_issues(df, key).collect()}
     assert got == {"d1": ("done", None), "d2": ("open", "o")}
+
+
+def test_duplicates_are_written_in_blocks(spark, monkeypatch):
+    rows = [("r", "b", "s", None, "M", "aperture", v) for v in "aabbabab"] + [("r", "b", "s", None, "N", "aperture", "a")] * 9
+    specs = spark.createDataFrame(rows, "run_id string, brand string, series_l1 string, series_l2 string, product_model string, "
+                                        "field_code string, normalized_value string")
+    for step in (1, 3, 4, 8, 100):
+        monkeypatch.setattr(quality, "COPIES", step)
+        got = quality.duplicate_models(specs).collect()
+        assert len(got) == 8 and {r["product_model"] for r in got} == {"M"}
+
+
+def test_run_without_any_path_is_a_run(spark):
+    rows = [("1", "b", "s", "x"), ("2", "b", "", None), ("3", "b", "s", "x"), ("1", None, "s", "x"), (None, "b", "s", "y")]
+    h = spark.createDataFrame(rows, "run_id string, brand string, series_l1 string, series_l2 string")
+    got = sorted(tuple(r) for r in diff.hierarchy_changes(h).collect())
+    assert got == [("2", "b", "s", "", "removed"), ("2", "b", "s", "x", "removed"), ("3", "b", "s", "", "added"), ("3", "b", "s", "x", "added")]
+    assert diff.hierarchy_changes(h.limit(0)).count() == 0
+
+
+def _plan(df):
+    """Final plan without the initial one, after the query ran."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+
+
+def test_changes_shuffle_the_paths_once(spark, tmp_path):
+    rows = [(str(run), "b%d" % (i % 3), "s%d" % i, "x%d" % (i + run)) for run in range(4) for i in range(30)]
+    spark.createDataFrame(rows, "run_id string, brand string, series_l1 string, series_l2 string").write.parquet(str(tmp_path / "h"))
+    plan = _plan(diff.hierarchy_changes(spark.read.parquet(str(tmp_path / "h"))))
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan and "Window" not in plan
+
+
+def test_report_and_rules_scan_each_table_as_often_as_needed(spark, tmp_path):
+    spec = ("run_id string, brand string, series_l1 string, series_l2 string, product_model string, field_code string, raw_value string, "
+            "normalized_value string, unit string, extract_confidence double")
+    for name, schema in (("specs", spec), ("catalog", spec), ("hierarchy", spec), ("runs", "run_id string, status string")):
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
+    t = {n: spark.read.parquet(str(tmp_path / n)) for n in ("specs", "catalog", "hierarchy", "runs")}
+    scans = lambda df: df._jdf.queryExecution().sparkPlan().toString().count("FileScan")
+    assert scans(report.run_report(t["runs"], t["catalog"], t["specs"], quality.detect_spec_issues(t["specs"]))) == 4
+    assert scans(quality.all_issues(t["specs"], t["hierarchy"], t["catalog"])) == 6  # two of them are one reused exchange
+    assert scans(quality.duplicate_models(t["specs"])) == 1
