@@ -327,6 +327,49 @@ def test_only_near_copies_go(spark, copies):
     assert kept == {d for d, _ in copies if d is None or named.get(d, d) == d}
 
 
+def test_near_blocks_of_any_size(spark):
+    """Crowds whose members are partly near copies: parts and blocks of two members give the links that whole buckets give."""
+    r, rows = random.Random(8), []
+    for crowd in range(4):
+        source = words(900 + crowd, 120).split()
+        for copy in range(14):
+            changed = list(source)
+            for at in r.sample(range(120), r.choice([0, 1, 2, 3, 4, 6])):
+                changed[at] = "v%d" % r.randrange(10**6)
+            rows.append((100 * crowd + copy, " ".join(changed)))
+    rows += [(5, words(7, 30)), (5, words(8, 30)), (77, words(8, 30))]  # two texts share an id
+    sets = [(d, plain_shingles(t)) for d, t in rows]
+    want = union_find([(a, b) for (a, x), (b, y) in itertools.combinations(sets, 2) if a != b and 5 * len(x & y) >= 4 * len(x | y)])
+    assert 4 < len(set(want.values())) < len(want)
+    for star, block in ((2, 2), (2048, 256)):
+        links = near_copies.near_links(documents(spark, rows), star=star, block=block).collect()
+        assert union_find([(x["src"], x["dst"]) for x in links]) == want
+
+
+def test_links_across_blocks():
+    r = np.random.default_rng(3)
+    base = r.integers(0, 1 << 62, 300, dtype=np.uint64)
+    sets = [np.unique(np.concatenate([base[r.random(300) < 0.93], r.integers(0, 1 << 62, 8, dtype=np.uint64)])) for _ in range(30)]
+    group, side = np.array([i % 3 if i < 12 else 10 + i for i in range(30)]), np.arange(30) % 2
+    near = {(i, j): near_copies.similar(sets[i], sets[j], 0.8) for i, j in itertools.combinations(range(30), 2)}
+    assert near == {(i, j): len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j])) for i, j in near}
+    assert 0 < sum(near.values()) < len(near)
+    own = [(int(np.flatnonzero(group == g)[0]), int(i)) for g in range(3) for i in np.flatnonzero(group == g)[1:]]
+    for sides in (None, side):
+        links = near_copies.bucket_links(np.arange(30), sets, 0.8, group, sides)
+        assert all(near[i, j] and (sides is None or side[i] != side[j]) for i, j in links)
+        whole = [p for p, yes in near.items() if yes and (sides is None or side[p[0]] != side[p[1]])]
+        assert union_find(own + links) == union_find(own + whole)
+
+
+def test_crowd_of_near_copies(spark):
+    source = words(77, 80).split()
+    texts = [" ".join(source[:i % 80] + ["c%d" % i] + source[i % 80 + 1:]) for i in range(4000)]
+    links = near_copies.near_links(documents(spark, list(enumerate(texts))), star=64, block=16)
+    found = union_find([(x["src"], x["dst"]) for x in links.collect()])
+    assert set(found) == set(range(4000)) and set(found.values()) == {0}
+
+
 def test_gray_index_prunes_whole_groups():
     codes = np.array([random.Random(i).getrandbits(64) for i in range(2000)], dtype=np.uint64)
     index = simhash.GrayIndex(codes)
