@@ -219,6 +219,40 @@ def test_banded_alignment_is_the_longest_common_subsequence():
         assert licenses.align(template, text, 0, band=20)[0] == lcs[-1][-1]
 
 
+def test_licenses_are_told_apart(spark):
+    given = ["Released under the BSD License", "Released under an MIT License", "Licensed under the GNU General Public License, version 3",
+             "Licensed under the GNU Affero General Public License, version 3", "licensed under CC BY 4.0", "licensed under CC BY-SA 4.0",
+             "This work is licensed under the GNU General Public License, version 2", "Licensed under the Apache License, Version 1.1",
+             "Released under the Foo License", "mit " * 400, "License " * 3000,
+             "Permission is hereby granted, free of charge, to any person now or later obtaining in any way a copy of this software and associated "
+             "documentation files (the \"Software\"), to deal in the Software without restriction"]
+    got = {r["doc_id"]: (r["license"], r["coverage"]) for r in licenses.scan(documents(spark, list(enumerate(given)))).collect()}
+    assert got == {0: ("BSD-line", 1.0), 1: ("MIT", 0.8), 3: ("AGPL-3.0", 1.0), 4: ("CC-BY-4.0", 1.0), 5: ("CC-BY-SA-4.0", 1.0),
+                   6: ("GPL-2.0-line", 1.0), 11: ("MIT-grant", 1.0)}
+    index = licenses.LicenseIndex(licenses.TEMPLATES)
+    for name, text in licenses.TEMPLATES.items():
+        assert [m[:2] for m in licenses.find(text, index)] == [(name, 1.0)], name
+
+
+def test_no_license_match_is_lost():
+    """Every template, changed as far as the coverage and the band allow, against an alignment with the whole text."""
+    r, index = random.Random(3), licenses.LicenseIndex(licenses.TEMPLATES)
+    for name, t in index.templates.items():
+        for _ in range(40):
+            text = list(t.words)
+            free = [i for i, w in enumerate(text) if w not in t.telling]
+            for i in r.sample(free, min(len(free), r.randint(0, t.missing))):
+                text[i] = r.choice([None, "x%d" % i])
+            text = [w for w in text if w]
+            for _ in range(r.randint(0, t.band - t.missing) if t.band > t.missing else 0):
+                text.insert(r.randint(1, len(text) - 1), "y")
+            words_ = ["z"] * r.randint(0, 40) + text + ["z"] * r.randint(0, 40)
+            whole = licenses.align(t.words, words_, 0, len(words_) + len(t.words))[0]
+            assert whole >= t.wanted
+            found = licenses.find(" ".join(words_), index)
+            assert any(n == name or round(c * len(index.templates[n].words)) >= whole for n, c, _, _ in found), (name, words_)
+
+
 # 4: chat ------------------------------------------------------------------------------------------------------------------
 
 def test_chat_round_trip(spark):
