@@ -166,7 +166,7 @@ def newest_raw(pages: DataFrame, version: str | None = None) -> DataFrame:
     order = F.struct(*([F.col(version).alias("version")] if version else []), F.xxhash64("html").alias("digest"))
     copies = pages.withColumn("_copy", order)
     newest = copies.groupBy("url").agg(F.max("_copy").alias("_copy"))
-    raw = extract_raw(copies, ["url", "_copy"]).join(newest, ["url", "_copy"], "left_semi").drop("_copy")
+    raw = extract_raw(copies, ["url", "_copy"]).join(newest.hint("merge"), ["url", "_copy"], "left_semi").drop("_copy")
     return raw.dropDuplicates(["url", "field_code"])  # rows of equal copies are equal
 
 
@@ -176,11 +176,13 @@ def extract_specs(catalog: DataFrame, pages: DataFrame, strict_units: bool = Fal
 
     Pages are reduced to raw values and normalized before the join, once per page and field and not once per run, locale
     and product; the join moves values and never HTML. Of several copies of a url one counts (``newest_raw``).
+    Joins with pages are merge joins: sizes are estimated from the files of the pages, and what a page gives is far larger
+    than such an estimate, so a broadcast of it would pass all values through the driver.
     """
     raw = normalize_specs(newest_raw(pages, version), strict_units)
     c = catalog.select("run_id", "brand", F.coalesce("series_l1", F.lit("")).alias("series_l1"),
                        F.coalesce("series_l2", F.lit("")).alias("series_l2"), "product_model", "product_url")
-    rows = c.join(raw, c.product_url == raw.url)
+    rows = c.join(raw.hint("merge"), c.product_url == raw.url)
     specs = rows.select(
         "run_id", "brand", "series_l1", "series_l2", "product_model", "field_code",
         R.field_name(F.col("field_code")).alias("field_name"), "raw_value",
@@ -191,14 +193,14 @@ def extract_specs(catalog: DataFrame, pages: DataFrame, strict_units: bool = Fal
 
 def missing_pages(catalog: DataFrame, pages: DataFrame) -> DataFrame:
     """Catalog entries whose page was not stored."""
-    return catalog.join(pages.select(F.col("url").alias("product_url")), "product_url", "left_anti")
+    return catalog.join(pages.select(F.col("url").alias("product_url")).hint("merge"), "product_url", "left_anti")
 
 
 def extraction_counts(catalog: DataFrame, pages: DataFrame, specs: DataFrame) -> DataFrame:
     """A15 by run: products processed, specs, average specs per product, failures."""
     stored = pages.select(F.col("url").alias("product_url"), F.lit(1).alias("stored"))
     # one stored page per url: group before the join so that repeated pages do not repeat products
-    products = catalog.join(stored.groupBy("product_url").agg(F.max("stored").alias("stored")), "product_url", "left")
+    products = catalog.join(stored.groupBy("product_url").agg(F.max("stored").alias("stored")).hint("merge"), "product_url", "left")
     done = products.groupBy("run_id").agg(F.count("stored").alias("products_processed"),
                                           (F.count("*") - F.count("stored")).alias("extraction_failures"))
     found_specs = specs.groupBy("run_id").agg(F.count("*").alias("specs_extracted"))

@@ -231,3 +231,15 @@ def test_run_delivered_again_counts_once(spark, tmp_path):
         stream = spark.readStream.schema(cols).parquet(source)
         streams.issue_counts_stream(stream, target, state).awaitTermination()
     assert {(r.run_id, r.issue_type): r.n for r in streams.issue_counts(spark, target).collect()} == {("r1", "missing_field"): 3}
+
+
+def test_page_values_are_never_broadcast(spark, sf_dir):
+    """What pages give is far larger than their files, so an estimate from these must not send it through the driver."""
+    from specloom.checks.base import Tables
+    from specloom.operators import extract
+    t = Tables(spark, sf_dir)
+    counts = extract.extraction_counts(t.catalog, t.product_pages, extract.extract_specs(t.catalog, t.product_pages))
+    for df in (counts, extract.missing_pages(t.catalog, t.product_pages)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join" in line and ("url" in line)]
+        assert joins and all("strategy=merge" in line for line in joins), joins
