@@ -1,4 +1,4 @@
-"""Exact distinct counts that merge over runs (A2, A3, A5, A12): one bitmap per run and group over a stored key dictionary.
+"""Exact distinct counts that merge over runs (A2, A3, A5, A12): a bitmap per run and group over a stored key dictionary.
 
 A count of distinct keys can't be added up over runs, a bitmap of key numbers can be united. Each run leaves bitmaps of what it holds; counts
 over any set of runs, at any level of the group, come from those alone, without reading a row of the runs again.
@@ -20,9 +20,11 @@ SHARDS = 64
 class DistinctCounts:
     """Bitmaps of ``key`` per run and ``group`` in a folder. One writer at a time; a step that fails may be run again.
 
-    ``keys/`` numbers every key once. Numbers are dense, since bitmaps cost by the range they cover (4 KB for 32,768 numbers): a key
+    ``keys/`` numbers every key once. Numbers are dense, so that keys share words: a key
     falls into one of 64 shards by its hash and is ranked there, so no step sorts all keys in one task. ``runs/`` has
-    a partition per run with ``group, bucket, bits``. A NULL key is no value, but its group is kept with a count of zero. NULL is a group like
+    a partition per run with ``group, bucket, bits``: the words of 64 bits that have a bit set. So a bitmap never has more rows than keys, and
+    aggregates hold numbers and no buffers; blocks of fixed size would be nearly empty for small groups, and what compresses well in a
+    shuffle fills the memory of the task that reads it. A NULL key is no value, but its group is kept with a count of zero. NULL is a group like
     any other.
     """
 
@@ -55,28 +57,29 @@ class DistinctCounts:
         """
         few = rows.select("run_id", *self.group, F.col(self.key).alias("key")).distinct()
         numbers = self._number(few.withColumnRenamed("key", self.key))
-        bits = few.join(numbers, "key", "left").groupBy("run_id", *self.group, F.bitmap_bucket_number("key_no").alias("bucket")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position("key_no")).alias("bits"))
+        place = F.col("key_no") - 1
+        bits = few.join(numbers, "key", "left").groupBy("run_id", *self.group, F.shiftright(place, 6).alias("bucket")).agg(
+            F.coalesce(F.bit_or(F.expr("shiftleft(1L, cast((key_no - 1) & 63 AS int))")), F.lit(0).cast("long")).alias("bits"))
         snapshots.write_partitions(bits, self.base, "runs", replaces)
 
     def merged(self, run_ids: Sequence[str] | None = None) -> DataFrame:
         """``group, bucket, bits`` over all runs or the given ones. The run predicate prunes folders."""
         stored = self._stored("runs")
         rows = stored if run_ids is None else stored.where(F.col("run_id").isin(*run_ids))
-        return rows.groupBy(*self.group, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+        return rows.groupBy(*self.group, "bucket").agg(F.bit_or("bits").alias("bits"))
 
     def counts(self, name: str, levels: Sequence[Sequence[str]] | None = None, run_ids: Sequence[str] | None = None) -> DataFrame:
         """``group, level, name``: distinct keys per level, ``level`` being the number of its columns. Default: every prefix of the group.
 
-        Bitmaps are united per level and bucket, with partial results before the shuffle; only their counts are added up. The level
+        Words are united per level and bucket, with partial results before the shuffle; only their counts are added up. The level
         without columns has a row also if nothing is stored for the runs.
         """
         sets = [list(s) for s in (levels if levels is not None else [self.group[:n] for n in range(len(self.group), -1, -1)])]
         out = None
         merged = self.merged(run_ids)
         for s in sets:
-            part = merged.groupBy(*s, "bucket").agg(F.bitmap_or_agg("bits").alias("bits")).groupBy(*s).agg(
-                F.coalesce(F.sum(F.bitmap_count("bits")), F.lit(0)).alias(name))
+            part = merged.groupBy(*s, "bucket").agg(F.bit_or("bits").alias("bits")).groupBy(*s).agg(
+                F.coalesce(F.sum(F.bit_count("bits").cast("long")), F.lit(0)).alias(name))
             part = part.select(*[F.col(c) if c in s else F.lit(None).cast(merged.schema[c].dataType).alias(c) for c in self.group],
                                F.lit(len(s)).alias("level"), name)
             out = part if out is None else out.unionByName(part)

@@ -64,3 +64,14 @@ def test_counts_read_no_runs(spark, tmp_path):
     plan = store.counts("n", [["brand"]], [list(RUNS)[0]])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(run_id" in text and "/keys" not in text
+
+
+def test_small_groups_have_small_bitmaps(spark, tmp_path):
+    """A group of few keys among many costs no more than its rows, and no aggregate sorts buffers (A2, A5)."""
+    store = DistinctCounts(spark, str(tmp_path), "k", ["g"])
+    store.add(spark.range(40_000).select(F.lit("20240101_m").alias("run_id"), (F.col("id") % 20_000).cast("string").alias("g"), F.col("id").cast("string").alias("k")))
+    merged = store.merged()
+    assert merged.count() == 40_000 - merged.where("bit_count(bits) > 1").count() and str(merged.schema["bits"].dataType) == "LongType()"
+    got = store.counts("n", [["g"], []])
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {(r["level"], r["n"]) for r in got.collect()} == {(1, 2), (0, 40_000)}
