@@ -1,15 +1,15 @@
 """Personal data and the terms that give it away (operator 6). DataFrame functions only.
 
-Base spans come from patterns. Around each, the words of its context are terms that may disclose the entity. Corpus
+Base spans come from patterns. All words of a text outside its base spans are terms that may disclose its entities. Corpus
 statistics say how strongly: with document frequencies, ``PMI(e; t) = log2(N df(e, t) / (df(e) df(t)))`` is what a term
 tells about an entity and ``IC(e) = log2(N / df(e))`` is all there is to tell. A term whose share ``PMI / IC`` exceeds the
-threshold is sanitised wherever it stands in the context of that entity: generalised to its class, or removed
+threshold is sanitised wherever it stands in a text with that entity: generalised to its class, or removed
 when it tells nearly everything.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from specloom.llm.common import materialize, text_or_empty
 
@@ -24,8 +24,12 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 NEEDS = {"email": "@", "phone": "+", "ip": ".", "card": None}
-CONTEXT = 48  # code points on each side of a base span in which terms are looked for
+CONTEXT = 1 << 31  # code points on each side of a base span in which terms stand: more than a text has, so all its words count
 TERM = r"\p{L}{3,}"
+# base spans are hidden before words are looked for: letters by one mark, all else by another, so that places stay and a word that
+# runs into a span is none
+LETTER, OTHER = "\ue000", "\ue001"
+WORD = rf"(?<![\p{{L}}{LETTER}])\p{{L}}{{3,}}+(?![\p{{L}}{LETTER}])"
 SUPPORT = 3  # different texts in which entity and term must stand together
 THRESHOLD = 0.8  # share of the entity's information from which a term is generalised
 REMOVE = 0.95  # share from which it is removed
@@ -92,70 +96,89 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*parts))
 
 
-def _context(text: Column, spans: Column, context: int) -> Column:
-    """``array<struct<entity, term, start, end>>``: whole words near each base span that lie in no base span."""
-    def side(begin, end, entity):
-        window = F.substring(text, begin + 1, end - begin)
-        return F.transform(
-            F.filter(matches(window, TERM), lambda m: ((m["start"] > 0) | (begin == 0)) & ((m["end"] < end - begin) | (end >= F.length(text)))),
-            lambda m: F.struct(entity.alias("entity"), F.lower(m["value"]).alias("term"), (m["start"] + begin).alias("start"),
-                               (m["end"] + begin).alias("end")))
-    none = F.lit(0).cast("bigint")
-    words = F.flatten(F.transform(spans, lambda s: F.concat(
-        side(F.greatest(none, s["start"] - context), s["start"], s["entity"]),
-        side(s["end"], F.least(s["end"] + context, F.length(text).cast("bigint")), s["entity"]))))
-    return F.filter(words, lambda w: ~F.exists(spans, lambda s: (w["start"] < s["end"]) & (s["start"] < w["end"])))
+def _hidden(text: Column, spans: Column) -> Column:
+    """The text with its base spans hidden behind marks, length and places unchanged."""
+    kind = "struct<at:bigint,out:array<string>>"
+    plain = F.translate(text, LETTER, OTHER)
+    hide = lambda v: F.regexp_replace(F.regexp_replace(v, r"\p{L}", LETTER), f"[^{LETTER}]", OTHER)
 
+    def step(acc, s):
+        begin = F.greatest(s["start"], acc["at"])
+        parts = F.array(F.substring(plain, acc["at"] + 1, begin - acc["at"]), hide(F.substring(plain, begin + 1, s["end"] - begin)))
+        return F.when(s["end"] > acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["out"], parts).alias("out")).cast(kind)).otherwise(acc)
+    return F.aggregate(spans, F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast("array<string>").alias("out")).cast(kind), step,
+                       lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(plain, acc["at"] + 1, F.length(plain))))
 
-def find_base(docs: DataFrame, context: int = CONTEXT) -> DataFrame:
-    """``doc_id, digest, spans, terms`` per row; ``digest`` (of the text) only where there are spans."""
+
+def find_base(docs: DataFrame) -> DataFrame:
+    """``doc_id, digest, spans, hidden`` per row; ``digest`` (of the text) and the text with hidden spans only where there are spans."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     rows = rows.select("doc_id", "text", base_spans(F.col("text")).alias("spans"))
     some = F.size("spans") > 0
     return rows.select("doc_id", F.when(some, F.sha2(F.col("text").cast("binary"), 256)).alias("digest"), "spans",
-                       F.when(some, _context(F.col("text"), F.col("spans"), context)).alias("terms"))
+                       F.when(some, _hidden(F.col("text"), F.col("spans"))).alias("hidden"))
+
+
+def _texts(base: DataFrame) -> DataFrame:
+    """``digest, n, entities, hidden``: the different texts with base spans and the number of their copies."""
+    entities = F.array_distinct(F.transform("spans", lambda s: s["entity"]))
+    return base.where("digest is not null").groupBy("digest").agg(
+        F.count("*").alias("n"), F.first(entities).alias("entities"), F.first("hidden").alias("hidden"))  # copies have equal ones
 
 
 def disclosing(base: DataFrame, docs: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD) -> DataFrame:
-    """``entity, term, share``: the terms that exceed the threshold, from the statistics of the whole corpus."""
-    owned = base.where("digest is not null")
-    pairs = (owned.select("digest", F.explode(F.array_distinct(F.transform("terms", lambda t: F.struct(t["entity"], t["term"])))).alias("p"))
-             .select("digest", "p.entity", "p.term"))
-    # copies of one text count in the frequencies, as they do in df(t), but one text alone supports nothing
-    pairs = pairs.groupBy("digest", "entity", "term").agg(F.count("*").alias("n"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("n").alias("both"), F.count("*").alias("texts")).where(F.col("texts") >= support)
+    """``entity, term, share``: the terms that exceed the threshold, from the statistics of the whole corpus.
+
+    Copies of one text count in the frequencies, as they do in df(t), but one text alone supports nothing: an entity in fewer texts
+    than ``support`` has no pair, so only the others meet the words of their texts.
+    """
+    texts = _texts(base)
+    held = texts.select("digest", "n", F.explode("entities").alias("entity"))
+    entities = held.groupBy("entity").agg(F.sum("n").alias("df_entity"), F.count("*").alias("texts"))
+    common = held.join(entities.where(F.col("texts") >= support).select("entity"), "entity", "left_semi").groupBy("digest").agg(
+        F.collect_list("entity").alias("common"))
+    words = texts.join(common, "digest").select("n", "common", F.explode(F.array_distinct(F.transform(
+        F.regexp_extract_all("hidden", F.lit(WORD), F.lit(0)), F.lower))).alias("term"))
+    pairs = words.select("n", "term", F.explode("common").alias("entity")).groupBy("entity", "term").agg(
+        F.sum("n").alias("both"), F.count("*").alias("texts")).where(F.col("texts") >= support)
     pairs = materialize(pairs.select("entity", "term", "both"))
-    entities = owned.select(F.explode(F.array_distinct(F.transform("spans", lambda s: s["entity"]))).alias("entity")).groupBy("entity").agg(
-        F.count("*").alias("df_entity"))
     words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text_or_empty()), F.lit(TERM), F.lit(0)))).alias("term"))
     # counted before the join: a term that stands nearly everywhere is one row per task then
     df = words.groupBy("term").agg(F.count("*").alias("df_term")).join(pairs.select("term").distinct(), "term", "left_semi")
     n = F.lit(float(base.count()))
     information = F.log2(n / F.col("df_entity"))
     told = F.log2(n * F.col("both") / (F.col("df_entity") * F.col("df_term")))
-    return (pairs.join(df, "term").join(entities, "entity").where(information > 0)
+    return (pairs.join(df, "term").join(entities.drop("texts"), "entity").where(information > 0)
             .select("entity", "term", (told / information).alias("share")).where(F.col("share") >= threshold))
 
 
 def term_spans(base: DataFrame, terms: DataFrame, remove: float = REMOVE) -> DataFrame:
-    """``digest, term_spans``: disclosing terms by text, as ``array<struct<start, end, removed>>``."""
-    texts = base.where("digest is not null").groupBy("digest").agg(F.first("terms").alias("terms"))  # copies have equal terms
-    rows = texts.select("digest", F.explode("terms").alias("t")).select("digest", "t.*")
-    return (rows.join(terms, ["entity", "term"]).groupBy("digest", "start", "end").agg(F.max("share").alias("share"))
-            .groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("start", "end", (F.col("share") >= remove).alias("removed")))).alias("term_spans")))
+    """``digest, term_spans``: every place of a disclosing term in a text with its entity, as ``array<struct<start, end, removed>>``."""
+    texts = _texts(base)
+    wanted = texts.select("digest", F.explode("entities").alias("entity")).join(terms, "entity").groupBy("digest", "term").agg(
+        (F.max("share") >= remove).alias("removed"))
+    found = F.regexp_extract_all("hidden", F.lit(WORD), F.lit(0))
+    gaps = F.transform(F.split("hidden", WORD, -1), F.length)
+    words = texts.join(wanted.select("digest").distinct(), "digest", "left_semi").select("digest", F.posexplode(F.arrays_zip(
+        found.alias("value"), F.slice(gaps, 1, F.size(found)).alias("gap")))).select("digest", "pos", "col.value", "col.gap")
+    so_far = Window.partitionBy("digest").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)  # the words of one text
+    end = F.sum(F.col("gap") + F.length("value")).over(so_far)
+    places = words.withColumn("end", end).select("digest", F.lower("value").alias("term"), (F.col("end") - F.length("value")).alias("start"), "end")
+    return places.join(wanted, ["digest", "term"]).groupBy("digest").agg(
+        F.array_sort(F.collect_list(F.struct("start", "end", "removed"))).alias("term_spans"))
 
 
 def _joined(spans: Column) -> Column:
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
 
 
-def find(docs: DataFrame, context: int = CONTEXT, support: int = SUPPORT, threshold: float = THRESHOLD, remove: float = REMOVE) -> DataFrame:
+def find(docs: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD, remove: float = REMOVE) -> DataFrame:
     """Spans of personal data and disclosing terms per row of ``docs`` (``doc_id, text``; other columns ignored).
 
     ``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_term``. ``spans`` adds ``term:start:end`` to the base spans. Null and
     empty texts have no spans; rows with null or repeated ``doc_id`` are read each on its own. An empty table gives no rows.
     """
-    base = materialize(find_base(docs, context))
+    base = materialize(find_base(docs))
     extra = term_spans(base, disclosing(base, docs, support, threshold), remove)
     columns = ["doc_id", "spans"]
     bare = base.where("digest is null").select(*columns, F.array().cast("array<struct<start:bigint,end:bigint,removed:boolean>>").alias("term_spans"))
@@ -193,12 +216,12 @@ def _end_before(merged: Column, i: Column) -> Column:
     return F.when(i > 0, F.element_at(merged, F.greatest(i, F.lit(1)))["end"]).otherwise(F.lit(0).cast("bigint"))
 
 
-def sanitise(docs: DataFrame, context: int = CONTEXT, support: int = SUPPORT, threshold: float = THRESHOLD, remove: float = REMOVE) -> DataFrame:
+def sanitise(docs: DataFrame, support: int = SUPPORT, threshold: float = THRESHOLD, remove: float = REMOVE) -> DataFrame:
     """``docs`` with personal data and disclosing terms taken out of ``text``; all rows and columns stay.
 
     Texts without base spans (null ones too) come back as they are.
     """
-    base = materialize(find_base(docs, context))
+    base = materialize(find_base(docs))
     extra = term_spans(base, disclosing(base, docs, support, threshold), remove)
     rows = docs.select(F.struct(*docs.columns).alias("row"), text_or_empty().alias("text")).withColumn("spans", base_spans(F.col("text")))
     clean = rows.where(F.size("spans") == 0).select("row.*")
