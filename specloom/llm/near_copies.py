@@ -3,7 +3,7 @@
 Two texts are linked if the Jaccard similarity of their sets of five-word shingles is at least 0.8. Candidates meet in
 bands of min-hashes: rows of a band agree with chance ``similarity ** ROWS``, so a pair at 0.8 shares none of the
 bands with chance 2.5e-7, one that is more similar with less. (A 64-bit SimHash of such a pair differs in ten bits on average:
-no distance an index can hold finds nearly all.) Each candidate pair is then compared by the whole
+no distance an index can hold finds nearly all. What the index of fingerprints finds comes as buckets of its own.) Each candidate pair is then compared by the whole
 sets, in two steps that never hold a bucket as a whole:
 
 1. Each member of a bucket meets the bucket's smallest id. Over all buckets these pairs are made distinct, so near copies that share
@@ -162,11 +162,13 @@ def _block_batches(shingle: int, similarity: float):
     return run
 
 
-def near_links(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, star: int = STAR, block: int = BLOCK) -> DataFrame:
+def near_links(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, star: int = STAR, block: int = BLOCK,
+               buckets: DataFrame | None = None) -> DataFrame:
     """``src, dst``: links that connect just the ids of texts whose shingle sets are similar enough (``doc_id, text``).
 
     Texts without words are equal. Rows with a null ``doc_id`` link with nothing; rows of one ``doc_id`` count as linked. An empty
-    table gives no rows. ``star`` and ``block`` bound what a task holds and change no result.
+    table gives no rows. ``star`` and ``block`` bound what a task holds and change no result. ``buckets`` (``node_id, key``) are candidates
+    found elsewhere, as those of the fingerprint index; their members are compared like those of a band.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).where("doc_id is not null")
     marks = materialize(rows.mapInArrow(_mark_batches(shingle), "doc_id long, digest binary, size long, keys array<long>"))
@@ -174,7 +176,11 @@ def near_links(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMI
     copies = marks.select("doc_id", "digest").join(nodes.where("copies > 1"), "digest").where("doc_id > node_id").select(
         F.col("doc_id").alias("src"), F.col("node_id").alias("dst"))
     first = marks.join(nodes.withColumnRenamed("node_id", "doc_id").select("digest", "doc_id"), ["digest", "doc_id"]).select("doc_id", "size", "keys")
-    bands = materialize(first.distinct().select(F.col("doc_id").alias("node_id"), "size", F.explode("keys").alias("key")))
+    bands = first.distinct().select(F.col("doc_id").alias("node_id"), "size", F.explode("keys").alias("key"))
+    if buckets is not None:
+        sizes = first.where("size > 0").select(F.col("doc_id").alias("node_id"), "size").distinct()
+        bands = bands.unionByName(sizes.join(buckets.distinct(), "node_id").select("node_id", "size", "key"))
+    bands = materialize(bands)
     lows = bands.groupBy("key").agg(F.min("node_id").alias("low"), F.max("node_id").alias("high")).where("low < high").select("key", "low")
     members = materialize(bands.join(lows, "key").where("node_id > low"))
     texts = rows.withColumnRenamed("doc_id", "node_id")

@@ -361,6 +361,19 @@ def test_only_near_copies_go(spark, copies):
     assert kept == {d for d, _ in copies if d is None or named.get(d, d) == d}
 
 
+def test_near_copies_meet_in_the_fingerprint_index(spark, copies, monkeypatch):
+    """The groups of the index are compared: without any band, near copies it links go, and nothing else does."""
+    marks = {d: simhash.fingerprint(t or "", 5) for d, t in copies if d is not None and plain_shingles(t)}
+    named = union_find([(a, b) for a, b in itertools.combinations(sorted(marks), 2) if (marks[a] ^ marks[b]).bit_count() <= simhash.NEAR_DISTANCE])
+    groups: dict = {}
+    for r in simhash.near_buckets(documents(spark, [x for x in copies if x[0] in marks])).collect():
+        groups.setdefault(r["key"], set()).add(r["node_id"])
+    assert sorted(map(sorted, groups.values())) == sorted(sorted(d for d in named if named[d] == c) for c in set(named.values()))
+    seen = []
+    monkeypatch.setattr(simhash, "near_links", lambda docs, buckets: seen.append(buckets.count()) or near_copies.near_links(docs, buckets=buckets))
+    assert simhash.keep_one(documents(spark, copies)).count() and seen[0] > 50
+
+
 def test_near_blocks_of_any_size(spark):
     """Crowds whose members are partly near copies: parts and blocks of two members give the links that whole buckets give."""
     r, rows = random.Random(8), []
@@ -502,6 +515,21 @@ def test_pii_terms_and_sanitising(spark):
     assert "[IP]" in text[10]
 
 
+def test_pii_terms_stand_anywhere_in_the_text(spark):
+    """Terms far from the entity disclose it as well, and each of their places is sanitised; words that run into a span are none."""
+    rows = [(i, f"Zacharias {words(300 + i, 60)} é😀 mail z@mail.example\n {words(400 + i, 60)} ZACHARIAS and abcßz@mail.example") for i in range(4)]
+    rows += [(10 + i, words(600 + i, 30)) for i in range(30)]
+    want = plain_terms(rows)
+    assert ("email:z@mail.example", "zacharias") in want
+    docs = documents(spark, rows)
+    assert {(r["entity"], r["term"]) for r in pii.disclosing(pii.find_base(docs), docs).collect()} == set(want)
+    found = {r["doc_id"]: r["spans"].split(",") for r in rows_of(pii.find(docs))}
+    for i, text in rows[:4]:
+        at = [m.span() for m in re.finditer("(?i)zacharias", text)]
+        assert len(at) == 2 and all(f"term:{s}:{e}" in found[i] for s, e in at)
+    assert not any("zacharias" in r["text"].lower() for r in pii.sanitise(docs).collect())
+
+
 def test_pii_plan_is_native(spark):
     plan = pii.sanitise(documents(spark, [(1, "a@b.c")]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
