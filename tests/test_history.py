@@ -92,3 +92,17 @@ def test_empty_histories(spark, tmp_path):
     history.add(H.hierarchy_paths(nodes(spark, 1).where("false")).drop("run_id"), RUNS[0])
     history.add(H.hierarchy_paths(nodes(spark, 1, RUNS[:1])).drop("run_id"), RUNS[0])
     assert history.changes().count() == 0 and history.intervals().where(F.col("to_run") != H.OPEN).count() == 0
+
+
+def test_steps_of_the_checks_read_stored_values(spark, sf_dir, monkeypatch):
+    """The tables are read once for the values of all runs, not again by each step."""
+    from specloom.checks import history as checks
+    from specloom.checks.base import Tables
+    from specloom.sources import history as H
+    seen = []
+    monkeypatch.setattr(H.History, "load", lambda self, rows: seen.append(rows))
+    monkeypatch.setattr(H.History, "add", lambda self, rows, run_id: seen.append(rows))
+    t = Tables(spark, sf_dir)
+    checks.kept_up(t, t.hierarchy, H.HIERARCHY_PATHS, H.hierarchy_paths)
+    assert len(seen) == 4 and not any("lineitem" in f for rows in seen for f in rows.inputFiles())
+    assert all(rows.count() for rows in seen)
