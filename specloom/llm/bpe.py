@@ -1,8 +1,8 @@
 """Byte-level BPE encoding and decoding with recursive queries (operator 7).
 
 Each Python worker has a DuckDB database in memory with the merge table (left id, right id, merged id = rank). Words not met
-before become token-position rows; a recursive query joins neighbours with the merge table and contracts each word's
-leftmost pair of least rank until none is left. Decoding joins ids with the vocabulary and concatenates the bytes by
+before become token-position rows, each with its neighbour; a recursive query joins them with the merge table and contracts
+each word's leftmost pair of least rank until none is left. Decoding joins ids with the vocabulary and concatenates the bytes by
 ordered aggregation. Spark deals out the documents; nothing is shuffled.
 """
 
@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from specloom.llm.common import WordCache, text_or_empty, tokenizer_file
@@ -27,17 +28,18 @@ WORDS = 50_000  # words per recursive query
 PART = 1 << 22  # characters of texts coded at once
 
 ENCODE = """
-WITH RECURSIVE state(step, word, pos, token) AS (
-  SELECT 0, word, pos, token FROM start
+WITH RECURSIVE state(step, word, pos, token, next_pos, next_token) AS (
+  SELECT 0, word, pos, token, lead(pos) OVER w, lead(token) OVER w FROM start WINDOW w AS (PARTITION BY word ORDER BY pos)
   UNION ALL
-  (WITH pair AS MATERIALIZED (
-     SELECT step, word, pos, token, lead(token) OVER w AS next_token, lead(pos) OVER w AS next_pos
-     FROM state WINDOW w AS (PARTITION BY word ORDER BY pos)),
-   best AS MATERIALIZED (
+  (WITH best AS MATERIALIZED (
      SELECT word, min((merged::BIGINT << 32) | (pos << 16) | next_pos) AS pick
-     FROM pair JOIN merges ON token = left_id AND next_token = right_id GROUP BY word)
-   SELECT step + 1, word, pos, CASE WHEN pos = (pick >> 16) & 65535 THEN (pick >> 32)::INTEGER ELSE token END
-   FROM pair JOIN best USING (word) WHERE pos <> pick & 65535))
+     FROM state JOIN merges ON token = left_id AND next_token = right_id GROUP BY word),
+   gone AS MATERIALIZED (
+     SELECT word, (pick >> 32)::INTEGER AS merged, ((pick >> 16) & 65535)::INTEGER AS spot, pos AS dropped, next_pos AS far_pos, next_token AS far_token
+     FROM state JOIN best USING (word) WHERE pos = pick & 65535)
+   SELECT step + 1, word, pos, CASE WHEN pos = spot THEN merged ELSE token END, CASE WHEN pos = spot THEN far_pos ELSE next_pos END,
+     CASE WHEN pos = spot THEN far_token WHEN next_pos = spot THEN merged ELSE next_token END
+   FROM state JOIN gone USING (word) WHERE pos <> dropped))
 SELECT word, token
 FROM state JOIN (SELECT word, max(step) AS step FROM state GROUP BY word) USING (word, step)
 ORDER BY word, pos"""
@@ -62,6 +64,7 @@ class RecursiveBpe:
         self.ranks = load_ranks(file)
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         self.other_space = re.compile(r"[\t\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+        self.cut = re.compile(rf"(?<=[^ \n{self.other_space.pattern[1:-1]}]) ")
         self.plain = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+[.,]?").fullmatch  # a word of Latin letters, also with a stop behind
         self.bytes_id = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB"})
@@ -132,47 +135,50 @@ class RecursiveBpe:
 
     def encode_spans(self, spans: list[str]) -> list[bytes]:
         """Ids (little-endian 32 bit) of spans that begin and end where a match of the pattern does."""
-        split = []
-        for s in spans:  # most are one word, or a word and a stop, and those are matches of the pattern
-            if not self.plain(s):
-                split.append(self.pattern.findall(s))
-            else:
-                split.append((s[:-1], s[-1]) if s[-1] in ".," else (s,))
+        # most are one word, or a word and a stop, and those are matches of the pattern
+        split = [self.pattern.findall(s) if not self.plain(s) else (s[:-1], s[-1]) if s[-1] in ".," else (s,) for s in spans]
         self.words.ensure([[w for s in split for w in s]])
         known = self.words.young
-        return [known[s[0]] if len(s) == 1 else b"".join(map(known.__getitem__, s)) for s in split]
+        return [known[s[0]] if len(s) == 1 else known[s[0]] + known[s[1]] if len(s) == 2 else b"".join(map(known.__getitem__, s)) for s in split]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of whole texts. Where no space stands beside other white space, a match begins at each space, so the spans
-        between spaces are encoded apart and kept."""
-        heads, tails, odd = [], [], []
-        for text in texts:
-            if "  " in text or " \n" in text or "\n " in text or self.other_space.search(text):
-                odd.append(text)
-                heads.append(None)
-                tails.append(())
-            else:
-                head, *tail = text.split(" ")
-                heads.append(head)
-                tails.append(tail)
-        self.first.ensure([[h for h in heads if h is not None]])
-        self.later.ensure(tails)
-        rest = iter(self.encode_spans(odd))
-        return [next(rest) if h is None else b"".join(self.first.take([h])) + b"".join(self.later.take(t)) for h, t in zip(heads, tails)]
+        """Ids of whole texts. A match begins at each space behind a character that is no white space, so the spans between
+        such spaces are encoded apart and kept. A span that stands more than once is looked up once."""
+        plain, odd, order = [], [], np.empty(len(texts), dtype=np.int64)
+        for i, text in enumerate(texts):
+            mine = odd if "  " in text or " \n" in text or "\n " in text or self.other_space.search(text) else plain
+            order[i] = len(mine) if mine is plain else -1 - len(mine)
+            mine.append(text)
+        order = np.where(order < 0, len(plain) - 1 - order, order)
+        lists = pc.split_pattern(pa.array(plain, pa.large_string()), " ")
+        split = [self.cut.split(text) for text in odd]
+        spans = pa.concat_arrays([lists.flatten(), pa.array([w for s in split for w in s], pa.large_string())]).dictionary_encode()
+        starts = np.concatenate([[0], np.cumsum([*pc.list_value_length(lists).to_numpy(zero_copy_only=False), *map(len, split)])]).astype(np.int64)
+        which, head = spans.indices.to_numpy(), np.zeros(len(spans), dtype=bool)
+        head[starts[:-1]] = True
+        slots, coded = np.zeros((2, len(spans.dictionary)), dtype=np.int64), []
+        for slot, mask, cache in zip(slots, (head, ~head), (self.first, self.later)):
+            wanted = np.flatnonzero(np.bincount(which[mask], minlength=len(slot)))
+            slot[wanted] = np.arange(len(coded), len(coded) + len(wanted))
+            coded += cache.values(spans.dictionary.take(pa.array(wanted)).to_numpy(zero_copy_only=False).tolist())
+        ids = pa.array(coded, pa.large_binary()).take(pa.array(np.where(head, slots[0, which], slots[1, which])))
+        out = joined(ids, starts)
+        return [out[i] for i in order]
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """Bytes of each sequence of ids; unknown ids raise an error. Sequences are cut before tokens that begin with a
-        space, and parts that were decoded before are kept."""
-        groups = []
-        for x in ids:
-            tokens = np.frombuffer(x, dtype="<i4")
-            if len(tokens) and not (0 <= tokens.min() and tokens.max() < len(self.starts_word)):
-                raise ValueError("an id outside the vocabulary")
-            cuts = (4 * np.flatnonzero(self.starts_word[tokens])).tolist()
-            cuts = cuts if cuts[:1] == [0] else [0, *cuts]
-            groups.append([x[s:e] for s, e in zip(cuts, [*cuts[1:], len(x)])])
-        self.parts.ensure(groups)
-        return [b"".join(self.parts.take(g)) for g in groups]
+        space, and parts that were decoded before are kept. A part that stands more than once is looked up once."""
+        flat = b"".join(ids)
+        tokens = np.frombuffer(flat, dtype="<i4")
+        if len(tokens) and not (0 <= tokens.min() and tokens.max() < len(self.starts_word)):
+            raise ValueError("an id outside the vocabulary")
+        starts = np.concatenate([[0], np.cumsum([len(x) // 4 for x in ids])]).astype(np.int64)
+        begins = np.append(self.starts_word[tokens], True)
+        begins[starts] = True
+        cuts = np.flatnonzero(begins)
+        parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(4 * cuts), pa.py_buffer(flat)]).dictionary_encode()
+        texts = self.parts.values(parts.dictionary.to_numpy(zero_copy_only=False).tolist())
+        return joined(pa.array(texts, pa.large_binary()).take(parts.indices), np.searchsorted(cuts, starts))
 
     def decode_parts(self, parts: list[bytes]) -> list[bytes]:
         """Bytes of each sequence of ids by ordered aggregation."""
@@ -190,6 +196,16 @@ class RecursiveBpe:
         return out
 
 
+def joined(values: pa.LargeBinaryArray, starts: np.ndarray) -> list[bytes]:
+    """The values from each of ``starts`` to the next, one behind the other; they lie so in memory."""
+    if not len(values):
+        return [b""] * (len(starts) - 1)
+    _, offsets, data = values.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64)[values.offset + starts].tolist()
+    view = memoryview(data or b"")
+    return [view[s:e].tobytes() for s, e in zip(ends, ends[1:])]
+
+
 def parts_of(rows: list) -> Iterator[list]:
     """Rows in parts of bounded total length (at least one row), so that the words of few texts are held at once."""
     part, size = [], 0

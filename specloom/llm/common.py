@@ -67,5 +67,19 @@ class WordCache:
             missing = list(missing)
             young.update(zip(missing, self.fill(missing)))
 
+    def values(self, words: list) -> list:
+        """The values of different words, none of which is ``None``, in order."""
+        if len(self.young) > self.half_size:
+            self.old, self.young = self.young, {}
+        out = list(map(self.young.get, words))
+        young = self.young
+        for find in (lambda asked: map(self.old.get, asked), self.fill):
+            missing = [i for i, value in enumerate(out) if value is None]
+            asked = [words[i] for i in missing]
+            for i, word, value in zip(missing, asked, find(asked) if asked else ()):
+                if value is not None:
+                    out[i] = young[word] = value
+        return out
+
     def take(self, words):
         return map(self.young.__getitem__, words)

@@ -562,6 +562,22 @@ def test_bpe_equals_tiktoken(spark, mixed, reference_bpe):
     assert bpe.encode(documents(spark, [])).count() == 0
 
 
+def test_spans_of_texts_with_line_breaks_are_encoded_apart_and_once(reference_bpe):
+    coder, asked = bpe.RecursiveBpe(tokenizer_file(bpe.RANKS), half_size=2), []
+    encode_spans = coder.first.fill
+    coder.first.fill = lambda spans: asked.extend(spans) or encode_spans(spans)
+    coder.encode_spans = lambda spans: asked.extend(spans) or encode_spans(spans)  # behind a space
+    texts = ["", " ", "one\ntwo words ,  and \n\n\ttwo words", "two words two\xa0 words", "\u3000 x\x1c y \x85z", " lead trail ", "one two"]
+    for _ in range(2):
+        assert coder.encode(texts) == [np.array(reference_bpe.encode_ordinary(t), dtype="<i4").tobytes() for t in texts]
+        back = coder.decode(coder.encode(texts[::-1]) + [b""])
+        assert back == [t.encode() for t in texts[::-1]] + [b""]
+    assert coder.encode([]) == coder.decode([]) == []
+    asked.clear()
+    coder.encode(["new1\nnew2 new3 new4 new3  new4"] * 2)
+    assert sorted(asked) == ["  new4", " new3", " new4", "new1\nnew2"]
+
+
 def test_recursive_contraction_and_long_words_agree(reference_bpe):
     coder, r = bpe.RecursiveBpe(tokenizer_file(bpe.RANKS)), random.Random(10)
     ws = ["".join(r.choices("etaoin shr", k=r.randint(1, 60))).replace(" ", "") or "a" for _ in range(300)]
