@@ -371,17 +371,30 @@ def allowed_series(name: Column, keywords: list[str]) -> Column:
 ORDERED_RULES = ("normalized_resolution", "normalized_distance", "normalized_fps_resolution", "normalized_aperture", "numeric_compare")
 
 
-def comparison_order(rule: Column, value: Column) -> Column:
+def comparison_parts(rule: Column, value: Column) -> dict[str, Column]:
+    """What the rules read from a value, each part NULL under the rules that don't ask for it.
+
+    As columns of a frame they are parsed once, however often :func:`comparison_key` and :func:`comparison_order` use them.
+    """
+    return {"_resolution": F.when(rule == "normalized_resolution", parse_resolution(value)),
+            "_distance": F.when(rule == "normalized_distance", parse_distance(value)),
+            "_stream": F.when(rule == "normalized_fps_resolution", parse_stream(value)),
+            "_number": F.when(rule.isin("normalized_aperture", "numeric_compare"), F.regexp_extract(value, NUMBER, 1).try_cast("double"))}
+
+
+def comparison_order(rule: Column, parts: dict[str, Column]) -> Column:
     """The number by which a value is ordered under a rule; NULL for the other rules and unknown values."""
-    return (F.when(rule == "normalized_resolution", megapixels(parse_resolution(value)))
-            .when(rule == "normalized_distance", max_metres(parse_distance(value)))
-            .when(rule == "normalized_fps_resolution", parse_stream(value).fps_value.cast("double"))
-            .when(rule.isin("normalized_aperture", "numeric_compare"), F.regexp_extract(value, NUMBER, 1).try_cast("double")))
+    return (F.when(rule == "normalized_resolution", megapixels(parts["_resolution"]))
+            .when(rule == "normalized_distance", max_metres(parts["_distance"]))
+            .when(rule == "normalized_fps_resolution", parts["_stream"].fps_value.cast("double"))
+            .otherwise(parts["_number"]))
 
 
-def comparison_key(rule: Column, field: Column, value: Column) -> Column:
+def comparison_key(rule: Column, field: Column, value: Column, parts: dict[str, Column] | None = None) -> Column:
     """Text that is equal for values that are the same under a rule; NULL where the value can't be parsed."""
-    distance, low = parse_distance(value), F.lower(value)
+    parts = parts or {"_resolution": parse_resolution(value), "_distance": parse_distance(value), "_stream": parse_stream(value),
+                      "_number": F.regexp_extract(value, NUMBER, 1).try_cast("double")}
+    distance, low = parts["_distance"], F.lower(value)
     reach = F.when(max_metres(distance).isNotNull(), F.concat_ws(
         "-", F.coalesce(min_metres(distance).cast("string"), F.lit("")), max_metres(distance).cast("string")))
     aliases = {"image_sensor": R.SENSOR_ALIASES, "supplement_light_type": R.LIGHT_ALIASES, "approval_protection": R.PROTECTION_ALIASES,
@@ -389,7 +402,7 @@ def comparison_key(rule: Column, field: Column, value: Column) -> Column:
     canonical = F.coalesce(*[F.when(field == code, R.lookup(low, {a.lower(): name.lower() for a, name in table})) for code, table in aliases.items()], low)
     return (F.when(rule == "set_compare", F.to_json(F.array_sort(F.array_distinct(F.transform(list_items(value), F.lower)))))
             .when(rule == "exact_or_alias", canonical)
-            .when(rule == "normalized_resolution", parse_resolution(value))
+            .when(rule == "normalized_resolution", parts["_resolution"])
             .when(rule == "normalized_distance", reach)
-            .when(rule == "normalized_fps_resolution", parse_stream(value).normalized)
-            .otherwise(F.regexp_extract(value, NUMBER, 1).try_cast("double").cast("string")))
+            .when(rule == "normalized_fps_resolution", parts["_stream"].normalized)
+            .otherwise(parts["_number"].cast("string")))

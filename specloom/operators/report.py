@@ -254,14 +254,24 @@ def compare_products(specs: DataFrame, pairs: DataFrame) -> DataFrame:
     ``pairs``: (left_brand, left_model, right_brand, right_model). One latest value per product and field.
     """
     from specloom.functions import values as V
-    one = latest(specs.where("normalized_value IS NOT NULL").select(*PRODUCT, "field_code", "normalized_value", "updated_at"),
+    one = latest(specs.where("normalized_value IS NOT NULL AND field_code IS NOT NULL").select(*PRODUCT, "field_code", "normalized_value", "updated_at"),
                  [*PRODUCT, "field_code"], F.desc("updated_at"), F.desc("normalized_value")).drop("updated_at")
     value, rule = F.col("normalized_value"), R.lookup(F.col("field_code"), {f.code: f.rule for f in R.FIELDS})
-    # values are parsed once per product, not once per pair
-    one = one.withColumns({"key": V.comparison_key(rule, F.col("field_code"), value), "order": V.comparison_order(rule, value)})
-    side = lambda p: one.withColumnsRenamed({"brand": f"{p}_brand", "product_model": f"{p}_model", "normalized_value": f"{p}_value",
-                                             "key": f"{p}_key", "order": f"{p}_order"})
-    rows = pairs.join(side("left"), ["left_brand", "left_model"]).join(side("right"), ["right_brand", "right_model", "field_code"])
+    # values are parsed once per product, not once per pair and side: the joins share one exchange of parsed values
+    parts = V.comparison_parts(rule, value)
+    parsed = one.withColumns(parts)
+    parts = {name: F.col(name) for name in parts}
+    cell = F.struct("field_code", value.alias("value"), V.comparison_key(rule, F.col("field_code"), value, parts).alias("key"),
+                    V.comparison_order(rule, parts).alias("order"))
+    products = parsed.select(*PRODUCT, cell.alias("cell")).groupBy(*PRODUCT).agg(F.collect_list("cell").alias("cells"))
+    side = lambda p: products.withColumnsRenamed({"brand": f"{p}_brand", "product_model": f"{p}_model", "cells": f"{p}_cells"})
+    both = pairs.join(side("left"), ["left_brand", "left_model"]).join(side("right"), ["right_brand", "right_model"])
+    names = ["left_brand", "left_model", "right_brand", "right_model"]
+    by_field = F.map_from_entries(F.transform("right_cells", lambda x: F.struct(x["field_code"], x)))
+    cells = both.select(*names, by_field.alias("_right"), F.explode("left_cells").alias("_left")).select(
+        *names, "_left", F.try_element_at("_right", F.col("_left.field_code")).alias("_right")).where("_right IS NOT NULL")
+    rows = cells.select(*names, F.col("_left.field_code").alias("field_code"), *(
+        F.col(f"_{p}.{name}").alias(f"{p}_{name}") for p in ("left", "right") for name in ("value", "key", "order")))
     same = F.coalesce(F.col("left_key") == F.col("right_key"), F.lower("left_value") == F.lower("right_value"))
     ordering = F.when(rule.isin(*V.ORDERED_RULES), V.compare(F.col("left_order"), F.col("right_order")))
     return rows.select("left_brand", "left_model", "right_brand", "right_model", "field_code", rule.alias("comparison_rule"),
