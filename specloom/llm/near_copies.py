@@ -175,8 +175,8 @@ def near_links(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMI
     nodes = marks.groupBy("digest").agg(F.min("doc_id").alias("node_id"), F.count("*").alias("copies"))
     copies = marks.select("doc_id", "digest").join(nodes.where("copies > 1"), "digest").where("doc_id > node_id").select(
         F.col("doc_id").alias("src"), F.col("node_id").alias("dst"))
-    first = marks.join(nodes.withColumnRenamed("node_id", "doc_id").select("digest", "doc_id"), ["digest", "doc_id"]).select("doc_id", "size", "keys")
-    bands = first.distinct().select(F.col("doc_id").alias("node_id"), "size", F.explode("keys").alias("key"))
+    first = marks.join(nodes.withColumnRenamed("node_id", "doc_id").select("digest", "doc_id"), ["digest", "doc_id"]).dropDuplicates(["digest", "doc_id"]).select("doc_id", "size", "keys")
+    bands = first.select(F.col("doc_id").alias("node_id"), "size", F.explode("keys").alias("key"))
     if buckets is not None:
         sizes = first.where("size > 0").select(F.col("doc_id").alias("node_id"), "size").distinct()
         bands = bands.unionByName(sizes.join(buckets.distinct(), "node_id").select("node_id", "size", "key"))
@@ -193,6 +193,7 @@ def near_links(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMI
                          .sortWithinPartitions("low", "part", "node_id").mapInArrow(_star_batches(shingle, similarity), "src long, dst long"))
 
     named = components(linked)
+    stars_found = named.select(F.col("node").alias("src"), F.col("component").alias("dst"))  # connect what ``linked`` does
     rest = members.join(named.withColumnRenamed("node", "node_id"), "node_id", "left").select(
         "key", "node_id", "size", F.coalesce("component", "node_id").alias("comp"))
     rest = materialize(rest)
@@ -208,4 +209,4 @@ def near_links(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMI
     pairs = dealt.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node_id", "comp")
     found = (pairs.join(texts, "node_id").select("key", "i", "j", "side", "node_id", "comp", "text").repartition("key", "i", "j")
              .sortWithinPartitions("key", "i", "j").mapInArrow(_block_batches(shingle, similarity), "src long, dst long"))
-    return copies.unionByName(linked).unionByName(found)
+    return copies.unionByName(stars_found).unionByName(found)

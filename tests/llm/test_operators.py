@@ -65,6 +65,21 @@ def test_components(spark, links):
         a: b for a, b in union_find([(a, b) for a, b in links if a != b]).items() if a != b}
 
 
+def test_rounds_of_few_links_take_few_tasks(spark):
+    """With 97 shuffle partitions a round over 40 links still ends in one task per core at most."""
+    names = {"spark.sql.shuffle.partitions": "97", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        got = components(spark.createDataFrame([(i, i + 1) for i in range(40)], "src long, dst long"))
+        assert got.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism < 97
+        assert {r["node"]: r["component"] for r in got.collect()} == {i: 0 for i in range(1, 41)}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_word_cache_keeps_what_it_promises():
     cache = WordCache(lambda ws: [w.upper() for w in ws], half_size=3)
     for group in (["a", "b"], ["c", "d", "a"], ["e", "a"], ["b"]):
