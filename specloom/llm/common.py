@@ -81,5 +81,34 @@ class WordCache:
                     out[i] = young[word] = value
         return out
 
+    def held(self, words) -> dict:
+        """The values of those words that are held."""
+        young, old = self.young.get, self.old.get
+        return {w: value for w in words if (value := young(w, old(w))) is not None}
+
+    def lists(self, groups) -> list[list]:
+        """The values of the words of each group (lists of words), none of which is ``None``, in order; a word that is held is looked up once."""
+        if len(self.young) > self.half_size:
+            self.old, self.young = self.young, {}
+        young, get, found, gaps, asked = self.young, self.young.get, [], [], []
+        for words in groups:
+            values = list(map(get, words))
+            gap = [i for i, value in enumerate(values) if value is None]
+            found.append(values)
+            gaps.append(gap)
+            asked.append([words[i] for i in gap])
+        missing, new = list(set().union(*asked)), []
+        for word, value in zip(missing, map(self.old.get, missing)):
+            if value is None:
+                new.append(word)
+            else:
+                young[word] = value
+        if new:
+            young.update(zip(new, self.fill(new)))
+        for values, gap, words in zip(found, gaps, asked):
+            for i, word in zip(gap, words):
+                values[i] = young[word]
+        return found
+
     def take(self, words):
         return map(self.young.__getitem__, words)

@@ -45,12 +45,12 @@ def pieces(length: int, capacity: int = CAPACITY, cut_above: int = CUT_ABOVE) ->
     return out + [rest] * (rest > 0)
 
 
-# words of Latin letters (but dotted capital I, which lowers to two characters), also with a full stop or comma behind
-PLAIN = r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+[.,]?"
+# words of Latin letters (but dotted capital I, which lowers to two characters)
+PLAIN = r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+"
 
 
 @functools.lru_cache(maxsize=2)
-def chunk_encoder(file: str, half_size: int = 400_000):
+def chunk_encoder(file: str, half_size: int = 700_000):
     """Texts to ids (bytes of little-endian 32-bit numbers), equal to encoding whole texts by ``tokenizers``.
 
     The vocabulary's pre-tokens never contain white space, so runs between white space are encoded alone and kept. A plain
@@ -73,28 +73,37 @@ def chunk_encoder(file: str, half_size: int = 400_000):
 
     def fill_words(words):
         return [packed([t.id for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(alphabet))]) for w in words]
-    words, stops = WordCache(fill_words, half_size), {c: packed(ids([c])[0]) for c in ".,"}
+    stops = {c: packed(ids([c])[0]) for c in ".,"}
 
-    def fill_chunks(chunks):
-        split, rest = [], []
+    def fill(chunks):
+        words, ends, hard, direct = [], [], [], []  # side by side: many small tuples would keep the garbage collector busy
         for c in chunks:
-            if plain(c):
-                split.append((c[:-1].lower(), stops[c[-1]]) if c[-1] in stops else (c.lower(), b""))
+            word = c[:-1] if (end := stops.get(c[-1:], b"")) else c
+            if word.isalpha() and (word.isascii() or plain(word)):
+                word = word.lower()
+                if word == c:
+                    direct.append(c)
             else:
-                split.append(None)
-                rest.append(c)
-        words.ensure([[s[0] for s in split if s]])
-        known, hard = words.young, map(packed, ids(rest))
-        return [known[s[0]] + s[1] if s else next(hard) for s in split]
-    cache = WordCache(fill_chunks, half_size)
+                hard.append(c)
+                word = None
+            words.append(word)
+            ends.append(end)
+        known = dict(zip(direct, fill_words(direct)))
+        others = set(words).difference(known, (None,))
+        known.update(cache.held(others))
+        others = list(others.difference(known))
+        new = dict(zip(others, fill_words(others)))
+        cache.young.update(new)  # a lower-case word alone is a chunk, too
+        known.update(new)
+        rest = map(packed, ids(hard))
+        return [next(rest) if w is None else known[w] + end for w, end in zip(words, ends)]
+    cache = WordCache(fill, half_size)
 
     def chunks(text):
         return text.translate({9: " ", 10: " ", 11: " ", 12: " ", 13: " "}).split(" ") if odd.search(text) else text.split()
 
     def encode(texts):
-        groups = [chunks(t) for t in texts]
-        cache.ensure(groups)
-        return [b"".join(cache.take(g)) for g in groups]
+        return list(map(b"".join, cache.lists(map(chunks, texts))))
     return encode
 
 

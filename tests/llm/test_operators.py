@@ -80,6 +80,22 @@ def test_rounds_of_few_links_take_few_tasks(spark):
             spark.conf.set(k, v)
 
 
+def test_word_cache_looks_up_a_held_word_once():
+    class Word(str):
+        hashed = 0
+
+        def __hash__(self):
+            Word.hashed += 1
+            return super().__hash__()
+
+    filled = []
+    cache = WordCache(lambda ws: filled.extend(ws) or [w.upper() for w in ws], half_size=3)
+    for groups in ([["a", "b"], ["a"]], [["c", "d"], [], ["a", "c"]], [["e", "a"]], [["b", "b", "e"]]):
+        assert cache.lists(groups) == [[w.upper() for w in g] for g in groups]
+    assert filled.count("a") == 1 and cache.held(["e", "zz"]) == {"e": "E"}
+    assert cache.lists([[Word("e")] * 5]) == [["E"] * 5] and Word.hashed == 5
+
+
 def test_word_cache_keeps_what_it_promises():
     cache = WordCache(lambda ws: [w.upper() for w in ws], half_size=3)
     for group in (["a", "b"], ["c", "d", "a"], ["e", "a"], ["b"]):
