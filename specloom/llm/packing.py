@@ -50,7 +50,7 @@ PLAIN = r"[A-Za-zÀ-ÖØ-öø-įı-ɏ]+"
 
 
 @functools.lru_cache(maxsize=2)
-def chunk_encoder(file: str, half_size: int = 700_000):
+def chunk_encoder(file: str, half_size: int = 500_000):
     """Texts to ids (bytes of little-endian 32-bit numbers), equal to encoding whole texts by ``tokenizers``.
 
     The vocabulary's pre-tokens never contain white space, so runs between white space are encoded alone and kept. A plain
