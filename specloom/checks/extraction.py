@@ -27,6 +27,11 @@ def spread_view(t, name):
     return t.spark.sql(views.VIEWS[name], part=parts)
 
 
+def merged_catalog(t):
+    """The catalog with ``part`` merge-joined: where only its keys are read, millions of them look small beside the file, and a broadcast of them would pass through the driver."""
+    return t.spark.sql(views.VIEWS["catalog"], lineitem=t.lineitem, part=t.part.hint("merge"))
+
+
 # decoded values of the page cells
 PP = """pp AS (SELECT p_partkey AS page_id, p_partkey % 6 AS kind, p_size AS s, cast(p_size AS VARCHAR) AS t,
     CASE p_size % 3 WHEN 0 THEN '1/2.8" Progressive Scan CMOS' WHEN 1 THEN '1/3" CMOS' ELSE '-' END AS sensor,
@@ -143,7 +148,7 @@ check("A15_extraction_counts", SPECS_OF + """ SELECT run_id, p AS products_proce
     CASE WHEN p > 0 THEN round(coalesce(n, 0) / cast(p AS DOUBLE), 2) ELSE 0 END AS avg_specs_per_product, f AS extraction_failures
   FROM (SELECT run_id, cast(sum((coalesce(product_url, '') LIKE 'https%')::INT) AS BIGINT) AS p, cast(sum((coalesce(product_url, '') NOT LIKE 'https%')::INT) AS BIGINT) AS f FROM catalog GROUP BY run_id) AS c
   LEFT JOIN (SELECT run_id, count(*) AS n FROM e GROUP BY run_id) AS k USING (run_id)""", "catalog")(
-    lambda t: extract.extraction_counts(t.catalog, t.product_pages, extract.extract_specs(t.catalog, product_pages(t))))
+    lambda t: extract.extraction_counts(merged_catalog(t), t.product_pages, extract.extract_specs(merged_catalog(t), product_pages(t))))
 TERMS = ", ".join(f"('{f.code}', {i}, '{term}')" for f in R.FIELDS for i, term in enumerate(f.terms))
 check("J2_label_fields", f"""SELECT s.run_id, s.product_model, s.raw_value, a.f AS field_code, min(a.k) AS alias_rank FROM
   (SELECT run_id, product_model, raw_value, row_number() OVER () AS id FROM specs) AS s JOIN (VALUES {TERMS}) AS a(f, k, term) ON contains(lower(s.raw_value), a.term)

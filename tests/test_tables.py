@@ -258,3 +258,22 @@ def test_page_values_are_never_broadcast(spark, sf_dir):
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         joins = [line for line in plan.splitlines() if "Join" in line and ("url" in line)]
         assert joins and all("strategy=merge" in line for line in joins), joins
+
+
+def test_parts_are_never_broadcast_for_extraction_counts(spark, tmp_path):
+    """Keys of parts are far larger than their file says, so an estimate from it must not send them through the driver."""
+    from specloom import checks
+    from specloom.checks import extraction
+    from specloom.checks.base import Tables
+    day = datetime(1996, 3, 1)
+    parts = [(1, "a", "B1", "T", 3), (2, "b", "B1", "T", 4), (2, "c", "B2", "T", 5), (8, "d", "B2", None, 6), (None, "e", "B2", "T", 7)]
+    lines = [(1, "A", day), (1, "A", day), (1, "N", day), (2, "R", day), (2, "R", datetime(1996, 9, 1)), (8, None, day), (None, "A", day), (1, "A", None), (77, "A", day)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame(lines, "l_partkey long, l_returnflag string, l_shipdate timestamp").write.parquet(str(tmp_path / "lineitem.parquet"))
+    t = Tables(spark, str(tmp_path))
+    got, want = (sorted(map(repr, df.collect())) for df in (extraction.merged_catalog(t), t.catalog))
+    assert got == want and len(got) == 8
+    counts = checks.load().QUERIES["A15_extraction_counts"](spark, str(tmp_path))
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join" in line and "p_partkey" in line]
+    assert len(joins) == 2 and all("strategy=merge" in line for line in joins), joins
